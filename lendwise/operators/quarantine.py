@@ -37,16 +37,20 @@ def union_distinct(*lists: DataFrame, key: str = KEY) -> DataFrame:
     return out.distinct()
 
 
-def not_in(df: DataFrame, ids: DataFrame, key: str = KEY) -> DataFrame:
-    """``key NOT IN (ids)`` with SQL semantics, as an equi anti join.
+def not_in(df: DataFrame, ids: DataFrame, key: str = KEY,
+           list_may_hold_null: bool = False) -> DataFrame:
+    """``key NOT IN (ids)`` as an equi anti join.
 
     NOT IN drops rows whose own key is null, and returns nothing at all when
-    the list holds a null.  The second rule is an uncorrelated EXISTS that
-    Spark evaluates once; the anti join itself runs on non-null keys.
+    the list holds a null.  Member lists are SHA-256 keys, which are never
+    null (``concat_ws`` never returns null), so the second rule only needs
+    checking for arbitrary lists: ``list_may_hold_null=True`` adds an
+    uncorrelated EXISTS that Spark evaluates once.
     """
     ids = ids.select(key)
-    list_has_null = ids.where(F.col(key).isNull()).exists()
-    kept = df.where(F.col(key).isNotNull() & ~list_has_null)
+    kept = df.where(F.col(key).isNotNull())
+    if list_may_hold_null:
+        kept = kept.where(~ids.where(F.col(key).isNull()).exists())
     return kept.join(ids.where(F.col(key).isNotNull()), on=key, how="left_anti")
 
 
