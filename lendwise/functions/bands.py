@@ -7,6 +7,7 @@ unmatched row gets null, which is reference behaviour for several rules.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal
@@ -35,6 +36,24 @@ def compile_bands(arms: Sequence[Arm], otherwise=_NO_ELSE) -> Column:
     return out
 
 
+def _memo(fn):
+    """Reuse a compiled rule when called with column names and params.
+
+    Columns are immutable unresolved expressions, so one compiled CASE chain
+    can serve every DataFrame; this keeps plan construction off the py4j
+    round trips of rebuilding 30-arm chains per query.
+    """
+    cached = functools.lru_cache(maxsize=256)(fn)
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        try:
+            return cached(*args, **kwargs)
+        except TypeError:  # a Column argument: not hashable, build fresh
+            return fn(*args, **kwargs)
+    return wrapper
+
+
 def _c(name: str | Column) -> Column:
     return F.col(name) if isinstance(name, str) else name
 
@@ -47,6 +66,7 @@ def count_bands(c: Column, p: ScoreParams, worst: int) -> list[Arm]:
             Arm((c > 5) | c.isNull(), worst)]
 
 
+@_memo
 def last_payment_pts(last_amount="last_payment_amount", installment="monthly_installment",
                      p: ScoreParams = DEFAULT_PARAMS) -> Column:
     """G1: last payment against the monthly installment."""
@@ -60,6 +80,7 @@ def last_payment_pts(last_amount="last_payment_amount", installment="monthly_ins
     ], otherwise=p.unacceptable_rated_pts)
 
 
+@_memo
 def total_payment_pts(total="total_payment_received", funded="funded_amount",
                       p: ScoreParams = DEFAULT_PARAMS) -> Column:
     """Total received against half the funded amount (no else arm)."""
@@ -71,26 +92,31 @@ def total_payment_pts(total="total_payment_received", funded="funded_amount",
     ])
 
 
+@_memo
 def delinq_pts(c="delinq_2yrs", p: ScoreParams = DEFAULT_PARAMS) -> Column:
     """G3 (worst band uses ``ScoreParams.worst_delinq``, 750 by default: D8)."""
     return compile_bands(count_bands(_c(c), p, p.worst_delinq))
 
 
+@_memo
 def public_records_pts(c="pub_rec", p: ScoreParams = DEFAULT_PARAMS) -> Column:
     """G4."""
     return compile_bands(count_bands(_c(c), p, p.very_bad_rated_pts))
 
 
+@_memo
 def bankruptcies_pts(c="pub_rec_bankruptcies", p: ScoreParams = DEFAULT_PARAMS) -> Column:
     """G5."""
     return compile_bands(count_bands(_c(c), p, p.very_bad_rated_pts))
 
 
+@_memo
 def inquiries_pts(c="inq_last_6mths", p: ScoreParams = DEFAULT_PARAMS) -> Column:
     """G6."""
     return compile_bands(count_bands(_c(c), p, p.unacceptable_rated_pts))
 
 
+@_memo
 def loan_status_pts(c="loan_status", p: ScoreParams = DEFAULT_PARAMS) -> Column:
     """Lower-cased status contains a phrase."""
     s = F.lower(_c(c))
@@ -103,6 +129,7 @@ def loan_status_pts(c="loan_status", p: ScoreParams = DEFAULT_PARAMS) -> Column:
     ], otherwise=p.unacceptable_rated_pts)
 
 
+@_memo
 def home_pts(c="home_ownership", p: ScoreParams = DEFAULT_PARAMS) -> Column:
     """Lower-cased ownership ends with a word; OTHER/NONE match nothing."""
     s = F.lower(_c(c))
@@ -119,6 +146,7 @@ def home_pts(c="home_ownership", p: ScoreParams = DEFAULT_PARAMS) -> Column:
 CREDIT_LIMIT_SHARES = (0.10, 0.20, 0.30, 0.50, 0.70)
 
 
+@_memo
 def credit_limit_pts(funded="funded_amount", limit="total_high_credit_limit",
                      p: ScoreParams = DEFAULT_PARAMS) -> Column:
     """Funded amount as a share of the total high credit limit.
@@ -135,6 +163,7 @@ def credit_limit_pts(funded="funded_amount", limit="total_high_credit_limit",
     return compile_bands(arms, otherwise=p.unacceptable_rated_pts)
 
 
+@_memo
 def grade_pts(grade="grade", sub_grade="sub_grade", p: ScoreParams = DEFAULT_PARAMS) -> Column:
     """Base points of the grade scaled by the sub-grade step.
 
@@ -154,6 +183,7 @@ def grade_pts(grade="grade", sub_grade="sub_grade", p: ScoreParams = DEFAULT_PAR
     return compile_bands(arms)
 
 
+@_memo
 def loan_grade(score="loan_score", p: ScoreParams = DEFAULT_PARAMS) -> Column:
     """Letter grade from the score; null score -> null grade."""
     x = _c(score)

@@ -102,10 +102,18 @@ def health_points(loans: DataFrame, customers_new: DataFrame,
 
 # -- weighted reference-grain results --------------------------------------
 
+def _not_in_opt(df: DataFrame, bad: DataFrame | None) -> DataFrame:
+    return df if bad is None else not_in(df, bad)
+
+
 def default_history(ph: DataFrame, delinq_new: DataFrame, records_new: DataFrame,
-                    bad: DataFrame, p: ScoreParams = DEFAULT_PARAMS) -> DataFrame:
-    """G16 (J5 + J3 + G3..G6), weighted: payment ⋈ delinquency ⋈ records."""
-    rec = not_in(_weighted_count(record_points(records_new, p), *DEFAULT_COLS[1:]), bad)
+                    bad: DataFrame | None, p: ScoreParams = DEFAULT_PARAMS) -> DataFrame:
+    """G16 (J5 + J3 + G3..G6), weighted: payment ⋈ delinquency ⋈ records.
+
+    ``bad=None`` skips the NOT IN when ``records_new`` was already
+    quarantined with the same list (it would remove nothing).
+    """
+    rec = _not_in_opt(_weighted_count(record_points(records_new, p), *DEFAULT_COLS[1:]), bad)
     dq = _weighted_count(delinq_points(delinq_new, p), "delinq_pts")
     pay = _weighted_count(ph, *PAY_COLS)
     out = _product_join(_product_join(pay, dq), rec)
@@ -113,9 +121,14 @@ def default_history(ph: DataFrame, delinq_new: DataFrame, records_new: DataFrame
 
 
 def financial_health(ldh: DataFrame, loans: DataFrame, customers_new: DataFrame,
-                     bad: DataFrame, p: ScoreParams = DEFAULT_PARAMS) -> DataFrame:
-    """G17 (J6 + J3 + G7..G10), weighted: default history ⋈ loans ⋈ customers."""
-    fh = not_in(_weighted_count(health_points(loans, customers_new, p), *HEALTH_COLS), bad)
+                     bad: DataFrame | None = None, p: ScoreParams = DEFAULT_PARAMS) -> DataFrame:
+    """G17 (J6 + J3 + G7..G10), weighted: default history ⋈ loans ⋈ customers.
+
+    The reference's NOT IN on this side never removes a row: every health
+    row is inner-joined with customers_new, which already excludes the list.
+    Pass ``bad`` only for a customers table that was not quarantined.
+    """
+    fh = _not_in_opt(_weighted_count(health_points(loans, customers_new, p), *HEALTH_COLS), bad)
     out = _product_join(ldh, fh)
     return out.select(KEY, *PAY_COLS, *DEFAULT_COLS, *HEALTH_COLS, N)
 
@@ -128,26 +141,26 @@ def _sum(cols) -> Column:
 
 
 def score_factors(ph: DataFrame, delinq_new: DataFrame, records_new: DataFrame,
-                  loans: DataFrame, customers_new: DataFrame, bad: DataFrame,
+                  loans: DataFrame, customers_new: DataFrame, bad: DataFrame | None,
                   p: ScoreParams = DEFAULT_PARAMS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Unweighted component sums per member, each with its multiplicity."""
     pay = ph.select(KEY, _sum(PAY_COLS).alias("pay_sum"))
     pay = _weighted_count(pay, "pay_sum")
 
     rec = record_points(records_new, p).select(KEY, _sum(DEFAULT_COLS[1:]).alias("rec_sum"))
-    rec = not_in(_weighted_count(rec, "rec_sum"), bad)
+    rec = _not_in_opt(_weighted_count(rec, "rec_sum"), bad)
     dq = _weighted_count(delinq_points(delinq_new, p), "delinq_pts")
     dflt = _product_join(dq, rec).select(
         KEY, (F.col("delinq_pts") + F.col("rec_sum")).alias("default_sum"), N)
     dflt = dflt.groupBy(KEY, "default_sum").agg(F.sum(N).alias(N))
 
     fh = health_points(loans, customers_new, p).select(KEY, _sum(HEALTH_COLS).alias("health_sum"))
-    fh = not_in(_weighted_count(fh, "health_sum"), bad)
+    fh = _weighted_count(fh, "health_sum")  # customers_new already excludes the list
     return pay, dflt, fh
 
 
 def loan_score_final(ph: DataFrame, delinq_new: DataFrame, records_new: DataFrame,
-                     loans: DataFrame, customers_new: DataFrame, bad: DataFrame,
+                     loans: DataFrame, customers_new: DataFrame, bad: DataFrame | None,
                      variant: Variant = DEFAULT_VARIANT,
                      p: ScoreParams = DEFAULT_PARAMS) -> DataFrame:
     """G18 = G11/G12 -> G13 -> G14 over the weighted factors.
@@ -226,7 +239,8 @@ def join_cardinality(ph: DataFrame, delinq_new: DataFrame, records_new: DataFram
 def loan_score_by_loan(loans: DataFrame, repayments: DataFrame, customers_new: DataFrame,
                        delinq_new: DataFrame, records_new: DataFrame, bad: DataFrame,
                        variant: Variant = DEFAULT_VARIANT,
-                       p: ScoreParams = DEFAULT_PARAMS) -> DataFrame:
+                       p: ScoreParams = DEFAULT_PARAMS,
+                       records_bad: DataFrame | None = None) -> DataFrame:
     """One score per loan: the loan id is kept through the payment join, and
     the member's delinquency and records are reduced to their worst values.
 
@@ -239,12 +253,12 @@ def loan_score_by_loan(loans: DataFrame, repayments: DataFrame, customers_new: D
     else:
         pay = keep_known(pay, customers_new)
     worst_delinq = delinq_new.groupBy(KEY).agg(F.max("delinq_2yrs").alias("delinq_2yrs"))
-    worst_rec = not_in(records_new.groupBy(KEY).agg(
+    worst_rec = _not_in_opt(records_new.groupBy(KEY).agg(
         F.max("pub_rec").alias("pub_rec"),
         F.max("pub_rec_bankruptcies").alias("pub_rec_bankruptcies"),
-        F.max("inq_last_6mths").alias("inq_last_6mths")), bad)
-    cust = not_in(customers_new.select(KEY, "home_ownership", "total_high_credit_limit",
-                                       "grade", "sub_grade"), bad)
+        F.max("inq_last_6mths").alias("inq_last_6mths")), records_bad)
+    cust = customers_new.select(KEY, "home_ownership", "total_high_credit_limit",
+                                "grade", "sub_grade")
     row = (pay.join(loans.select("loan_id", "loan_status", "funded_amount"), on="loan_id")
               .join(worst_delinq, on=KEY).join(worst_rec, on=KEY).join(cust, on=KEY))
     pay_sum = F.col("last_payment_pts") + F.col("total_payment_pts")

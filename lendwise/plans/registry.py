@@ -371,7 +371,7 @@ JOIN (SELECT member_id, count(*) AS n FROM ph GROUP BY member_id) pc ON pc.membe
 JOIN (SELECT member_id, count(*) AS n FROM delinq_new GROUP BY member_id) dc ON dc.member_id = x.member_id
 JOIN (SELECT member_id, count(*) AS n FROM records_new GROUP BY member_id) rc ON rc.member_id = x.member_id"""))(
     lambda spark, d: (lambda s: score.join_cardinality(
-        s.payment_history, s.delinq_new, s.records_new, bad=s.bad))(stages(spark, d)))
+        s.payment_history, s.delinq_new, s.records_new, bad=s.records_score_bad))(stages(spark, d)))
 
 register("join_financial_health", with_ctes("""
 SELECT x.member_id, pc.n AS n_payment_rows, dc.n AS n_delinq_rows, rc.n AS n_record_rows,
@@ -383,7 +383,8 @@ JOIN (SELECT member_id, count(*) AS n FROM records_new GROUP BY member_id) rc ON
 JOIN (SELECT l.member_id, count(*) AS n FROM loans_clean l JOIN customers_new a ON a.member_id = l.member_id
       GROUP BY l.member_id) lc ON lc.member_id = x.member_id"""))(
     lambda spark, d: (lambda s: score.join_cardinality(
-        s.payment_history, s.delinq_new, s.records_new, s.loans, s.customers_new, s.bad))(stages(spark, d)))
+        s.payment_history, s.delinq_new, s.records_new, s.loans, s.customers_new,
+        s.records_score_bad))(stages(spark, d)))
 
 _VIEW_SQL = """
 SELECT {cols}
@@ -545,3 +546,191 @@ JOIN (SELECT member_id, max(delinq_2yrs) AS delinq_2yrs FROM delinq_new GROUP BY
   ON d.member_id = l.member_id
 JOIN customers_new a ON a.member_id = l.member_id"""))(
     lambda spark, d: stages(spark, d).loan_score_by_loan)
+
+# ---------------------------------------------------------------- sources, sinks, catalog
+# Each writes its input to a fresh folder under the shared root
+# (spark.checkpoint.dir), then returns the lazy read-back.
+
+import uuid  # noqa: E402
+
+from lendwise import schemas  # noqa: E402
+from lendwise.session import scratch_path  # noqa: E402
+from lendwise.sources import io  # noqa: E402
+
+
+def _db(spark: SparkSession) -> str:
+    name = "lendwise_" + uuid.uuid4().hex[:12]
+    io.create_database(spark, name, scratch_path(spark, "catalog", name))
+    return name
+
+
+# CSV writing trims leading/trailing spaces of values (Spark's writer default),
+# so the loan term text reads back without its leading space.
+_LOANS_CSV_SQL = ("SELECT loan_id, member_id, loan_amount, funded_amount, ltrim(loan_term_months) AS "
+                  "loan_term_months, interest_rate, monthly_installment, issue_date, loan_status, "
+                  "loan_purpose, loan_title FROM loans_raw")
+
+
+@register("scan_csv_inferred", with_ctes(
+    "SELECT CAST(id AS INTEGER) AS loan_id, member_id, loan_amnt, funded_amnt, ltrim(term) AS term, "
+    "int_rate, installment, issue_d, loan_status, purpose, title FROM keyed"))
+def _scan_csv_inferred(spark, d):
+    path = io.write_csv(split.split_loans(stages(spark, d).keyed), scratch_path(spark, "raw", "loans_csv"))
+    return io.read_csv_inferred(spark, path)
+
+
+@register("scan_csv_schema", with_ctes("SELECT * FROM cust_raw"))
+def _scan_csv_schema(spark, d):
+    path = io.write_csv(split.split_customers(stages(spark, d).keyed),
+                        scratch_path(spark, "raw", "customers_csv"))
+    return io.read_csv_schema(spark, path, schemas.CUSTOMERS_RAW)
+
+
+@register("scan_csv_headerless", with_ctes(
+    "SELECT * FROM def_raw UNION ALL SELECT 'member_id', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL"))
+def _scan_csv_headerless(spark, d):
+    path = io.write_csv(split.split_defaulters(stages(spark, d).keyed), scratch_path(spark, "raw", "def_csv"),
+                        single_file=True)
+    return io.read_csv_headerless(spark, path, schemas.DEFAULTERS_RAW)
+
+
+@register("scan_csv_permissive", with_ctes("SELECT * FROM rep_raw"))
+def _scan_csv_permissive(spark, d):
+    path = io.write_csv(split.split_repayments(stages(spark, d).keyed), scratch_path(spark, "raw", "rep_csv"))
+    return io.read_csv_schema(spark, path, schemas.REPAYMENTS_RAW, mode="PERMISSIVE")
+
+
+@register("scan_csv_failfast", with_ctes(_LOANS_CSV_SQL))
+def _scan_csv_failfast(spark, d):
+    path = io.write_csv(split.split_loans(stages(spark, d).keyed), scratch_path(spark, "raw", "loans_csv"))
+    return io.read_csv_schema(spark, path, schemas.LOANS_RAW, mode="FAILFAST")
+
+
+@register("scan_parquet", with_ctes("SELECT * FROM loans_clean"))
+def _scan_parquet(spark, d):
+    path = io.write_default(stages(spark, d).loans, scratch_path(spark, "cleaned", "loans"))
+    return no_audit(io.read_default(spark, path))
+
+
+@register("scan_table", with_ctes(f"SELECT {CUST_COLS} FROM cust_clean"))
+def _scan_table(spark, d):
+    path = io.write_parquet(stages(spark, d).customers, scratch_path(spark, "cleaned", "customers"))
+    name = io.external_table(spark, f"{_db(spark)}.customers", schemas.CUSTOMERS_TABLE, path)
+    return no_audit(io.read_table(spark, name))
+
+
+@register("temp_view", with_ctes("SELECT * FROM dup_cust"))
+def _temp_view(spark, d):
+    view = io.temp_view(stages(spark, d).customers, "customers_" + uuid.uuid4().hex[:12])
+    return spark.sql(f"SELECT member_id FROM (SELECT member_id, count(*) AS total FROM {view} "
+                     "GROUP BY member_id HAVING total > 1)")
+
+
+@register("sink_csv", with_ctes("SELECT * FROM cust_raw"))
+def _sink_csv(spark, d):
+    path = io.write_csv(split.split_customers(stages(spark, d).keyed),
+                        scratch_path(spark, "raw", "customers_csv"), single_file=True)
+    return io.read_csv_schema(spark, path, schemas.CUSTOMERS_RAW)
+
+
+@register("sink_parquet", with_ctes(f"SELECT {CUST_COLS} FROM cust_clean"))
+def _sink_parquet(spark, d):
+    path = io.write_parquet(stages(spark, d).customers, scratch_path(spark, "cleaned", "customers"))
+    return no_audit(spark.read.parquet(path))
+
+
+@register("sink_default", with_ctes("SELECT * FROM delinq"))
+def _sink_default(spark, d):
+    path = io.write_default(stages(spark, d).delinq, scratch_path(spark, "cleaned", "delinq"))
+    return spark.read.parquet(path)
+
+
+@register("sink_errorifexists", with_ctes("SELECT * FROM rec_all"))
+def _sink_errorifexists(spark, d):
+    path = io.write_new(stages(spark, d).records, scratch_path(spark, "cleaned", "records"))
+    return spark.read.parquet(path)
+
+
+@register("sink_managed_table", with_ctes("SELECT * FROM dup_cust"))
+def _sink_managed_table(spark, d):
+    name = io.save_table(stages(spark, d).bad, f"{_db(spark)}.bad_customer_data")
+    return io.read_table(spark, name)
+
+
+@register("external_table", with_ctes("SELECT * FROM delinq_new"))
+def _external_table(spark, d):
+    path = io.write_default(stages(spark, d).delinq_new, scratch_path(spark, "gold", "delinq"))
+    name = io.external_table(spark, f"{_db(spark)}.loans_defaulters_delinq_new", schemas.DELINQ_TABLE, path)
+    return io.read_table(spark, name)
+
+
+@register("catalog_admin", with_ctes("""
+SELECT 'customers_new' AS table_name, count(*) AS n_rows FROM customers_new
+UNION ALL SELECT 'loans_defaulters_delinq_new', count(*) FROM delinq_new
+UNION ALL SELECT 'loans_defaulters_detail_rec_enq_new', count(*) FROM records_new"""))
+def _catalog_admin(spark, d):
+    s = stages(spark, d)
+    db = _db(spark)
+    tables = {"customers_new": (s.customers_new, schemas.CUSTOMERS_TABLE),
+              "loans_defaulters_delinq_new": (s.delinq_new, schemas.DELINQ_TABLE),
+              "loans_defaulters_detail_rec_enq_new": (s.records_new, schemas.RECORDS_TABLE)}
+    for name, (df, ddl) in tables.items():
+        io.external_table(spark, f"{db}.{name}", ddl, io.write_default(df, scratch_path(spark, "gold", name)))
+    io.external_table(spark, f"{db}.scratch", "member_id string",
+                      io.write_default(s.bad, scratch_path(spark, "gold", "scratch")))
+    io.drop_table(spark, f"{db}.scratch")
+    names = io.list_tables(spark, db)  # catalog metadata: three names
+    parts = [spark.table(f"{db}.{n}").agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(n).alias("table_name"), "n_rows") for n in names]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("persistent_view", with_ctes(_VIEW_SQL.format(cols="""
+c.member_id, c.address_state, r.total_payment_received, d.delinq_2yrs, d.n_delinq_rows,
+e.n_record_rows""")))
+def _persistent_view(spark, d):
+    s = stages(spark, d)
+    db = _db(spark)
+    for name, df, ddl in (("customers_new", s.customers_new, schemas.CUSTOMERS_TABLE),
+                          ("loans", s.loans, schemas.LOANS_TABLE),
+                          ("loans_repayments", s.repayments, schemas.REPAYMENTS_TABLE),
+                          ("delinq_new", s.delinq_new, schemas.DELINQ_TABLE),
+                          ("records_new", s.records_new, schemas.RECORDS_TABLE)):
+        io.external_table(spark, f"{db}.{name}", ddl, io.write_default(df, scratch_path(spark, "gold", name)))
+    view = io.persistent_view(spark, f"{db}.customers_loan_v", f"""
+        SELECT c.member_id, c.address_state, r.total_payment_received, d.delinq_2yrs,
+               d.n_delinq_rows, e.n_record_rows
+        FROM {db}.customers_new c
+        LEFT JOIN {db}.loans l ON c.member_id = l.member_id
+        LEFT JOIN {db}.loans_repayments r ON l.loan_id = r.loan_id
+        LEFT JOIN (SELECT member_id, max(delinq_2yrs) AS delinq_2yrs, count(*) AS n_delinq_rows
+                   FROM {db}.delinq_new GROUP BY member_id) d ON c.member_id = d.member_id
+        LEFT JOIN (SELECT member_id, count(*) AS n_record_rows
+                   FROM {db}.records_new GROUP BY member_id) e ON c.member_id = e.member_id""")
+    return io.read_table(spark, view)
+
+
+@register("quarantine_csv", with_ctes("SELECT * FROM bad", NOTEBOOK))
+def _quarantine_csv(spark, d):
+    bad = stages(spark, d, variant=NOTEBOOK).bad
+    path = io.write_csv(bad, scratch_path(spark, "bad", "bad_customer_data_final"), single_file=True)
+    return io.read_csv_inferred(spark, path)
+
+
+def _gold(attr: str, ddl: str):
+    def fn(spark, d):
+        df = getattr(stages(spark, d), attr)
+        path = io.write_parquet(df, scratch_path(spark, "gold", attr))
+        return no_audit(spark.read.schema(ddl).parquet(path))
+    return fn
+
+
+register("gold_customers_sink", with_ctes(f"SELECT {CUST_COLS} FROM customers_new"))(
+    _gold("customers_new", schemas.CUSTOMERS_TABLE))
+register("gold_delinq_sink", with_ctes("SELECT * FROM delinq_new"))(
+    _gold("delinq_new", schemas.DELINQ_TABLE))
+register("gold_records_sink", with_ctes("SELECT * FROM records_new"))(
+    _gold("records_new", schemas.RECORDS_TABLE))

@@ -143,6 +143,12 @@ class Stages:
         return self._quarantined[2]
 
     # stage 4: score
+    @property
+    def records_score_bad(self) -> DataFrame | None:
+        """The list the score must still remove from records_new: none when
+        records were quarantined with the same list (lib), else the list."""
+        return None if self.variant.quarantine_lists == "shared" else self.bad
+
     @cached_property
     def payment_history(self) -> DataFrame:
         return score.payment_history(self.loans, self.repayments, self.customers_new,
@@ -151,24 +157,24 @@ class Stages:
     @cached_property
     def default_history(self) -> DataFrame:
         return score.default_history(self.payment_history, self.delinq_new,
-                                     self.records_new, self.bad, self.params)
+                                     self.records_new, self.records_score_bad, self.params)
 
     @cached_property
     def financial_health(self) -> DataFrame:
         return score.financial_health(self.default_history, self.loans,
-                                      self.customers_new, self.bad, self.params)
+                                      self.customers_new, None, self.params)
 
     @cached_property
     def loan_score(self) -> DataFrame:
         return score.loan_score_final(self.payment_history, self.delinq_new,
                                       self.records_new, self.loans, self.customers_new,
-                                      self.bad, self.variant, self.params)
+                                      self.records_score_bad, self.variant, self.params)
 
     @cached_property
     def loan_score_by_loan(self) -> DataFrame:
         return score.loan_score_by_loan(self.loans, self.repayments, self.customers_new,
                                         self.delinq_new, self.records_new, self.bad,
-                                        self.variant, self.params)
+                                        self.variant, self.params, self.records_score_bad)
 
     # views
     @cached_property

@@ -111,8 +111,9 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def list_tables(spark: SparkSession, database: str) -> list[str]:
-    """K7: table names in a database (catalog metadata, no data read)."""
-    return sorted(t.name for t in spark.catalog.listTables(database))
+    """K7: permanent table names in a database (catalog metadata, no data
+    read); session temp views, which the catalog lists too, are left out."""
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
 
 
 def persistent_view(spark: SparkSession, name: str, select_sql: str) -> str:
