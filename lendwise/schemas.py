@@ -73,3 +73,15 @@ RAW_COLUMNS = (
 
 def names(ddl: str) -> list[str]:
     return [f.strip().split()[0] for f in ddl.split(",")]
+
+
+# Declared schema for the raw accepted-loans CSV (the reference inferred it:
+# text stays string, every number is double).  Declaring it avoids the extra
+# inference pass and pins the text form numbers hash with in the member key.
+_RAW_DOUBLES = {"annual_inc", "tot_hi_cred_lim", "annual_inc_joint", "loan_amnt",
+                "funded_amnt", "int_rate", "installment", "total_rec_prncp",
+                "total_rec_int", "total_rec_late_fee", "total_pymnt",
+                "last_pymnt_amnt", "delinq_2yrs", "delinq_amnt", "pub_rec",
+                "pub_rec_bankruptcies", "inq_last_6mths", "mths_since_last_delinq",
+                "mths_since_last_record"}
+RAW = ", ".join(f"{c} {'double' if c in _RAW_DOUBLES else 'string'}" for c in RAW_COLUMNS)
