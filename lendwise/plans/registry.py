@@ -734,3 +734,21 @@ register("gold_delinq_sink", with_ctes("SELECT * FROM delinq_new"))(
     _gold("delinq_new", schemas.DELINQ_TABLE))
 register("gold_records_sink", with_ctes("SELECT * FROM records_new"))(
     _gold("records_new", schemas.RECORDS_TABLE))
+
+# ---------------------------------------------------------------- streaming ingest
+from lendwise.streaming import ingest  # noqa: E402
+
+
+@register("stream_split_loans", with_ctes(
+    "SELECT id AS loan_id, member_id, loan_amnt, funded_amnt, ltrim(term) AS term, int_rate, "
+    "installment, issue_d, loan_status, purpose, title FROM keyed"))
+def _stream_split_loans(spark, d):
+    """Raw rows arrive as CSV files; the stream keys and splits them."""
+    src = scratch_path(spark, "incoming")
+    io.write_csv(stages(spark, d).keyed.drop("member_id"), src)
+    out = scratch_path(spark, "stream-zones")
+    q = ingest.start_split_stream(spark, src, out)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return ingest.read_split(spark, out, "loans")
