@@ -9,8 +9,10 @@ from lendwise.sources import fixture
 
 def _hot_member_raw(spark, n_hot: int, n_other: int):
     """Raw rows where one member (identical key attributes) owns ``n_hot`` loans."""
-    base = fixture.raw_loans(spark, SF_SMALL).limit(1).cache()
-    hot = spark.range(n_hot).crossJoin(base.drop("id")).withColumn("id", F.concat(F.lit("h"), F.col("id").cast("string")))
+    base = fixture.raw_loans(spark, SF_SMALL).limit(1)
+    copies = F.explode(F.sequence(F.lit(0), F.lit(n_hot - 1))).alias("copy")
+    hot = (base.select("*", copies)
+               .withColumn("id", F.concat(F.lit("h"), F.col("copy").cast("string"))).drop("copy"))
     other = fixture.raw_loans(spark, SF_SMALL).limit(n_other)
     cols = other.columns
     return hot.select(*cols).unionByName(other)

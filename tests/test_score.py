@@ -85,3 +85,19 @@ def test_cleaning_is_idempotent(spark):
     rep = s.repayments.drop("ingest_date")
     again = clean.repayments_clean(rep).drop("ingest_date")
     assert rep.exceptAll(again).count() == 0 and again.exceptAll(rep).count() == 0
+
+
+def test_notebook_audits_hold_after_cleaning(spark):
+    """F19/F20 as asserted audits: no nulls or sentinels survive cleaning."""
+    from lendwise.operators import audit
+    s = Stages.from_testdata(spark, SF_SMALL)
+    counts = {r.check: r.n for r in audit.null_counts(
+        s.customers_raw, s.customers, s.repayments_raw, s.repayments, s.defaulters_base).collect()}
+    assert counts["emp_length_null_clean"] == 0 and counts["emp_length_null_raw"] > 0
+    assert counts["principal_null_clean"] == 0 and counts["principal_null_raw"] > 0
+    assert counts["last_date_sentinel_clean"] == 0 and counts["last_date_sentinel_raw"] > 0
+    assert counts["next_date_sentinel_clean"] == 0 and counts["next_date_sentinel_raw"] > 0
+    rows = {r.stage: r.n for r in audit.row_counts(
+        {"raw": s.loans_raw, "clean": s.loans, "cust_raw": s.customers_raw,
+         "cust_clean": s.customers}).collect()}
+    assert rows["clean"] < rows["raw"] and rows["cust_clean"] < rows["cust_raw"]
