@@ -195,14 +195,21 @@ def loan_score_final(ph: DataFrame, delinq_new: DataFrame, records_new: DataFram
         N)
 
 
-def expand_rows(weighted: DataFrame, weight: str = N) -> DataFrame:
+def expand_rows(weighted: DataFrame, weight: str = N, chunk: int = 100_000) -> DataFrame:
     """One output row per joined row, as the reference writes them.
 
-    The output is as large as the reference's fan-out; use it only when that
-    row-per-join-row layout is really needed downstream.
+    The output is as large as the reference's fan-out.  A row of weight *w*
+    first becomes ``ceil(w / chunk)`` chunk descriptors, which are spread
+    over the cluster before each is exploded, so a heavy member's copies are
+    produced by many tasks rather than one.
     """
-    return (weighted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(weight).cast("int"))))
-                    .drop("_copy", weight))
+    w = F.col(weight).cast("long")
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((w - 1) / F.lit(chunk)).cast("long")))
+    chunks = (weighted.withColumn("_chunk", first)
+                      .withColumn("_len", F.least(F.lit(chunk).cast("long"), w - F.col("_chunk") * chunk))
+                      .repartition("_chunk", *[c for c in weighted.columns if c != weight]))
+    return (chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_len"))))
+                  .drop("_copy", "_chunk", "_len", weight))
 
 
 # -- join cardinality (J5, J6) -----------------------------------------------

@@ -589,8 +589,8 @@ def _scan_csv_schema(spark, d):
 @register("scan_csv_headerless", with_ctes(
     "SELECT * FROM def_raw UNION ALL SELECT 'member_id', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL"))
 def _scan_csv_headerless(spark, d):
-    path = io.write_csv(split.split_defaulters(stages(spark, d).keyed), scratch_path(spark, "raw", "def_csv"),
-                        single_file=True)
+    path = io.write_csv_one_header(split.split_defaulters(stages(spark, d).keyed),
+                                   scratch_path(spark, "raw", "def_csv"))
     return io.read_csv_headerless(spark, path, schemas.DEFAULTERS_RAW)
 
 
@@ -629,7 +629,7 @@ def _temp_view(spark, d):
 @register("sink_csv", with_ctes("SELECT * FROM cust_raw"))
 def _sink_csv(spark, d):
     path = io.write_csv(split.split_customers(stages(spark, d).keyed),
-                        scratch_path(spark, "raw", "customers_csv"), single_file=True)
+                        scratch_path(spark, "raw", "customers_csv"))
     return io.read_csv_schema(spark, path, schemas.CUSTOMERS_RAW)
 
 
@@ -716,7 +716,7 @@ def _persistent_view(spark, d):
 @register("quarantine_csv", with_ctes("SELECT * FROM bad", NOTEBOOK))
 def _quarantine_csv(spark, d):
     bad = stages(spark, d, variant=NOTEBOOK).bad
-    path = io.write_csv(bad, scratch_path(spark, "bad", "bad_customer_data_final"), single_file=True)
+    path = io.write_csv(bad, scratch_path(spark, "bad", "bad_customer_data_final"))
     return io.read_csv_inferred(spark, path)
 
 

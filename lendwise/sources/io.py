@@ -60,6 +60,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bo
     return path
 
 
+def write_csv_one_header(df: DataFrame, path: str) -> str:
+    """Multi-part CSV whose folder holds exactly one header line, as a
+    single-file export has, without funnelling the rows into one task: the
+    data parts carry no header and one empty part carries it."""
+    df.write.mode("overwrite").option("header", False).csv(path)
+    df.limit(0).coalesce(1).write.mode("append").option("header", True).csv(path)
+    return path
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> str:
     """Parquet; optional ``partition_by`` for partition pruning."""

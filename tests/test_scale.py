@@ -74,3 +74,12 @@ def test_scans_are_pruned_and_filters_pushed(spark):
     plan = s.payment_history._jdf.queryExecution().executedPlan().toString()
     rep = [l for l in plan.splitlines() if "FileScan parquet" in l and "total_rec_prncp" in l]
     assert rep and all("emp_title" not in l for l in rep)
+
+
+def test_expand_rows_splits_heavy_weights(spark):
+    from lendwise.operators import score
+    w = spark.createDataFrame([("m", 1.0, 250_001), ("n", 2.0, 3)], "member_id string, s double, n_rows long")
+    out = score.expand_rows(w, chunk=100_000)
+    counts = {r.member_id: r["count"] for r in out.groupBy("member_id").count().collect()}
+    assert counts == {"m": 250_001, "n": 3}
+    assert out.columns == ["member_id", "s"]
