@@ -42,8 +42,25 @@ def register(key: str, sql: str | None):
     return deco
 
 
-def stages(spark: SparkSession, sf_dir: str, **kw) -> Stages:
-    return Stages.from_testdata(spark, sf_dir, **kw)
+_STAGE_GRAPHS: dict[tuple, Stages] = {}
+
+
+def stages(spark: SparkSession, sf_dir: str, variant: Variant | None = None,
+           params: ScoreParams | None = None) -> Stages:
+    """The lazy stage graph over ``sf_dir``, built once per application.
+
+    Only logical plans are reused (analysis is the costly part of building
+    them); every action still executes its whole plan.
+    """
+    variant = variant or Variant()
+    params = params or DEFAULT_PARAMS
+    graph = Stages.from_testdata(spark, sf_dir, variant=variant, params=params)
+    key = (spark.sparkContext.applicationId, sf_dir, variant, params,
+           graph.raw.inputFiles()[0] if graph.raw.inputFiles() else None)
+    cached = _STAGE_GRAPHS.get(key)
+    if cached is None:
+        _STAGE_GRAPHS[key] = cached = graph
+    return cached
 
 
 def no_audit(df: DataFrame) -> DataFrame:
