@@ -49,10 +49,27 @@ def records_summary(records: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_record_rows"))
 
 
+def left_join_skew_safe(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left ⟕ right`` on ``key`` when ``right`` may hold a hot key.
+
+    In an outer join AQE may only split the preserved side, so a key that
+    holds a large share of ``right`` would be joined by one task.  The same
+    rows come from an inner join (both sides splittable) plus the left rows
+    without a partner, found against the distinct right keys (a partial
+    aggregate collapses the hot key before the shuffle), padded with nulls.
+    """
+    matched = left.join(right, on=key, how="inner")
+    unmatched = left.join(right.select(key).distinct(), on=key, how="left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
 def _base(customers: DataFrame, loans: DataFrame, repayments: DataFrame,
           delinq: DataFrame, records: DataFrame) -> DataFrame:
-    return (customers.select(*CUSTOMER_COLS)
-            .join(loans.select(*LOAN_COLS), on=KEY, how="left")
+    # customers has one row per member; a member's loans may be many, so the
+    # customer ⟕ loans step is split (see left_join_skew_safe).  Every later
+    # join is keyed 1:1 on the right (loan id, per-member summaries), where
+    # AQE can split the skewed left side.
+    return (left_join_skew_safe(customers.select(*CUSTOMER_COLS), loans.select(*LOAN_COLS), KEY)
             .join(repayments.select(*REPAYMENT_COLS), on="loan_id", how="left")
             .join(delinq_summary(delinq), on=KEY, how="left")
             .join(records_summary(records), on=KEY, how="left"))
@@ -76,3 +93,38 @@ def consolidated_view_slim(customers: DataFrame, loans: DataFrame, repayments: D
     return _base(customers, loans, repayments, delinq, records).select(
         "member_id", "address_state", "total_payment_received", "delinq_2yrs",
         "n_delinq_rows", "n_record_rows")
+
+
+def consolidated_view_sql(customers: str, loans: str, repayments: str, delinq: str,
+                          records: str, slim: bool = False) -> str:
+    """The consolidated view as SQL text over catalog tables (for
+    ``CREATE VIEW``), in the same skew-safe shape as ``consolidated_view``."""
+    cust_cols = ", ".join(f"c.{c}" for c in CUSTOMER_COLS)
+    loan_cols = ", ".join(f"l.{c}" for c in LOAN_COLS if c != "member_id")
+    null_loans = ", ".join(f"CAST(NULL AS {t}) AS {c}" for c, t in (
+        ("loan_id", "string"), ("loan_amount", "float"), ("funded_amount", "float"),
+        ("loan_term_years", "int"), ("interest_rate", "float"), ("monthly_installment", "float"),
+        ("issue_date", "string"), ("loan_status", "string"), ("loan_purpose", "string")))
+    if slim:
+        select = ("cl.member_id, cl.address_state, r.total_payment_received, d.delinq_2yrs, "
+                  "d.n_delinq_rows, e.n_record_rows")
+    else:
+        select = ("cl.loan_id, " + ", ".join(f"cl.{c}" for c in CUSTOMER_COLS) + ", "
+                  + ", ".join(f"cl.{c}" for c in LOAN_COLS[2:])
+                  + ", r.total_principal_received, r.total_interest_received, "
+                  "r.total_late_fee_received, r.last_payment_date, r.next_payment_date, "
+                  "d.delinq_2yrs, d.delinq_amnt, d.mths_since_last_delinq, e.pub_rec, "
+                  "e.pub_rec_bankruptcies, e.inq_last_6mths, d.n_delinq_rows, e.n_record_rows")
+    return f"""
+SELECT {select}
+FROM (SELECT {cust_cols}, {loan_cols} FROM {customers} c JOIN {loans} l ON c.member_id = l.member_id
+      UNION ALL
+      SELECT {cust_cols}, {null_loans} FROM {customers} c
+      LEFT ANTI JOIN (SELECT DISTINCT member_id FROM {loans}) lm ON c.member_id = lm.member_id) cl
+LEFT JOIN {repayments} r ON cl.loan_id = r.loan_id
+LEFT JOIN (SELECT member_id, max(delinq_2yrs) AS delinq_2yrs, max(delinq_amnt) AS delinq_amnt,
+                  min(mths_since_last_delinq) AS mths_since_last_delinq, count(*) AS n_delinq_rows
+           FROM {delinq} GROUP BY member_id) d ON cl.member_id = d.member_id
+LEFT JOIN (SELECT member_id, max(pub_rec) AS pub_rec, max(pub_rec_bankruptcies) AS pub_rec_bankruptcies,
+                  max(inq_last_6mths) AS inq_last_6mths, count(*) AS n_record_rows
+           FROM {records} GROUP BY member_id) e ON cl.member_id = e.member_id"""

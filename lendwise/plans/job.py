@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lendwise import schemas
 from lendwise.functions.keys import with_member_key
-from lendwise.operators import clean, quarantine, score, split
+from lendwise.operators import clean, quarantine, score, split, views
 from lendwise.params import DEFAULT_PARAMS, DEFAULT_VARIANT, ScoreParams, Variant
 from lendwise.session import scratch_path
 from lendwise.sources import fixture, io
@@ -111,24 +111,10 @@ def register_tables(spark: SparkSession, database: str, paths: dict[str, str]) -
         if not spark.catalog.tableExists(f"{database}.{table}"):
             spark.catalog.createTable(f"{database}.{table}", path=paths[zone_name], source="parquet")
     db = database
-    # Views cannot hold a DataFrame; the same joins as SQL text over the tables.
-    io.persistent_view(spark, f"{db}.customers_loan_v", f"""
-        SELECT l.loan_id, c.*, l.loan_amount, l.funded_amount, l.loan_term_years, l.interest_rate,
-               l.monthly_installment, l.issue_date, l.loan_status, l.loan_purpose,
-               r.total_principal_received, r.total_interest_received, r.total_late_fee_received,
-               r.last_payment_date, r.next_payment_date, d.delinq_2yrs, d.delinq_amnt,
-               d.mths_since_last_delinq, e.pub_rec, e.pub_rec_bankruptcies, e.inq_last_6mths,
-               d.n_delinq_rows, e.n_record_rows
-        FROM {db}.customers_new c
-        LEFT JOIN {db}.loans l ON c.member_id = l.member_id
-        LEFT JOIN {db}.loans_repayments r ON l.loan_id = r.loan_id
-        LEFT JOIN (SELECT member_id, max(delinq_2yrs) AS delinq_2yrs, max(delinq_amnt) AS delinq_amnt,
-                          min(mths_since_last_delinq) AS mths_since_last_delinq, count(*) AS n_delinq_rows
-                   FROM {db}.loans_defaulters_delinq_new GROUP BY member_id) d ON c.member_id = d.member_id
-        LEFT JOIN (SELECT member_id, max(pub_rec) AS pub_rec, max(pub_rec_bankruptcies) AS pub_rec_bankruptcies,
-                          max(inq_last_6mths) AS inq_last_6mths, count(*) AS n_record_rows
-                   FROM {db}.loans_defaulters_detail_rec_enq_new GROUP BY member_id) e
-          ON c.member_id = e.member_id""")
+    # A view holds SQL text: the same skew-safe joins as the DataFrame view.
+    io.persistent_view(spark, f"{db}.customers_loan_v", views.consolidated_view_sql(
+        f"{db}.customers_new", f"{db}.loans", f"{db}.loans_repayments",
+        f"{db}.loans_defaulters_delinq_new", f"{db}.loans_defaulters_detail_rec_enq_new"))
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lendwise.functions import bands
 from lendwise.functions import rules
-from lendwise.operators import audit, clean, quarantine, score, split
+from lendwise.operators import audit, clean, quarantine, score, split, views
 from lendwise.params import DEFAULT_PARAMS, LOAN_PURPOSES, ScoreParams, Variant
 from lendwise.plans.oracle import _grade_sql as grade_sql_p, points_sql, with_ctes
 
@@ -717,16 +717,9 @@ def _persistent_view(spark, d):
                           ("delinq_new", s.delinq_new, schemas.DELINQ_TABLE),
                           ("records_new", s.records_new, schemas.RECORDS_TABLE)):
         io.external_table(spark, f"{db}.{name}", ddl, io.write_default(df, scratch_path(spark, "gold", name)))
-    view = io.persistent_view(spark, f"{db}.customers_loan_v", f"""
-        SELECT c.member_id, c.address_state, r.total_payment_received, d.delinq_2yrs,
-               d.n_delinq_rows, e.n_record_rows
-        FROM {db}.customers_new c
-        LEFT JOIN {db}.loans l ON c.member_id = l.member_id
-        LEFT JOIN {db}.loans_repayments r ON l.loan_id = r.loan_id
-        LEFT JOIN (SELECT member_id, max(delinq_2yrs) AS delinq_2yrs, count(*) AS n_delinq_rows
-                   FROM {db}.delinq_new GROUP BY member_id) d ON c.member_id = d.member_id
-        LEFT JOIN (SELECT member_id, count(*) AS n_record_rows
-                   FROM {db}.records_new GROUP BY member_id) e ON c.member_id = e.member_id""")
+    view = io.persistent_view(spark, f"{db}.customers_loan_v", views.consolidated_view_sql(
+        f"{db}.customers_new", f"{db}.loans", f"{db}.loans_repayments", f"{db}.delinq_new",
+        f"{db}.records_new", slim=True))
     return io.read_table(spark, view)
 
 
