@@ -7,7 +7,8 @@ from lendwise.sources import fixture
 
 
 def _bag(df):
-    return sorted(tuple(r) for r in df.collect())
+    from collections import Counter
+    return Counter(tuple(r) for r in df.collect())
 
 
 def test_job_matches_stages_and_registers_catalog(spark, tmp_dir):
