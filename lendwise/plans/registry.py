@@ -20,9 +20,12 @@ from lendwise.params import DEFAULT_PARAMS, LOAN_PURPOSES, ScoreParams, Variant
 from lendwise.plans.oracle import _grade_sql as grade_sql_p, points_sql, with_ctes
 
 
+from lendwise.plans.stages import Stages, stage_keyed_raw
+
+
 def _grade_sql(x: str) -> str:
     return grade_sql_p(x, DEFAULT_PARAMS)
-from lendwise.plans.stages import Stages
+
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -54,13 +57,18 @@ def stages(spark: SparkSession, sf_dir: str, variant: Variant | None = None,
     """
     variant = variant or Variant()
     params = params or DEFAULT_PARAMS
-    graph = Stages.from_testdata(spark, sf_dir, variant=variant, params=params)
-    key = (spark.sparkContext.applicationId, sf_dir, variant, params,
-           graph.raw.inputFiles()[0] if graph.raw.inputFiles() else None)
-    cached = _STAGE_GRAPHS.get(key)
-    if cached is None:
-        _STAGE_GRAPHS[key] = cached = graph
-    return cached
+    staged = stage_keyed_raw(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, tuple(staged.inputFiles()), variant, params)
+    graph = _STAGE_GRAPHS.get(key)
+    if graph is None:
+        graph = _STAGE_GRAPHS[key] = Stages(staged, variant=variant, params=params,
+                                            raw_is_keyed=True)
+    return graph
+
+
+def over_stages(fn: Callable[[Stages], DataFrame], **stage_kw) -> QueryFn:
+    """A query ``(spark, sf_dir)`` from a function of the stage graph."""
+    return lambda spark, sf_dir: fn(stages(spark, sf_dir, **stage_kw))
 
 
 def no_audit(df: DataFrame) -> DataFrame:
@@ -245,9 +253,9 @@ UNION ALL SELECT 'principal_null_clean', count(*) FILTER (WHERE total_principal_
 UNION ALL SELECT 'last_date_sentinel_clean', count(*) FILTER (WHERE last_payment_date = '0.0') FROM rep_clean
 UNION ALL SELECT 'next_date_sentinel_clean', count(*) FILTER (WHERE next_payment_date = '0.0') FROM rep_clean
 UNION ALL SELECT 'delinq_zero_rows', count(*) FILTER (WHERE delinq_2yrs = 0) FROM def_base"""))(
-    lambda spark, d: (lambda s: audit.null_counts(s.customers_raw, s.customers, s.repayments_raw,
+    over_stages(lambda s: audit.null_counts(s.customers_raw, s.customers, s.repayments_raw,
                                                   s.repayments, s.defaulters_base)
-                      .withColumnRenamed("check", "check_name"))(stages(spark, d)))
+                      .withColumnRenamed("check", "check_name")))
 
 
 @register("audit_row_counts", with_ctes("""
@@ -326,9 +334,9 @@ register("dup_members_delinq", with_ctes("SELECT * FROM dup_delinq"))(
 register("dup_members_records", with_ctes("SELECT * FROM dup_rec"))(
     lambda spark, d: quarantine.dup_members(stages(spark, d).records))
 register("dup_members_union", with_ctes("SELECT * FROM bad", NOTEBOOK))(
-    lambda spark, d: (lambda s: quarantine.union_distinct(
+    over_stages(lambda s: quarantine.union_distinct(
         quarantine.dup_members(s.customers), quarantine.dup_members(s.delinq),
-        quarantine.dup_members(s.records)))(stages(spark, d, variant=NOTEBOOK)))
+        quarantine.dup_members(s.records)), variant=NOTEBOOK))
 
 
 @register("purpose_counts_before", with_ctes(
@@ -350,7 +358,7 @@ register("distinct_members", with_ctes("SELECT count(DISTINCT member_id) AS n_me
     lambda spark, d: audit.distinct_count(stages(spark, d).keyed, "member_id", "n_members"))
 
 register("anti_bad_members", with_ctes("SELECT * FROM records_new"))(
-    lambda spark, d: (lambda s: quarantine.not_in(s.records, s.bad))(stages(spark, d)))
+    over_stages(lambda s: quarantine.not_in(s.records, s.bad)))
 register("customers_new", with_ctes(f"SELECT {CUST_COLS} FROM customers_new"))(
     lambda spark, d: no_audit(stages(spark, d).customers_new))
 register("delinq_new", with_ctes("SELECT * FROM delinq_new"))(
@@ -370,16 +378,16 @@ register("join_loan_repayment", with_ctes("""
 SELECT p.loan_id, c.member_id, c.monthly_installment, c.funded_amount, p.last_payment_amount,
        p.total_payment_received
 FROM rep_clean p INNER JOIN loans_clean c ON c.loan_id = p.loan_id"""))(
-    lambda spark, d: (lambda s: s.repayments.join(s.loans.select(
+    over_stages(lambda s: s.repayments.join(s.loans.select(
         "loan_id", "member_id", "monthly_installment", "funded_amount"), on="loan_id", how="inner")
         .select("loan_id", "member_id", "monthly_installment", "funded_amount",
-                "last_payment_amount", "total_payment_received"))(stages(spark, d)))
+                "last_payment_amount", "total_payment_received")))
 
 register("semi_known_members", with_ctes(
     "SELECT * FROM pay_rows WHERE member_id IN (SELECT member_id FROM customers_new)"))(
-    lambda spark, d: (lambda s: quarantine.keep_known(
+    over_stages(lambda s: quarantine.keep_known(
         score.payment_points(s.loans, s.repayments), s.customers_new)
-        .select("loan_id", "member_id", "last_payment_pts", "total_payment_pts"))(stages(spark, d)))
+        .select("loan_id", "member_id", "last_payment_pts", "total_payment_pts")))
 
 register("join_default_history", with_ctes("""
 SELECT x.member_id, pc.n AS n_payment_rows, dc.n AS n_delinq_rows, rc.n AS n_record_rows, x.joined_rows
@@ -387,8 +395,8 @@ FROM (SELECT member_id, count(*) AS joined_rows FROM ldh GROUP BY member_id) x
 JOIN (SELECT member_id, count(*) AS n FROM ph GROUP BY member_id) pc ON pc.member_id = x.member_id
 JOIN (SELECT member_id, count(*) AS n FROM delinq_new GROUP BY member_id) dc ON dc.member_id = x.member_id
 JOIN (SELECT member_id, count(*) AS n FROM records_new GROUP BY member_id) rc ON rc.member_id = x.member_id"""))(
-    lambda spark, d: (lambda s: score.join_cardinality(
-        s.payment_history, s.delinq_new, s.records_new, bad=s.records_score_bad))(stages(spark, d)))
+    over_stages(lambda s: score.join_cardinality(
+        s.payment_history, s.delinq_new, s.records_new, bad=s.records_score_bad)))
 
 register("join_financial_health", with_ctes("""
 SELECT x.member_id, pc.n AS n_payment_rows, dc.n AS n_delinq_rows, rc.n AS n_record_rows,
@@ -399,9 +407,9 @@ JOIN (SELECT member_id, count(*) AS n FROM delinq_new GROUP BY member_id) dc ON
 JOIN (SELECT member_id, count(*) AS n FROM records_new GROUP BY member_id) rc ON rc.member_id = x.member_id
 JOIN (SELECT l.member_id, count(*) AS n FROM loans_clean l JOIN customers_new a ON a.member_id = l.member_id
       GROUP BY l.member_id) lc ON lc.member_id = x.member_id"""))(
-    lambda spark, d: (lambda s: score.join_cardinality(
+    over_stages(lambda s: score.join_cardinality(
         s.payment_history, s.delinq_new, s.records_new, s.loans, s.customers_new,
-        s.records_score_bad))(stages(spark, d)))
+        s.records_score_bad)))
 
 _VIEW_SQL = """
 SELECT {cols}
@@ -436,11 +444,11 @@ e.n_record_rows""")))(
 _PTS = points_sql()
 
 register("pts_last_payment", with_ctes("SELECT loan_id, member_id, last_payment_pts FROM pay_rows"))(
-    lambda spark, d: (lambda s: score.payment_points(s.loans, s.repayments)
-                      .select("loan_id", "member_id", "last_payment_pts"))(stages(spark, d)))
+    over_stages(lambda s: score.payment_points(s.loans, s.repayments)
+                      .select("loan_id", "member_id", "last_payment_pts")))
 register("pts_total_payment", with_ctes("SELECT loan_id, member_id, total_payment_pts FROM pay_rows"))(
-    lambda spark, d: (lambda s: score.payment_points(s.loans, s.repayments)
-                      .select("loan_id", "member_id", "total_payment_pts"))(stages(spark, d)))
+    over_stages(lambda s: score.payment_points(s.loans, s.repayments)
+                      .select("loan_id", "member_id", "total_payment_pts")))
 register("pts_delinq", with_ctes(
     f"SELECT d.member_id, d.delinq_2yrs, {_PTS['delinq']} AS delinq_pts FROM delinq_new d"))(
     lambda spark, d: stages(spark, d).delinq_new.select(
@@ -469,10 +477,9 @@ register("pts_home", with_ctes(
 register("pts_credit_limit", with_ctes(
     f"SELECT l.loan_id, a.member_id, {_PTS['credit']} AS credit_limit_pts FROM loans_clean l "
     "JOIN customers_new a ON a.member_id = l.member_id"))(
-    lambda spark, d: (lambda s: s.loans.select("loan_id", "member_id", "funded_amount")
-                      .join(s.customers_new.select("member_id", "total_high_credit_limit"), "member_id")
-                      .select("loan_id", "member_id", bands.credit_limit_pts().alias("credit_limit_pts")))
-    (stages(spark, d)))
+    over_stages(lambda s: s.loans.select("loan_id", "member_id", "funded_amount")
+                .join(s.customers_new.select("member_id", "total_high_credit_limit"), "member_id")
+                .select("loan_id", "member_id", bands.credit_limit_pts().alias("credit_limit_pts"))))
 register("pts_grade", with_ctes(
     f"SELECT a.member_id, a.grade, a.sub_grade, CAST({_PTS['grade']} AS DOUBLE) AS grade_pts "
     "FROM customers_new a"))(
