@@ -5,21 +5,22 @@ under ``spark.checkpoint.dir``):
 
     bronze/keyed_raw         raw rows + member key (one scan of the source)
     raw/{customers,loans,repayments,defaulters}   the four splits
-    cleaned/{customers,loans,repayments,delinq,records}
+    cleaned/{customers,loans,repayments,delinq,records,record_members}
     gold/{bad_customer_data,customers_new,delinq_new,records_new}
     gold/loan_score          weighted reference-grain score
     gold/loan_score_by_loan  one score per loan
 
-Each zone is written with overwrite semantics and read back before the next
-stage, so a lost executor only recomputes its own zone and a rerun of the
-job is idempotent.  Tables and the consolidated view are registered in the
-session catalog under ``database``.
+Stages talk only through the zones, so each can run on its own (as the
+reference runs one script per stage) or all in one go.  Each zone is written
+with overwrite semantics and read back before the next stage: a lost
+executor only recomputes its own zone, and a rerun is idempotent.  Tables
+and the consolidated view are registered in the session catalog.
 """
 
 from __future__ import annotations
 
 import argparse
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,63 +31,100 @@ from lendwise.params import DEFAULT_PARAMS, DEFAULT_VARIANT, ScoreParams, Varian
 from lendwise.session import scratch_path
 from lendwise.sources import fixture, io
 
+SPLIT_DDL = {"customers": schemas.CUSTOMERS_RAW, "loans": schemas.LOANS_RAW,
+             "repayments": schemas.REPAYMENTS_RAW, "defaulters": schemas.DEFAULTERS_RAW}
+SPLITS = {"customers": split.split_customers, "loans": split.split_loans,
+          "repayments": split.split_repayments, "defaulters": split.split_defaulters}
 
-@dataclass
-class JobResult:
-    root: str
-    database: str | None
-    tables: dict[str, str]
-
-
-def _zone(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    io.write_parquet(df, path)
-    return spark.read.parquet(path)
 
+@dataclass
+class Zones:
+    """Paths of every zone under one root."""
 
-def run(spark: SparkSession, raw: DataFrame, root: str | None = None,
-        database: str | None = None, variant: Variant = DEFAULT_VARIANT,
-        params: ScoreParams = DEFAULT_PARAMS, raw_is_keyed: bool = False) -> JobResult:
-    root = (root or scratch_path(spark, "job")).rstrip("/")
-    paths: dict[str, str] = {}
-
-    def zone(name: str, df: DataFrame) -> DataFrame:
-        paths[name] = f"{root}/{name}"
-        return _zone(spark, df, paths[name])
-
-    keyed = zone("bronze/keyed_raw", raw if raw_is_keyed else with_member_key(raw))
-
-    customers_raw = zone("raw/customers", split.customers_raw(keyed))
-    loans_raw = zone("raw/loans", split.loans_raw(keyed))
-    repayments_raw = zone("raw/repayments", split.repayments_raw(keyed))
-    defaulters_raw = zone("raw/defaulters", split.defaulters_raw(keyed))
-
-    customers = zone("cleaned/customers", clean.customers_clean(customers_raw))
-    loans = zone("cleaned/loans", clean.loans_clean(loans_raw, variant))
-    repayments = zone("cleaned/repayments", clean.repayments_clean(repayments_raw, variant))
-    base = clean.defaulters_base(defaulters_raw)
-    delinq = zone("cleaned/delinq", clean.delinq_members(base, variant))
-    records = zone("cleaned/records", clean.record_detail(base, variant))
-    zone("cleaned/record_members", clean.record_members(base))
-
-    bad = zone("gold/bad_customer_data",
-               quarantine.bad_members(customers, delinq, records, variant))
+    root: str
+    split_format: str = "parquet"
+    tables: dict[str, str] = field(default_factory=dict)
+
+    def path(self, name: str) -> str:
+        p = f"{self.root.rstrip('/')}/{name}"
+        self.tables[name] = p
+        return p
+
+    def write(self, spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+        path = self.path(name)
+        io.write_parquet(df, path)
+        return spark.read.parquet(path)
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        return spark.read.parquet(self.path(name))
+
+    # the raw splits may be CSV (the reference's raw zone) or parquet
+    def write_split(self, spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+        path = self.path(f"raw/{name}")
+        if self.split_format == "csv":
+            io.write_csv(df, path)
+        else:
+            io.write_parquet(df, path)
+        return self.read_split(spark, name)
+
+    def read_split(self, spark: SparkSession, name: str) -> DataFrame:
+        """A split bound to its declared schema (positionally, like the CSV read)."""
+        path = self.path(f"raw/{name}")
+        if self.split_format == "csv":
+            return io.read_csv_schema(spark, path, SPLIT_DDL[name])
+        return split.conform(spark.read.parquet(path), SPLIT_DDL[name])
+
+
+def stage_split(spark: SparkSession, raw: DataFrame, zones: Zones,
+                raw_is_keyed: bool = False) -> None:
+    """Key the raw rows once, then write the four splits from that zone."""
+    keyed = zones.write(spark, "bronze/keyed_raw", raw if raw_is_keyed else with_member_key(raw))
+    for name, fn in SPLITS.items():
+        zones.write_split(spark, name, fn(keyed))
+
+
+def stage_clean(spark: SparkSession, zones: Zones, variant: Variant = DEFAULT_VARIANT) -> None:
+    """The four cleaning jobs."""
+    zones.write(spark, "cleaned/customers", clean.customers_clean(zones.read_split(spark, "customers")))
+    zones.write(spark, "cleaned/loans", clean.loans_clean(zones.read_split(spark, "loans"), variant))
+    zones.write(spark, "cleaned/repayments",
+                clean.repayments_clean(zones.read_split(spark, "repayments"), variant))
+    base = clean.defaulters_base(zones.read_split(spark, "defaulters"))
+    zones.write(spark, "cleaned/delinq", clean.delinq_members(base, variant))
+    zones.write(spark, "cleaned/records", clean.record_detail(base, variant))
+    zones.write(spark, "cleaned/record_members", clean.record_members(base))
+
+
+def stage_quarantine(spark: SparkSession, zones: Zones, variant: Variant = DEFAULT_VARIANT) -> None:
+    """Duplicate-member list and the quarantined gold tables."""
+    customers = zones.read(spark, "cleaned/customers")
+    delinq = zones.read(spark, "cleaned/delinq")
+    records = zones.read(spark, "cleaned/records")
+    bad = zones.write(spark, "gold/bad_customer_data",
+                      quarantine.bad_members(customers, delinq, records, variant))
     c_new, d_new, r_new = quarantine.quarantine(customers, delinq, records, bad, variant)
-    customers_new = zone("gold/customers_new", c_new)
-    delinq_new = zone("gold/delinq_new", d_new)
-    records_new = zone("gold/records_new", r_new)
-
+    zones.write(spark, "gold/customers_new", c_new)
+    zones.write(spark, "gold/delinq_new", d_new)
+    zones.write(spark, "gold/records_new", r_new)
+
+
+def stage_score(spark: SparkSession, zones: Zones, variant: Variant = DEFAULT_VARIANT,
+                params: ScoreParams = DEFAULT_PARAMS) -> None:
+    """Weighted reference-grain score and the per-loan score."""
+    loans = zones.read(spark, "cleaned/loans")
+    repayments = zones.read(spark, "cleaned/repayments")
+    bad = zones.read(spark, "gold/bad_customer_data")
+    customers_new = zones.read(spark, "gold/customers_new")
+    delinq_new = zones.read(spark, "gold/delinq_new")
+    records_new = zones.read(spark, "gold/records_new")
     records_bad = None if variant.quarantine_lists == "shared" else bad
     ph = score.payment_history(loans, repayments, customers_new, bad, variant, params)
-    zone("gold/loan_score", score.loan_score_final(
+    zones.write(spark, "gold/loan_score", score.loan_score_final(
         ph, delinq_new, records_new, loans, customers_new, records_bad, variant, params))
-    zone("gold/loan_score_by_loan", score.loan_score_by_loan(
+    zones.write(spark, "gold/loan_score_by_loan", score.loan_score_by_loan(
         loans, repayments, customers_new, delinq_new, records_new, bad, variant, params,
         records_bad))
 
-    if database:
-        register_tables(spark, database, paths)
-    return JobResult(root, database, paths)
-
 
 TABLE_DDL = {
     "cleaned/customers": ("customers", schemas.CUSTOMERS_TABLE),
@@ -101,15 +139,15 @@ TABLE_DDL = {
 }
 
 
-def register_tables(spark: SparkSession, database: str, paths: dict[str, str]) -> None:
+def register_tables(spark: SparkSession, database: str, zones: Zones) -> None:
     """K6/K7/K8: external tables over the zones and the consolidated view."""
     io.create_database(spark, database)
     for zone_name, (table, ddl) in TABLE_DDL.items():
-        io.external_table(spark, f"{database}.{table}", ddl, paths[zone_name], replace=True)
+        io.external_table(spark, f"{database}.{table}", ddl, zones.path(zone_name), replace=True)
     for zone_name in ("gold/loan_score", "gold/loan_score_by_loan"):
-        table = zone_name.split("/")[1]
-        if not spark.catalog.tableExists(f"{database}.{table}"):
-            spark.catalog.createTable(f"{database}.{table}", path=paths[zone_name], source="parquet")
+        table = f"{database}.{zone_name.split('/')[1]}"
+        io.drop_table(spark, table)
+        spark.catalog.createTable(table, path=zones.path(zone_name), source="parquet")
     db = database
     # A view holds SQL text: the same skew-safe joins as the DataFrame view.
     io.persistent_view(spark, f"{db}.customers_loan_v", views.consolidated_view_sql(
@@ -117,25 +155,70 @@ def register_tables(spark: SparkSession, database: str, paths: dict[str, str]) -
         f"{db}.loans_defaulters_delinq_new", f"{db}.loans_defaulters_detail_rec_enq_new"))
 
 
+@dataclass
+class JobResult:
+    root: str
+    database: str | None
+    tables: dict[str, str]
+
+
+def run(spark: SparkSession, raw: DataFrame, root: str | None = None,
+        database: str | None = None, variant: Variant = DEFAULT_VARIANT,
+        params: ScoreParams = DEFAULT_PARAMS, raw_is_keyed: bool = False,
+        split_format: str = "parquet") -> JobResult:
+    """All stages in order."""
+    zones = Zones(root or scratch_path(spark, "job"), split_format)
+    stage_split(spark, raw, zones, raw_is_keyed)
+    stage_clean(spark, zones, variant)
+    stage_quarantine(spark, zones, variant)
+    stage_score(spark, zones, variant, params)
+    if database:
+        register_tables(spark, database, zones)
+    return JobResult(zones.root, database, zones.tables)
+
+
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """The raw accepted-loans CSV with the declared raw schema (no inference pass)."""
     return io.read_csv_schema(spark, path, schemas.RAW)
 
 
+STAGES = ("all", "split", "clean", "quarantine", "score", "register")
+
+
 def main(argv=None) -> None:
-    ap = argparse.ArgumentParser(description="Run the loan-score job zone by zone.")
-    src = ap.add_mutually_exclusive_group(required=True)
-    src.add_argument("--raw-csv", help="raw accepted-loans CSV (header)")
-    src.add_argument("--testdata", help="folder of the TPC-H-style test tables")
-    ap.add_argument("--root", help="output root (default: fresh folder under spark.checkpoint.dir)")
+    ap = argparse.ArgumentParser(description="Run the loan-score job, or one stage of it.")
+    ap.add_argument("--stage", choices=STAGES, default="all")
+    ap.add_argument("--raw-csv", help="raw accepted-loans CSV with header (split/all)")
+    ap.add_argument("--testdata", help="folder of the TPC-H-style test tables (split/all)")
+    ap.add_argument("--root", help="zone root (default: fresh folder under spark.checkpoint.dir)")
+    ap.add_argument("--split-format", choices=("parquet", "csv"), default="parquet")
     ap.add_argument("--database", default=None)
     ap.add_argument("--notebook-variant", action="store_true")
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("lendwise-job").getOrCreate()
-    raw = read_raw_csv(spark, args.raw_csv) if args.raw_csv else fixture.raw_loans(spark, args.testdata)
+    spark = SparkSession.builder.appName(f"lendwise-{args.stage}").getOrCreate()
     variant = Variant.notebook() if args.notebook_variant else DEFAULT_VARIANT
-    res = run(spark, raw, args.root, args.database, variant)
-    print(res.root)
+    if args.stage != "all" and not args.root:
+        ap.error("--root is required to run a single stage")
+    zones = Zones(args.root or scratch_path(spark, "job"), args.split_format)
+
+    def raw() -> DataFrame:
+        if args.raw_csv:
+            return read_raw_csv(spark, args.raw_csv)
+        if args.testdata:
+            return fixture.raw_loans(spark, args.testdata)
+        ap.error("--raw-csv or --testdata is required for the split stage")
+
+    if args.stage in ("all", "split"):
+        stage_split(spark, raw(), zones)
+    if args.stage in ("all", "clean"):
+        stage_clean(spark, zones, variant)
+    if args.stage in ("all", "quarantine"):
+        stage_quarantine(spark, zones, variant)
+    if args.stage in ("all", "score"):
+        stage_score(spark, zones, variant)
+    if args.stage in ("all", "register") and args.database:
+        register_tables(spark, args.database, zones)
+    print(zones.root)
 
 
 if __name__ == "__main__":

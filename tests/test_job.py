@@ -36,3 +36,16 @@ def test_raw_csv_round_trip_keeps_member_keys(spark, tmp_dir):
     a = with_member_key(raw).select("id", "member_id")
     b = with_member_key(back).select("id", "member_id")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stages_run_separately_with_csv_raw_zone(spark, tmp_dir):
+    """Each stage alone, through the zones, with the raw splits as header CSV."""
+    from lendwise.plans.job import Zones, stage_clean, stage_quarantine, stage_score, stage_split
+    zones = Zones(tmp_dir + "/zones", split_format="csv")
+    stage_split(spark, fixture.raw_loans(spark, SF_SMALL), zones)
+    stage_clean(spark, Zones(zones.root, "csv"))
+    stage_quarantine(spark, Zones(zones.root, "csv"))
+    stage_score(spark, Zones(zones.root, "csv"))
+    s = Stages.from_testdata(spark, SF_SMALL)
+    got = spark.read.parquet(zones.root + "/gold/loan_score")
+    assert _bag(got) == _bag(s.loan_score)
