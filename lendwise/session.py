@@ -46,13 +46,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (a bare local test session) is a private
-    folder created and registered as the checkpoint dir.
+    Only a local-mode session without one (a bare test session) gets a
+    private folder, registered as its checkpoint dir; on a cluster a missing
+    setting is an error, because a machine-local folder is not visible to
+    the executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="lendwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
