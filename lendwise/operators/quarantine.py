@@ -24,6 +24,14 @@ def dup_members(df: DataFrame, key: str = KEY) -> DataFrame:
               .filter(F.col("total") > 1).select(key))
 
 
+def single_row_members(df: DataFrame, key: str = KEY) -> DataFrame:
+    """Ids that occur on exactly one row: the members left in a table after
+    removing its own duplicate list (same aggregate as ``dup_members``, so
+    Spark shares its shuffle)."""
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("total"))
+              .filter(F.col("total") == 1).select(key))
+
+
 def member_multiplicity(df: DataFrame, key: str = KEY) -> DataFrame:
     """Rows per member, most first."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("total")).orderBy(F.desc("total"))

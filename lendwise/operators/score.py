@@ -63,7 +63,11 @@ def payment_points(loans: DataFrame, repayments: DataFrame,
 def payment_history(loans: DataFrame, repayments: DataFrame, customers_new: DataFrame,
                     bad: DataFrame, variant: Variant = DEFAULT_VARIANT,
                     p: ScoreParams = DEFAULT_PARAMS) -> DataFrame:
-    """Payment points of members known to customers_new (V6: or not bad)."""
+    """Payment points of members known to customers_new (V6: or not bad).
+
+    Only the member ids of ``customers_new`` are used, so any frame holding
+    them (e.g. ``Stages.known_members``) can be passed.
+    """
     ph = payment_points(loans, repayments, p)
     if variant.payment_membership == "not_bad":
         ph = not_in(ph, bad)
@@ -247,7 +251,8 @@ def loan_score_by_loan(loans: DataFrame, repayments: DataFrame, customers_new: D
                        delinq_new: DataFrame, records_new: DataFrame, bad: DataFrame,
                        variant: Variant = DEFAULT_VARIANT,
                        p: ScoreParams = DEFAULT_PARAMS,
-                       records_bad: DataFrame | None = None) -> DataFrame:
+                       records_bad: DataFrame | None = None,
+                       known: DataFrame | None = None) -> DataFrame:
     """One score per loan: the loan id is kept through the payment join, and
     the member's delinquency and records are reduced to their worst values.
 
@@ -258,7 +263,7 @@ def loan_score_by_loan(loans: DataFrame, repayments: DataFrame, customers_new: D
     if variant.payment_membership == "not_bad":
         pay = not_in(pay, bad)
     else:
-        pay = keep_known(pay, customers_new)
+        pay = keep_known(pay, customers_new if known is None else known)
     worst_delinq = delinq_new.groupBy(KEY).agg(F.max("delinq_2yrs").alias("delinq_2yrs"))
     worst_rec = _not_in_opt(records_new.groupBy(KEY).agg(
         F.max("pub_rec").alias("pub_rec"),

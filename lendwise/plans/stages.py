@@ -142,6 +142,15 @@ class Stages:
     def records_new(self) -> DataFrame:
         return self._quarantined[2]
 
+    @cached_property
+    def known_members(self) -> DataFrame:
+        """Member ids of customers_new.  When the bad list is the customer
+        duplicate list, these are the members with one customer row, read
+        off the same aggregate (no anti join needed)."""
+        if self.variant.bad_scope == "customers":
+            return quarantine.single_row_members(self.customers)
+        return self.customers_new.select("member_id")
+
     # stage 4: score
     @property
     def records_score_bad(self) -> DataFrame | None:
@@ -151,7 +160,7 @@ class Stages:
 
     @cached_property
     def payment_history(self) -> DataFrame:
-        return score.payment_history(self.loans, self.repayments, self.customers_new,
+        return score.payment_history(self.loans, self.repayments, self.known_members,
                                      self.bad, self.variant, self.params)
 
     @cached_property
@@ -174,7 +183,8 @@ class Stages:
     def loan_score_by_loan(self) -> DataFrame:
         return score.loan_score_by_loan(self.loans, self.repayments, self.customers_new,
                                         self.delinq_new, self.records_new, self.bad,
-                                        self.variant, self.params, self.records_score_bad)
+                                        self.variant, self.params, self.records_score_bad,
+                                        known=self.known_members)
 
     # views
     @cached_property
