@@ -44,13 +44,26 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
 
 
+_KEYED_PLANS: dict[tuple, DataFrame] = {}
+
+
+def keyed_raw_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The (lazy) keyed raw relation over the test tables; its plan is built
+    and analysed once per application and input."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _fingerprint(sf_dir))
+    plan = _KEYED_PLANS.get(key)
+    if plan is None:
+        plan = _KEYED_PLANS[key] = with_member_key(fixture.raw_loans(spark, sf_dir))
+    return plan
+
+
 def stage_keyed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keyed raw relation, written once per application and input."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _fingerprint(sf_dir))
     path = _STAGED.get(key)
     if path is None or not _exists(spark, path):
         path = scratch_path(spark, "bronze", "keyed_raw")
-        with_member_key(fixture.raw_loans(spark, sf_dir)).write.mode("overwrite").parquet(path)
+        keyed_raw_plan(spark, sf_dir).write.mode("overwrite").parquet(path)
         _STAGED[key] = path
     return spark.read.parquet(path)
 
