@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ MEMBER_KEY_COLUMNS = ("emp_title", "emp_length", "home_ownership",
                       "annual_inc", "zip_code", "addr_state", "grade",
                       "sub_grade", "verification_status")
 MEMBER_KEY_SEPARATOR = "||"
+# The key every row without identity attributes gets (SHA-256 of "").
+EMPTY_MEMBER_KEY = hashlib.sha256(b"").hexdigest()
 
 
 def member_key(*cols: str) -> Column:

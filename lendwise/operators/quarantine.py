@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendwise.functions.keys import EMPTY_MEMBER_KEY
 from lendwise.params import DEFAULT_VARIANT, Variant
 
 KEY = "member_id"
@@ -69,11 +70,16 @@ def keep_known(df: DataFrame, known: DataFrame, key: str = KEY) -> DataFrame:
 
 def bad_members(customers: DataFrame, delinq: DataFrame, records: DataFrame,
                 variant: Variant = DEFAULT_VARIANT) -> DataFrame:
-    """The list the score excludes: customer duplicates, or the union (V4)."""
+    """The list the score excludes: customer duplicates, or the union (V4);
+    optionally also the all-null identity key."""
     if variant.bad_scope == "all":
-        return union_distinct(dup_members(customers), dup_members(delinq),
-                              dup_members(records))
-    return dup_members(customers)
+        out = union_distinct(dup_members(customers), dup_members(delinq), dup_members(records))
+    else:
+        out = dup_members(customers)
+    if variant.quarantine_empty_key:
+        empty = customers.where(F.col(KEY) == F.lit(EMPTY_MEMBER_KEY)).select(KEY)
+        out = union_distinct(out, empty)
+    return out
 
 
 def quarantine(customers: DataFrame, delinq: DataFrame, records: DataFrame,

@@ -101,6 +101,10 @@ class Variant:
     # V8: term text -> digits by stripping " months" ("suffix") or every
     # non-digit ("digits").
     term_parse: str = "digits"
+    # Also quarantine the key of rows whose nine identity attributes are all
+    # null (they all hash the empty text, so that key gathers unrelated
+    # customers and is the natural hot key).
+    quarantine_empty_key: bool = False
 
     @classmethod
     def notebook(cls) -> "Variant":

@@ -160,7 +160,7 @@ class Stages:
         """Member ids of customers_new.  When the bad list is the customer
         duplicate list, these are the members with one customer row, read
         off the same aggregate (no anti join needed)."""
-        if self.variant.bad_scope == "customers":
+        if self.variant.bad_scope == "customers" and not self.variant.quarantine_empty_key:
             return quarantine.single_row_members(self.customers)
         return self.customers_new.select("member_id")
 

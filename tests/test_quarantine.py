@@ -45,3 +45,15 @@ def test_quarantined_tables_hold_no_bad_member(spark):
         assert t.join(s.bad, "member_id", "left_semi").count() == 0
     # customers_new has one row per member (the fan-out invariant the score relies on)
     assert s.customers_new.groupBy("member_id").count().filter("count > 1").count() == 0
+
+
+def test_empty_identity_key_can_be_quarantined(spark):
+    from lendwise.functions.keys import EMPTY_MEMBER_KEY
+    from lendwise.params import Variant
+    cust = spark.createDataFrame([(EMPTY_MEMBER_KEY, "a"), ("k1", "b"), ("k2", "c"), ("k2", "d")],
+                                 "member_id string, x string")
+    empty = spark.createDataFrame([], "member_id string")
+    base = {r[0] for r in quarantine.bad_members(cust, empty, empty).collect()}
+    strict = {r[0] for r in quarantine.bad_members(cust, empty, empty,
+                                                   Variant(quarantine_empty_key=True)).collect()}
+    assert base == {"k2"} and strict == {"k2", EMPTY_MEMBER_KEY}
