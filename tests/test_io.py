@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql.utils import AnalysisException
 
 from lendwise import schemas

@@ -3,8 +3,6 @@
 import hashlib
 
 import pytest
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from lendwise.functions import rules
 from lendwise.functions.keys import MEMBER_KEY_COLUMNS, member_key

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from lendwise.functions.keys import with_member_key
-from lendwise.operators import split
 from lendwise.plans import job
 from lendwise.sources import fixture, io
 from lendwise.streaming import ingest
