@@ -109,8 +109,13 @@ def stage_quarantine(spark: SparkSession, zones: Zones, variant: Variant = DEFAU
 
 
 def stage_score(spark: SparkSession, zones: Zones, variant: Variant = DEFAULT_VARIANT,
-                params: ScoreParams = DEFAULT_PARAMS) -> None:
-    """Weighted reference-grain score and the per-loan score."""
+                params: ScoreParams = DEFAULT_PARAMS, expand: bool = False) -> None:
+    """Weighted reference-grain score and the per-loan score.
+
+    ``expand=True`` also writes ``gold/loan_score_rows``: the reference's
+    layout, one row per joined row, produced in distributed chunks from the
+    weighted table.  Its size is the reference's fan-out, so it is opt-in.
+    """
     loans = zones.read(spark, "cleaned/loans")
     repayments = zones.read(spark, "cleaned/repayments")
     bad = zones.read(spark, "gold/bad_customer_data")
@@ -119,8 +124,10 @@ def stage_score(spark: SparkSession, zones: Zones, variant: Variant = DEFAULT_VA
     records_new = zones.read(spark, "gold/records_new")
     records_bad = None if variant.quarantine_lists == "shared" else bad
     ph = score.payment_history(loans, repayments, customers_new, bad, variant, params)
-    zones.write(spark, "gold/loan_score", score.loan_score_final(
+    weighted = zones.write(spark, "gold/loan_score", score.loan_score_final(
         ph, delinq_new, records_new, loans, customers_new, records_bad, variant, params))
+    if expand:
+        zones.write(spark, "gold/loan_score_rows", score.expand_rows(weighted))
     zones.write(spark, "gold/loan_score_by_loan", score.loan_score_by_loan(
         loans, repayments, customers_new, delinq_new, records_new, bad, variant, params,
         records_bad))
@@ -194,6 +201,8 @@ def main(argv=None) -> None:
     ap.add_argument("--split-format", choices=("parquet", "csv"), default="parquet")
     ap.add_argument("--database", default=None)
     ap.add_argument("--notebook-variant", action="store_true")
+    ap.add_argument("--expand-score", action="store_true",
+                    help="also write the score one row per joined row (the reference layout)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"lendwise-{args.stage}").getOrCreate()
     variant = Variant.notebook() if args.notebook_variant else DEFAULT_VARIANT
@@ -215,7 +224,7 @@ def main(argv=None) -> None:
     if args.stage in ("all", "quarantine"):
         stage_quarantine(spark, zones, variant)
     if args.stage in ("all", "score"):
-        stage_score(spark, zones, variant)
+        stage_score(spark, zones, variant, expand=args.expand_score)
     if args.stage in ("all", "register") and args.database:
         register_tables(spark, args.database, zones)
     print(zones.root)
