@@ -9,6 +9,7 @@ under ``spark.checkpoint.dir``):
     gold/{bad_customer_data,customers_new,delinq_new,records_new}
     gold/loan_score          weighted reference-grain score
     gold/loan_score_by_loan  one score per loan
+    gold/loan_score_rows     optional: one row per joined row (--expand-score)
 
 Stages talk only through the zones, so each can run on its own (as the
 reference runs one script per stage) or all in one go.  Each zone is written
