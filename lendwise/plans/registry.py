@@ -181,6 +181,12 @@ register("term_years", with_ctes(
     lambda spark, d: stages(spark, d).loans_raw.select(
         "loan_id", "loan_term_months", rules.term_years("loan_term_months").alias("loan_term_years")))
 
+register("term_years_suffix", with_ctes(
+    "SELECT loan_id, loan_term_months, CAST(trunc(TRY_CAST(regexp_replace(loan_term_months, ' months', '', 'g') "
+    "AS INTEGER) / 12) AS INTEGER) AS loan_term_years FROM loans_raw"))(
+    lambda spark, d: stages(spark, d).loans_raw.select(
+        "loan_id", "loan_term_months", rules.term_years("loan_term_months", "suffix").alias("loan_term_years")))
+
 register("purpose_enum", with_ctes(
     "SELECT loan_id, loan_purpose AS purpose_text, CASE WHEN loan_purpose IN ("
     + ", ".join("'" + x + "'" for x in LOAN_PURPOSES)
