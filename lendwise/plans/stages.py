@@ -16,9 +16,9 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from lendwise.functions.keys import with_member_key
-from lendwise.session import scratch_path
 from lendwise.operators import clean, quarantine, score, split, views
 from lendwise.params import DEFAULT_PARAMS, DEFAULT_VARIANT, ScoreParams, Variant
+from lendwise.session import scratch_path
 from lendwise.sources import fixture
 
 
@@ -38,10 +38,10 @@ def _fingerprint(sf_dir: str) -> tuple:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+    """Whether a completed write (its ``_SUCCESS`` marker) is still at ``path``."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(marker)
 
 
 _KEYED_PLANS: dict[tuple, DataFrame] = {}
