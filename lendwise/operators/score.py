@@ -50,12 +50,17 @@ def _product_join(left: DataFrame, right: DataFrame, how: str = "inner") -> Data
 # -- per-row point frames ---------------------------------------------------
 
 def payment_points(loans: DataFrame, repayments: DataFrame,
-                   p: ScoreParams = DEFAULT_PARAMS) -> DataFrame:
-    """J1 + G1 + G2: one row per loan ⋈ repayment (equi join on loan_id)."""
-    joined = repayments.join(loans.select("loan_id", KEY, "monthly_installment", "funded_amount"),
-                             on="loan_id", how="inner")
+                   p: ScoreParams = DEFAULT_PARAMS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """J1 + G1 + G2: one row per loan ⋈ repayment (equi join on loan_id).
+
+    ``carry`` names further loan columns to keep, so a caller that needs
+    them does not join loans a second time.
+    """
+    cols = ["loan_id", KEY, "monthly_installment", "funded_amount",
+            *[c for c in carry if c != "funded_amount"]]
+    joined = repayments.join(loans.select(*cols), on="loan_id", how="inner")
     return joined.select(
-        "loan_id", KEY,
+        "loan_id", KEY, *carry,
         bands.last_payment_pts("last_payment_amount", "monthly_installment", p).alias("last_payment_pts"),
         bands.total_payment_pts("total_payment_received", "funded_amount", p).alias("total_payment_pts"))
 
@@ -259,7 +264,7 @@ def loan_score_by_loan(loans: DataFrame, repayments: DataFrame, customers_new: D
     Same membership rules as the reference grain (known customers, present
     in both default tables, not quarantined).
     """
-    pay = payment_points(loans, repayments, p)
+    pay = payment_points(loans, repayments, p, carry=("loan_status", "funded_amount"))
     if variant.payment_membership == "not_bad":
         pay = not_in(pay, bad)
     else:
@@ -271,8 +276,7 @@ def loan_score_by_loan(loans: DataFrame, repayments: DataFrame, customers_new: D
         F.max("inq_last_6mths").alias("inq_last_6mths")), records_bad)
     cust = customers_new.select(KEY, "home_ownership", "total_high_credit_limit",
                                 "grade", "sub_grade")
-    row = (pay.join(loans.select("loan_id", "loan_status", "funded_amount"), on="loan_id")
-              .join(worst_delinq, on=KEY).join(worst_rec, on=KEY).join(cust, on=KEY))
+    row = pay.join(worst_delinq, on=KEY).join(worst_rec, on=KEY).join(cust, on=KEY)
     pay_sum = F.col("last_payment_pts") + F.col("total_payment_pts")
     def_sum = (bands.delinq_pts("delinq_2yrs", p) + bands.public_records_pts("pub_rec", p)
                + bands.bankruptcies_pts("pub_rec_bankruptcies", p)
