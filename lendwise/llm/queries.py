@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lendwise.session import scratch_path
 
-from . import divergence, secret_ledger, sharding, warc
+from . import divergence, piece_codec, secret_ledger, sharding, token_counts, warc
 from .shared import read_table
 
 # Production size of a shard is set by the job; the registered query uses a
 # limit at which its tables make many shards.
 SHARD_BYTES = 1 << 20
+MAX_TOKENS = 1024
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizer files are installed; never copied here."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = token_counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                     MAX_TOKENS)
+    return rows.withColumnRenamed("id", "doc_id")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +33,20 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "n_repeat_words", "base_failed", "kept")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = piece_codec.encode(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), decoded=True)
+    return rows.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"),
+                       spans_cover("begins", "ends", "n_bytes").alias("spans_cover"))
+
+
+def spans_cover(begins: str, ends: str, n_bytes: str) -> Column:
+    """Whether the pieces' spans run through the whole text."""
+    last = F.coalesce(F.get(ends, F.size(ends) - 1), F.lit(0))
+    return (F.coalesce(F.get(begins, F.lit(0)), F.lit(0)) == 0) & (last == F.col(n_bytes))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.assign_shards(read_table(spark, sf_dir, "documents"), SHARD_BYTES)
     return rows.select(F.col("id").alias("doc_id"), "n_bytes", "shard", "page", "shard_bytes", "shard_rows")
@@ -42,7 +69,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                        secret_ledger.joined(F.col("findings")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op5_sharding, op6_warc, op9_secret_scans)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_sentencepiece, op5_sharding, op6_warc, op9_secret_scans)}
 
 # Fixed values below are the contracts' patterns and constants, written out
 # again so that the SQL does not depend on the code it checks.
