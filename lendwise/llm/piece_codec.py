@@ -8,12 +8,12 @@ to spans of the original bytes.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from .bpe import PairTable, merge_words
@@ -126,14 +126,14 @@ class PieceModel:
         return PairTable(*(zip(*rows) if rows else ((), (), (), ())))
 
     @cached_property
-    def chunks(self) -> regex.Pattern:
-        """Pieces never hold a space mark after another character, nor a
-        character that is in no longer piece: merges cannot cross there."""
-        inner = sorted({c for p in self.pieces if len(p) > 1 for c in p} - {SPACE})
+    def chunks(self) -> re.Pattern:
+        """Pieces never hold a space mark after another character, nor a line
+        break that is in no longer piece: merges cannot cross there."""
+        inner = {c for p in self.pieces if len(p) > 1 for c in p}
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
-            return regex.compile(r"(?s).+")
-        joined = regex.escape("".join(inner), special_only=False)
-        return regex.compile(f"{SPACE}+[{joined}]*|[{joined}]+|(?s:.)")
+            return re.compile(r"(?s).+")
+        alone = "".join(c for c in "\n\r\t" if c not in inner)
+        return re.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+|(?s:.)")
 
 
 def normalise(model: PieceModel, text: bytes) -> tuple[bytes, np.ndarray]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lendwise.session import scratch_path
 
-from . import divergence, piece_codec, secret_ledger, sharding, token_counts, warc
+from . import divergence, language_mixture, piece_codec, quality_trees, secret_ledger, sharding, token_counts, warc
 from .shared import read_table
 
 # Production size of a shard is set by the job; the registered query uses a
@@ -21,6 +21,27 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def id_remainder(id_col: str, n: int) -> Column:
+    """crc32 of the id as text, modulo ``n``."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
+    names, table = language_mixture.learn(docs.where(id_remainder("doc_id", 3) != 1))
+    rows = language_mixture.identify(docs, names, table).withColumnRenamed("id", "doc_id")
+    return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", F.size("languages").alias("n_languages"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = F.coalesce(id_remainder("doc_id", 5) == 0, F.lit(False))
+    model = quality_trees.fit(docs, labels.where(id_remainder("doc_id", 5) != 0))
+    rows = quality_trees.classify(docs, model).withColumnRenamed("id", "doc_id")
+    return rows.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = token_counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
                                      MAX_TOKENS)
@@ -69,7 +90,9 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                        secret_ledger.joined(F.col("findings")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_sentencepiece, op5_sharding, op6_warc, op9_secret_scans)}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_token_counts, op3_quality_rules, op4_sentencepiece, op5_sharding, op6_warc, op9_secret_scans,
+    op10_quality_classifier)}
 
 # Fixed values below are the contracts' patterns and constants, written out
 # again so that the SQL does not depend on the code it checks.
