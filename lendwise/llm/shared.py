@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -82,3 +83,15 @@ def ship_package(spark: SparkSession) -> None:
     made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="lendwise-pkg-"), "lendwise"), "zip", root, "lendwise")
     sc.addPyFile(made)
     sc._lendwise_shipped = True
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int):
+    """At most ``rows`` rows in each Arrow batch of the jobs run inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
