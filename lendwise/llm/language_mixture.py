@@ -219,3 +219,22 @@ def identify(docs: DataFrame, names: list[str], table: np.ndarray, params: Mixtu
     rows = id_and_text(docs, id_col, text_col, null_as_empty=False)
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(work, f"id {kind}, lang_pred string, score double, languages array<struct<lang:string,share:double>>")
+
+
+def keep_identified(docs: DataFrame, names: list[str], table: np.ndarray, least_score: float,
+                    params: MixtureParams = MixtureParams(), text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is determined with at least
+    ``least_score`` as its proportion, all columns kept.  Rows pass through
+    the tasks that read them; nothing is joined or shuffled."""
+    ship_package(docs.sparkSession)
+    model = docs.sparkSession.sparkContext.broadcast(table)
+    place = docs.columns.index(text_col)
+
+    def work(batches):
+        mixture = Mixture(model.value, params)
+        for batch in text_slices(batches, text_col):
+            shares = mixture.infer([t or "" for t in batch.column(place).to_pylist()])
+            top = shares.max(1) if names else np.zeros(batch.num_rows)
+            yield batch.filter(pa.array((top > 0) & (top >= least_score)))
+
+    return docs.mapInArrow(work, docs.schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .components import connected_components
-from .shared import arrow_batches, column, materialise, ship_package, text_slices
+from .shared import arrow_batches, broadcast_if_small, column, materialise, ship_package, text_slices
 
 
 @dataclass(frozen=True)
@@ -224,9 +224,7 @@ def verify(pairs: DataFrame, rows: DataFrame, params: JoinParams) -> DataFrame:
     spark = pairs.sparkSession
     pairs = materialise(pairs, "pairs")
     ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair_ids")
-    if ids.count() <= params.broadcast_ids:
-        ids = F.broadcast(ids)
-    texts = materialise(rows.join(ids, "id", "left_semi"), "pair_texts")
+    texts = materialise(rows.join(broadcast_if_small(ids, params.broadcast_ids), "id", "left_semi"), "pair_texts")
     first = texts.select(F.col("id").alias("a"), F.col("text").alias("a_text"))
     second = texts.select(F.col("id").alias("b"), F.col("text").alias("b_text"))
 
@@ -281,3 +279,20 @@ def similar_documents(docs: DataFrame, params: JoinParams = JoinParams(), id_col
     # Rows of one id may be in several classes: all its links count.
     alone = sets.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component"))
     return linked.unionByName(alone).select("id", F.col("n").alias("n_shingles"), "component")
+
+
+def keep_one_of_each(docs: DataFrame, params: JoinParams = JoinParams(), id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its component, all
+    columns kept; of rows that repeat an id one stays.  Rows without an id
+    stay.  Only ids are joined: those that go are broadcast while they are
+    few, and texts are shuffled only beyond that."""
+    found = materialise(similar_documents(docs, params, id_col, text_col).select("id", "component"), "components")
+    gone = materialise(found.where("id != component").select(F.col("id").alias("gone")).distinct(), "duplicates")
+    kept = docs.join(broadcast_if_small(gone), docs[id_col] == F.col("gone"), "left_anti")
+    again = materialise(found.where("id is not null").groupBy("id").count().where("count > 1").select(F.col("id").alias("again")), "repeated_ids")
+    if again.isEmpty():
+        return kept
+    again = broadcast_if_small(again)
+    once = kept.join(again, kept[id_col] == F.col("again"), "left_semi").dropDuplicates([id_col])
+    return kept.join(again, kept[id_col] == F.col("again"), "left_anti").unionByName(once)

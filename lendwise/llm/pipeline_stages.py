@@ -1,15 +1,62 @@
-"""Stages of the corpus pipeline."""
+"""The corpus pipeline: five stages, each over all that the one before kept."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .shared import materialise
+from lendwise.session import scratch_path
 
-STAGES: list = []
+from . import decontamination, language_mixture, ngram_join, piece_codec, secret_ledger
+from .queries import tokenizer_path
+from .shared import materialise, read_table
+
+# A document stays if a language holds at least this part of its mixture.
+LEAST_LANGUAGE_SHARE = 0.34
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without letters and those no language holds enough of."""
+    names, table = language_mixture.learn(docs)
+    return language_mixture.keep_identified(docs, names, table, LEAST_LANGUAGE_SHARE)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of smallest id of every group of similar ones: five
+    words a shingle, similarity 0.8 or more."""
+    return ngram_join.keep_one_of_each(docs, ngram_join.JoinParams(width=5, percent=80))
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark passage."""
+    return decontamination.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Masks secrets; keeps every document and its count of characters right."""
+    ledger = secret_ledger.Ledger(spark, scratch_path(spark, "secret_ledger"))
+    clean = secret_ledger.redact(docs, ledger)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token ids, and whether they decode to their text (a
+    space mark in a text comes back as a space)."""
+    rows = piece_codec.encode(docs, tokenizer_path("piece_bpe_32k.model"), decoded=True)
+    return rows.select(F.col("id").alias("doc_id"), "n_bytes", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("benchmark_decontamination", drop_benchmark_leaks),
+    ("secret_scans", redact_secrets),
+    ("sentencepiece", encode_pieces),
+]
 
 
 def apply_stages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every stage's result is written as parquet and read by the next."""
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lendwise.session import scratch_path
 
-from . import divergence, language_mixture, ngram_join, piece_codec, quality_trees, secret_ledger, sharding, token_counts, warc
+from . import decontamination, divergence, language_mixture, ngram_join, piece_codec, quality_trees, secret_ledger, sharding, token_counts, warc
 from .shared import read_table
 
 # Production size of a shard is set by the job; the registered query uses a
@@ -84,6 +84,11 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_passages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "start", "end", "edits")
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = secret_ledger.Ledger(spark, scratch_path(spark, "secret_ledger"))
     rows = secret_ledger.scan(read_table(spark, sf_dir, "documents"), ledger, "doc_id", None)
@@ -97,7 +102,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_token_counts, op3_quality_rules, op4_sentencepiece, op5_sharding, op6_warc, op7_ngram_join,
-    op9_secret_scans,
+    op8_decontamination, op9_secret_scans,
     op10_quality_classifier)}
 
 # Fixed values below are the contracts' patterns and constants, written out

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from .shared import broadcast_if_small, materialise
+
 # The three base patterns and their least lengths.  ``group``
 # is the part of the match whose length is tested.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -186,19 +188,30 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])), ",")
 
 
-def redact(df: DataFrame, findings: str, text_col: str, mask: str = "[SECRET]") -> DataFrame:
-    """Replace every found span of ``text_col`` by ``mask``; overlapping and
-    touching spans become one mask."""
-    spans = F.col(findings)
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    text = F.col(text_col)
+def masked(text: Column, spans: Column, mask: str) -> Column:
+    """``text`` with every span replaced by ``mask``; spans come ordered by
+    start, and those that overlap or touch become one mask."""
+    first = F.struct(F.lit(-1).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(a: Column, f: Column) -> Column:
-        fresh = (f["start"] > a["at"]) | ((f["start"] == a["at"]) & (f["start"] == 0))
-        kept = F.substr(text, (a["at"] + 1).cast("int"), (f["start"] - a["at"]).cast("int"))
-        out = F.when(fresh, F.concat(a["out"], kept, F.lit(mask))).otherwise(a["out"])
+        since = F.greatest(a["at"], F.lit(0))
+        kept = F.substr(text, (since + 1).cast("int"), (f["start"] - since).cast("int"))
+        out = F.when(f["start"] > a["at"], F.concat(a["out"], kept, F.lit(mask))).otherwise(a["out"])
         return F.struct(F.greatest(a["at"], f["end"]).alias("at"), out.alias("out"))
 
-    done = F.aggregate(spans, start, step,
-                       lambda a: F.concat(a["out"], F.substr(text, (a["at"] + 1).cast("int"), F.length(text))))
-    return df.withColumn(text_col, F.when(F.size(spans) > 0, done).otherwise(text))
+    return F.aggregate(spans, first, step, lambda a: F.concat(a["out"], F.substr(text, (a["at"] + 1).cast("int"), F.length(text))))
+
+
+def redact(docs: DataFrame, ledger: Ledger, id_col: str = "doc_id", text_col: str = "text", mask: str = "[SECRET]",
+           rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``docs`` with every secret in ``text_col`` replaced by ``mask``, all
+    rows and columns kept.  Findings meet the texts by content, so repeated
+    ids do no harm; the few blobs with findings are broadcast while they are
+    few, and texts are shuffled only beyond that."""
+    found = scan(docs, ledger, id_col, None, text_col, rules).where(F.size("findings") > 0)
+    found = materialise(found.select("digest", "findings").dropDuplicates(["digest"]), "secret_findings")
+    marks = broadcast_if_small(found.select(F.col("digest").alias("__digest"), F.col("findings").alias("__findings")))
+    columns = docs.columns
+    joined_ = docs.join(marks, F.sha2(docs[text_col].cast("string"), 256) == F.col("__digest"), "left")
+    text = F.when(F.col("__findings").isNotNull(), masked(docs[text_col], F.col("__findings"), mask)).otherwise(docs[text_col])
+    return joined_.select(*[text.alias(c) if c == text_col else docs[c] for c in columns])

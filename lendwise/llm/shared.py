@@ -95,3 +95,18 @@ def arrow_batches(spark: SparkSession, rows: int):
         yield
     finally:
         spark.conf.set(key, before)
+
+
+# Rows up to which a written table of ids, hashes or short lists is broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``table``, a written one, marked for broadcast if it has at most
+    ``rows`` rows; beyond it Spark joins by a shuffle."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
+def arrow_schema(df: DataFrame) -> str:
+    """The columns of ``df`` as a schema for a function that passes its rows on."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)
