@@ -7,8 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lendwise.session import scratch_path
 
 from . import decontamination, divergence, language_mixture, ngram_join, piece_codec, quality_trees, secret_ledger, sharding, token_counts, warc
+from .oracle import ORACLE
 from .shared import read_table
 
+__all__ = ["ORACLE", "QUERIES"]
+
 # Production size of a shard is set by the job; the registered query uses a
 # limit at which its tables make many shards.
 SHARD_BYTES = 1 << 20
@@ -104,7 +107,3 @@ QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_token_counts, op3_quality_rules, op4_sentencepiece, op5_sharding, op6_warc, op7_ngram_join,
     op8_decontamination, op9_secret_scans,
     op10_quality_classifier)}
-
-# Fixed values below are the contracts' patterns and constants, written out
-# again so that the SQL does not depend on the code it checks.
-ORACLE: dict[str, str] = {}
