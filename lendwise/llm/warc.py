@@ -32,10 +32,11 @@ CHUNK = 1 << 20
 
 # ---------------------------------------------------------------- writing
 
-def base32_sha1(payload: Column) -> Column:
-    """Bare upper-case base32 of the SHA-1: five hex digits give four letters."""
+def base32(sha1_hex: str) -> Column:
+    """Bare upper-case base32 of a column of SHA-1 in hex: five hex digits
+    give four letters."""
     def letters(i: Column) -> Column:
-        v = F.conv(F.substr(F.sha1(payload), i * 5 + 1, F.lit(5)), 16, 10).cast("int")
+        v = F.conv(F.substr(F.col(sha1_hex), i * 5 + 1, F.lit(5)), 16, 10).cast("int")
         return F.concat(*[F.substr(F.lit(BASE32), F.shiftright(v, s).bitwiseAND(31) + 1, F.lit(1))
                           for s in (15, 10, 5, 0)])
     return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), letters), "")
@@ -47,27 +48,27 @@ def _header(*fields: Column) -> Column:
 
 def decide_revisits(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id",
                     url_col: str = "url", payload_col: str = "html") -> DataFrame:
-    """(id, url, payload, digest, n_bytes, refers_to): of the pages with equal
+    """(id, url, payload, sha1, n_bytes, refers_to): of the pages with equal
     payloads of at least ``min_bytes`` bytes the smallest id stays a
     response (refers_to null) and the others revisit it.
 
     The payload is addressed by its SHA-1 and length.  The first ids are
     pre-aggregated map-side; only repeated payloads are kept for the join,
-    whose right side is unique per digest, so a hot payload can be split.
-    A null payload is empty.  Pages without an id never become the response
-    of others; repeated ids revisit their own first record by id only if the
-    id differs, so they all stay responses.
+    whose right side is unique per payload, so a hot payload can be split.
+    A null payload is empty.  A page without an id revisits an equal one that
+    has an id and else stays a response; rows that repeat the smallest id all
+    stay responses.
     """
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                         payload.alias("payload"))
-    rows = rows.withColumns({"digest": base32_sha1(F.col("payload")),
+    rows = rows.withColumns({"sha1": F.sha1("payload"),
                              "n_bytes": F.octet_length("payload").cast("long")})
-    firsts = (rows.where(F.col("n_bytes") >= min_bytes).groupBy("digest", "n_bytes")
+    firsts = (rows.where(F.col("n_bytes") >= min_bytes).groupBy("sha1", "n_bytes")
               .agg(F.min("id").alias("first"), F.count("*").alias("copies"))
               .where("copies > 1").drop("copies"))
-    other = F.col("first") != F.col("id")
-    return (rows.join(firsts, ["digest", "n_bytes"], "left")
+    other = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("id"))
+    return (rows.join(firsts, ["sha1", "n_bytes"], "left")
             .withColumn("refers_to", F.when(other, F.col("first"))).drop("first"))
 
 
@@ -95,7 +96,7 @@ def write_archives(records: DataFrame, path: str) -> None:
         F.lit("Content-Type: application/http;msgtype=response"),
         F.concat(F.lit("Content-Length: "), F.octet_length("block").cast("string")),
         F.lit(""), F.col("block"))
-    lines = records.withColumn("block", block).select(head.alias("value"))
+    lines = records.withColumns({"block": block, "digest": base32("sha1")}).select(head.alias("value"))
     (lines.write.option("lineSep", RECORD_END.decode()).option("compression", "gzip").text(path))
 
 
@@ -218,8 +219,8 @@ def normalise_archives(spark: SparkSession, path: str, out_dir: str) -> DataFram
     """Normalise every ``*.gz`` under ``path``, one task per file; returns
     (archive, index, records, bytes) per file, already written."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
-             .select("path").distinct())
-    n = max(1, files.count())
+             .select("path"))
+    n = max(1, 2 * files.count())
 
     def work(batches):
         for batch in batches:
