@@ -83,9 +83,9 @@ class Trees:
         rows, trees = np.arange(len(x))[:, None], np.arange(len(self.feature))
         at = np.zeros((len(x), len(self.feature)), np.int64)
         inner = self.feature.shape[1]
-        while inner and at.size and at[0, 0] < inner:
+        for _ in range(self.leaf.shape[1].bit_length() - 1):
             at = 2 * at + 1 + (x[rows, self.feature[trees, at]] > self.cut[trees, at])
-        odds = self.start + (self.leaf[trees, at - inner].sum(1) if at.size else 0.0)
+        odds = self.start + self.leaf[trees, at - inner].sum(1)
         return 1 / (1 + np.exp(-odds))
 
 
