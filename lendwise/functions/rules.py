@@ -48,9 +48,15 @@ def null_if_sentinel(c: Column | str, sentinel: str = DATE_SENTINEL) -> Column:
 
 
 def int_or_zero(c: Column | str) -> Column:
-    """float counter -> int (truncating), null -> 0."""
+    """float counter -> int (truncating), null -> 0.  NaN,
+    infinite and out-of-range cells count as null instead of stopping the job."""
+    return F.coalesce(int_or_null(c), F.lit(0))
+
+
+def int_or_null(c: Column | str) -> Column:
+    """Float -> int, truncating; null where an int cannot hold it."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(c.cast("int"), F.lit(0))
+    return c.try_cast("int")
 
 
 def repaired_total(principal: str, interest: str, fee: str, total: str) -> Column:

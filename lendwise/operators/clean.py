@@ -130,11 +130,11 @@ def delinq_members(base: DataFrame, variant: Variant = DEFAULT_VARIANT) -> DataF
     """
     months = F.col("mths_since_last_delinq")
     if variant.delinq_filter_on == "int":
-        df = base.withColumn("mths_since_last_delinq", months.cast("int"))
+        df = base.withColumn("mths_since_last_delinq", rules.int_or_null(months))
         df = df.filter((F.col("delinq_2yrs") > 0) | (F.col("mths_since_last_delinq") > 0))
     else:
         df = base.filter((F.col("delinq_2yrs") > 0) | (months > 0))
-        df = df.withColumn("mths_since_last_delinq", months.cast("int"))
+        df = df.withColumn("mths_since_last_delinq", rules.int_or_null(months))
     return df.select("member_id", "delinq_2yrs", "delinq_amnt", "mths_since_last_delinq")
 
 

@@ -34,8 +34,9 @@ def single_row_members(df: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def member_multiplicity(df: DataFrame, key: str = KEY) -> DataFrame:
-    """Rows per member, most first."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("total")).orderBy(F.desc("total"))
+    """Rows per member, most first; equal counts by member, so that the
+    many members of one count spread over the range partitions of the sort."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("total")).orderBy(F.desc("total"), key)
 
 
 def union_distinct(*lists: DataFrame, key: str = KEY) -> DataFrame:

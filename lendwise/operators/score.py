@@ -11,7 +11,8 @@ only these bounded per-member frames are joined.  The result is the same
 multiset of score rows, written once per distinct row with its multiplicity
 in ``n_rows``.  Point values come from finite bands, so the rows per member
 are bounded by the band domains, not by how many loans the member has.
-``expand_rows`` turns the weighted form back into one row per joined row.
+Multiplicities of joined frames are ``decimal(38,0)``: a member with 3e8 rows
+in each of four factors has 8.1e33 joined rows, more than a long can count.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from lendwise.params import DEFAULT_PARAMS, DEFAULT_VARIANT, ScoreParams, Varian
 
 KEY = "member_id"
 N = "n_rows"
+MULTIPLICITY = "decimal(38,0)"
 PAY_COLS = ("last_payment_pts", "total_payment_pts")
 DEFAULT_COLS = ("delinq_pts", "public_records_pts", "public_bankruptcies_pts", "enq_pts")
 HEALTH_COLS = ("loan_status_pts", "home_pts", "credit_limit_pts", "grade_pts")
@@ -40,11 +42,19 @@ def _weighted_count(df: DataFrame, *cols: str) -> DataFrame:
     return df.groupBy(KEY, *cols).agg(F.count(F.lit(1)).alias(N))
 
 
+def _product(*counts: str) -> Column:
+    """Product of counts, wider than a long."""
+    out = F.col(counts[0]).cast(MULTIPLICITY)
+    for c in counts[1:]:
+        out = (out * F.col(c).cast(MULTIPLICITY)).cast(MULTIPLICITY)
+    return out
+
+
 def _product_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join two weighted frames on member; multiplicities multiply."""
     r = right.withColumnRenamed(N, "_n_right")
     return (left.join(r, on=KEY, how=how)
-                .withColumn(N, F.col(N) * F.col("_n_right")).drop("_n_right"))
+                .withColumn(N, _product(N, "_n_right")).drop("_n_right"))
 
 
 # -- per-row point frames ---------------------------------------------------
@@ -161,7 +171,7 @@ def score_factors(ph: DataFrame, delinq_new: DataFrame, records_new: DataFrame,
     dq = _weighted_count(delinq_points(delinq_new, p), "delinq_pts")
     dflt = _product_join(dq, rec).select(
         KEY, (F.col("delinq_pts") + F.col("rec_sum")).alias("default_sum"), N)
-    dflt = dflt.groupBy(KEY, "default_sum").agg(F.sum(N).alias(N))
+    dflt = dflt.groupBy(KEY, "default_sum").agg(F.sum(N).cast(MULTIPLICITY).alias(N))
 
     fh = health_points(loans, customers_new, p).select(KEY, _sum(HEALTH_COLS).alias("health_sum"))
     fh = _weighted_count(fh, "health_sum")  # customers_new already excludes the list
@@ -204,23 +214,6 @@ def loan_score_final(ph: DataFrame, delinq_new: DataFrame, records_new: DataFram
         N)
 
 
-def expand_rows(weighted: DataFrame, weight: str = N, chunk: int = 100_000) -> DataFrame:
-    """One output row per joined row, as the reference writes them.
-
-    The output is as large as the reference's fan-out.  A row of weight *w*
-    first becomes ``ceil(w / chunk)`` chunk descriptors, which are spread
-    over the cluster before each is exploded, so a heavy member's copies are
-    produced by many tasks rather than one.
-    """
-    w = F.col(weight).cast("long")
-    first = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((w - 1) / F.lit(chunk)).cast("long")))
-    chunks = (weighted.withColumn("_chunk", first)
-                      .withColumn("_len", F.least(F.lit(chunk).cast("long"), w - F.col("_chunk") * chunk))
-                      .repartition("_chunk", *[c for c in weighted.columns if c != weight]))
-    return (chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_len"))))
-                  .drop("_copy", "_chunk", "_len", weight))
-
-
 # -- join cardinality (J5, J6) -----------------------------------------------
 
 def join_cardinality(ph: DataFrame, delinq_new: DataFrame, records_new: DataFrame,
@@ -240,14 +233,14 @@ def join_cardinality(ph: DataFrame, delinq_new: DataFrame, records_new: DataFram
     out = (counts(ph, "n_payment_rows")
            .join(counts(delinq_new, "n_delinq_rows"), on=KEY)
            .join(rec, on=KEY))
-    joined = F.col("n_payment_rows") * F.col("n_delinq_rows") * F.col("n_record_rows")
+    factors = ["n_payment_rows", "n_delinq_rows", "n_record_rows"]
     if loans is not None:
         loans_per = counts(loans.join(customers_new.select(KEY), on=KEY), "n_loan_rows")
         if bad is not None:
             loans_per = not_in(loans_per, bad)
         out = out.join(loans_per, on=KEY)
-        joined = joined * F.col("n_loan_rows")
-    return out.withColumn("joined_rows", joined)
+        factors.append("n_loan_rows")
+    return out.withColumn("joined_rows", _product(*factors))
 
 
 # -- loan grain (extension: one row per loan) --------------------------------

@@ -1,130 +1,129 @@
-"""Consolidated views (J7, J8), re-aimed to a bounded grain.
-
-The reference view left-joins customers to loans, repayments, delinquency
-and public records all by member, so every member yields
-``customers × loans × delinquency × records`` rows — every combination of
-its rows.  That product cannot survive a member holding a large share of the
-data.  Here the view keeps one row per (quarantined customer, loan):
-repayments join 1:1 on the loan id, and each member's delinquency and
-record rows are reduced to their worst values plus row counts, so the
-reference's multiplicity of a row is ``max(n_delinq_rows,1) *
-max(n_record_rows,1)`` and nothing is lost.
+"""Consolidated views (J7, J8) without the product of a member's rows.
+
+The plain view left-joins customers to loans, repayments, delinquency and
+public records all by member, so a member with *c* customer rows, *l* loans,
+*d* delinquency and *r* record rows yields ``c * l * d * r`` rows.  Here every
+source row of a member in ``customers`` stands once, under the same columns,
+and ``part`` tells which it is:
+
+* ``loan``: a loan with its repayment, and the customer's columns where the
+  member has one customer row;
+* ``customer``: a customer row that no loan row carries (the member has
+  several, or no loan);
+* ``delinquency`` and ``record``: the distinct rows of the two default
+  tables, ``n_rows`` times each.
+
+``n_customers``, ``n_loans``, ``n_delinq_rows`` and ``n_record_rows`` count
+the member's rows, so the plain view's rows and their multiplicities follow.
+Size is that of the inputs; every join but loan-repayment has a side that is
+unique per member, so a hot member can be split.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KEY = "member_id"
 
-CUSTOMER_COLS = ("member_id", "emp_title", "emp_length", "home_ownership",
-                 "annual_income", "address_state", "address_zipcode",
-                 "address_country", "grade", "sub_grade", "verification_status",
-                 "total_high_credit_limit", "application_type",
-                 "join_annual_income", "verification_status_joint")
-LOAN_COLS = ("loan_id", "member_id", "loan_amount", "funded_amount",
-             "loan_term_years", "interest_rate", "monthly_installment",
-             "issue_date", "loan_status", "loan_purpose")
-REPAYMENT_COLS = ("loan_id", "total_principal_received", "total_interest_received",
-                  "total_late_fee_received", "total_payment_received",
-                  "last_payment_date", "next_payment_date")
-
-
-def delinq_summary(delinq: DataFrame) -> DataFrame:
-    """Worst delinquency per member: most events, largest amount, most recent."""
-    return delinq.groupBy(KEY).agg(
-        F.max("delinq_2yrs").alias("delinq_2yrs"),
-        F.max("delinq_amnt").alias("delinq_amnt"),
-        F.min("mths_since_last_delinq").alias("mths_since_last_delinq"),
-        F.count(F.lit(1)).alias("n_delinq_rows"))
-
-
-def records_summary(records: DataFrame) -> DataFrame:
-    """Worst public-record counters per member."""
-    return records.groupBy(KEY).agg(
-        F.max("pub_rec").alias("pub_rec"),
-        F.max("pub_rec_bankruptcies").alias("pub_rec_bankruptcies"),
-        F.max("inq_last_6mths").alias("inq_last_6mths"),
-        F.count(F.lit(1)).alias("n_record_rows"))
-
-
-def left_join_skew_safe(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``left ⟕ right`` on ``key`` when ``right`` may hold a hot key.
-
-    In an outer join AQE may only split the preserved side, so a key that
-    holds a large share of ``right`` would be joined by one task.  The same
-    rows come from an inner join (both sides splittable) plus the left rows
-    without a partner, found against the distinct right keys (a partial
-    aggregate collapses the hot key before the shuffle), padded with nulls.
-    """
-    matched = left.join(right, on=key, how="inner")
-    unmatched = left.join(right.select(key).distinct(), on=key, how="left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
-
-
-def _base(customers: DataFrame, loans: DataFrame, repayments: DataFrame,
-          delinq: DataFrame, records: DataFrame) -> DataFrame:
-    # customers has one row per member; a member's loans may be many, so the
-    # customer ⟕ loans step is split (see left_join_skew_safe).  Every later
-    # join is keyed 1:1 on the right (loan id, per-member summaries), where
-    # AQE can split the skewed left side.
-    return (left_join_skew_safe(customers.select(*CUSTOMER_COLS), loans.select(*LOAN_COLS), KEY)
-            .join(repayments.select(*REPAYMENT_COLS), on="loan_id", how="left")
-            .join(delinq_summary(delinq), on=KEY, how="left")
-            .join(records_summary(records), on=KEY, how="left"))
+# The columns of the view, in its order.
+CUSTOMER_COLS = ("emp_title", "emp_length", "home_ownership", "annual_income", "address_state",
+                 "address_zipcode", "address_country", "grade", "sub_grade", "verification_status",
+                 "total_high_credit_limit", "application_type", "join_annual_income",
+                 "verification_status_joint")
+LOAN_COLS = ("loan_amount", "funded_amount", "loan_term_years", "interest_rate",
+             "monthly_installment", "issue_date", "loan_status", "loan_purpose")
+REPAYMENT_COLS = ("total_principal_received", "total_interest_received",
+                  "total_late_fee_received", "last_payment_date", "next_payment_date")
+DELINQ_COLS = ("delinq_2yrs", "delinq_amnt", "mths_since_last_delinq")
+RECORD_COLS = ("pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")
+VIEW_COLS = ("loan_id", KEY, *CUSTOMER_COLS, *LOAN_COLS, *REPAYMENT_COLS, *DELINQ_COLS, *RECORD_COLS)
+COUNT_COLS = ("n_rows", "n_customers", "n_loans", "n_delinq_rows", "n_record_rows")
+SLIM_COLS = (KEY, "address_state", "total_payment_received", "delinq_2yrs")
+_SLIM_DELINQ = ("delinq_2yrs",)
+_REPAID = (*REPAYMENT_COLS, "total_payment_received")
+
+
+def _members(customers: DataFrame, loans: DataFrame, delinq: DataFrame, records: DataFrame) -> DataFrame:
+    """One row per member of ``customers`` with its four row counts."""
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(KEY).agg(F.count(F.lit(1)).alias(name))
+    out = counted(customers, "n_customers")
+    for df, name in ((loans, "n_loans"), (delinq, "n_delinq_rows"), (records, "n_record_rows")):
+        out = out.join(counted(df, name), KEY, "left")
+    return out.fillna(0, ["n_loans", "n_delinq_rows", "n_record_rows"])
+
+
+def _parts(customers: DataFrame, loans: DataFrame, repayments: DataFrame, delinq: DataFrame,
+           records: DataFrame, delinq_cols: tuple[str, ...] = DELINQ_COLS) -> dict[str, DataFrame]:
+    members = _members(customers, loans, delinq, records)
+    customers = customers.select(KEY, *CUSTOMER_COLS).join(members, KEY)
+    loan = (loans.select("loan_id", KEY, *LOAN_COLS)
+            .join(repayments.select("loan_id", *_REPAID), "loan_id", "left")
+            .join(members, KEY)
+            .join(customers.where("n_customers = 1").select(KEY, *CUSTOMER_COLS), KEY, "left"))
+    alone = customers.where("n_customers > 1 or n_loans = 0")
+
+    def distinct_rows(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+        return df.groupBy(KEY, *columns).agg(F.count(F.lit(1)).alias("n_rows")).join(members, KEY)
+
+    one = F.lit(1).cast("long")
+    return {"loan": loan.withColumn("n_rows", one), "customer": alone.withColumn("n_rows", one),
+            "delinquency": distinct_rows(delinq, delinq_cols), "record": distinct_rows(records, RECORD_COLS)}
+
+
+def _union(parts: dict[str, DataFrame], columns: tuple[str, ...]) -> DataFrame:
+    rows = [df.withColumn("part", F.lit(name)).select("part", *[c for c in (*columns, *COUNT_COLS) if c in df.columns])
+            for name, df in parts.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows).select("part", *columns, *COUNT_COLS)
 
 
 def consolidated_view(customers: DataFrame, loans: DataFrame, repayments: DataFrame,
                       delinq: DataFrame, records: DataFrame) -> DataFrame:
-    """The 35 reference columns plus the two row counts."""
-    return _base(customers, loans, repayments, delinq, records).select(
-        "loan_id", *CUSTOMER_COLS, *LOAN_COLS[2:],
-        "total_principal_received", "total_interest_received",
-        "total_late_fee_received", "last_payment_date", "next_payment_date",
-        "delinq_2yrs", "delinq_amnt", "mths_since_last_delinq",
-        "pub_rec", "pub_rec_bankruptcies", "inq_last_6mths",
-        "n_delinq_rows", "n_record_rows")
+    """``part``, the 35 columns and the counts."""
+    return _union(_parts(customers, loans, repayments, delinq, records), VIEW_COLS)
 
 
 def consolidated_view_slim(customers: DataFrame, loans: DataFrame, repayments: DataFrame,
                            delinq: DataFrame, records: DataFrame) -> DataFrame:
-    """Member, state, total payment, delinquency count (same grain as J7)."""
-    return _base(customers, loans, repayments, delinq, records).select(
-        "member_id", "address_state", "total_payment_received", "delinq_2yrs",
-        "n_delinq_rows", "n_record_rows")
+    """Member, state, total payment and delinquency count; public records
+    have none of these columns, so their rows are left to their count."""
+    parts = _parts(customers, loans, repayments, delinq, records, _SLIM_DELINQ)
+    del parts["record"]
+    return _union(parts, SLIM_COLS)
 
 
 def consolidated_view_sql(customers: str, loans: str, repayments: str, delinq: str,
                           records: str, slim: bool = False) -> str:
-    """The consolidated view as SQL text over catalog tables (for
-    ``CREATE VIEW``), in the same skew-safe shape as ``consolidated_view``."""
-    cust_cols = ", ".join(f"c.{c}" for c in CUSTOMER_COLS)
-    loan_cols = ", ".join(f"l.{c}" for c in LOAN_COLS if c != "member_id")
-    null_loans = ", ".join(f"CAST(NULL AS {t}) AS {c}" for c, t in (
-        ("loan_id", "string"), ("loan_amount", "float"), ("funded_amount", "float"),
-        ("loan_term_years", "int"), ("interest_rate", "float"), ("monthly_installment", "float"),
-        ("issue_date", "string"), ("loan_status", "string"), ("loan_purpose", "string")))
-    if slim:
-        select = ("cl.member_id, cl.address_state, r.total_payment_received, d.delinq_2yrs, "
-                  "d.n_delinq_rows, e.n_record_rows")
-    else:
-        select = ("cl.loan_id, " + ", ".join(f"cl.{c}" for c in CUSTOMER_COLS) + ", "
-                  + ", ".join(f"cl.{c}" for c in LOAN_COLS[2:])
-                  + ", r.total_principal_received, r.total_interest_received, "
-                  "r.total_late_fee_received, r.last_payment_date, r.next_payment_date, "
-                  "d.delinq_2yrs, d.delinq_amnt, d.mths_since_last_delinq, e.pub_rec, "
-                  "e.pub_rec_bankruptcies, e.inq_last_6mths, d.n_delinq_rows, e.n_record_rows")
-    return f"""
-SELECT {select}
-FROM (SELECT {cust_cols}, {loan_cols} FROM {customers} c JOIN {loans} l ON c.member_id = l.member_id
-      UNION ALL
-      SELECT {cust_cols}, {null_loans} FROM {customers} c
-      LEFT ANTI JOIN (SELECT DISTINCT member_id FROM {loans}) lm ON c.member_id = lm.member_id) cl
-LEFT JOIN {repayments} r ON cl.loan_id = r.loan_id
-LEFT JOIN (SELECT member_id, max(delinq_2yrs) AS delinq_2yrs, max(delinq_amnt) AS delinq_amnt,
-                  min(mths_since_last_delinq) AS mths_since_last_delinq, count(*) AS n_delinq_rows
-           FROM {delinq} GROUP BY member_id) d ON cl.member_id = d.member_id
-LEFT JOIN (SELECT member_id, max(pub_rec) AS pub_rec, max(pub_rec_bankruptcies) AS pub_rec_bankruptcies,
-                  max(inq_last_6mths) AS inq_last_6mths, count(*) AS n_record_rows
-           FROM {records} GROUP BY member_id) e ON cl.member_id = e.member_id"""
+    """The view as SQL text over catalog tables (for ``CREATE VIEW``)."""
+    columns, late = (SLIM_COLS, _SLIM_DELINQ) if slim else (VIEW_COLS, DELINQ_COLS)
+
+    def part(name: str, has: dict[str, str], n_rows: str, source: str) -> str:
+        shown = [f"{has[c]}.{c}" if c in has else f"NULL AS {c}" for c in columns]
+        counts = ", ".join(f"m.{c}" for c in COUNT_COLS[1:])
+        return f"SELECT '{name}' AS part, {', '.join(shown)}, {n_rows} AS n_rows, {counts} FROM {source}"
+
+    def of(alias: str, *names: str) -> dict[str, str]:
+        return {c: alias for c in names}
+
+    def grouped(table: str, names: tuple[str, ...]) -> str:
+        listed = ", ".join((KEY, *names))
+        return f"(SELECT {listed}, count(*) AS n FROM {table} GROUP BY {listed}) g JOIN members m USING ({KEY})"
+
+    rows = [
+        part("loan", of("l", "loan_id", KEY, *LOAN_COLS) | of("p", *_REPAID) | of("c", *CUSTOMER_COLS), "1L",
+             f"{loans} l LEFT JOIN {repayments} p ON p.loan_id = l.loan_id JOIN members m ON m.{KEY} = l.{KEY} "
+             f"LEFT JOIN (SELECT x.* FROM {customers} x JOIN members y USING ({KEY}) WHERE y.n_customers = 1) c ON c.{KEY} = l.{KEY}"),
+        part("customer", of("c", KEY, *CUSTOMER_COLS), "1L",
+             f"{customers} c JOIN members m ON m.{KEY} = c.{KEY} WHERE m.n_customers > 1 OR m.n_loans = 0"),
+        part("delinquency", of("g", KEY, *late), "g.n", grouped(delinq, late)),
+    ]
+    if not slim:
+        rows.append(part("record", of("g", KEY, *RECORD_COLS), "g.n", grouped(records, RECORD_COLS)))
+    counts = " ".join(f"LEFT JOIN (SELECT {KEY}, count(*) AS n FROM {t} GROUP BY {KEY}) {a} USING ({KEY})"
+                      for t, a in ((loans, "a"), (delinq, "b"), (records, "d")))
+    return (f"WITH members AS (SELECT {KEY}, c.n AS n_customers, coalesce(a.n, 0) AS n_loans, coalesce(b.n, 0) AS n_delinq_rows, "
+            f"coalesce(d.n, 0) AS n_record_rows FROM (SELECT {KEY}, count(*) AS n FROM {customers} GROUP BY {KEY}) c {counts}) "
+            + " UNION ALL ".join(rows))

@@ -9,7 +9,6 @@ under ``spark.checkpoint.dir``):
     gold/{bad_customer_data,customers_new,delinq_new,records_new}
     gold/loan_score          weighted reference-grain score
     gold/loan_score_by_loan  one score per loan
-    gold/loan_score_rows     optional: one row per joined row (--expand-score)
 
 Stages talk only through the zones, so each can run on its own (as the
 reference runs one script per stage) or all in one go.  Each zone is written
@@ -29,7 +28,7 @@ from lendwise import schemas
 from lendwise.functions.keys import with_member_key
 from lendwise.operators import clean, quarantine, score, split, views
 from lendwise.params import DEFAULT_PARAMS, DEFAULT_VARIANT, ScoreParams, Variant
-from lendwise.session import scratch_path
+from lendwise.session import SCALE_CONF, scratch_path
 from lendwise.sources import fixture, io
 
 SPLIT_DDL = {"customers": schemas.CUSTOMERS_RAW, "loans": schemas.LOANS_RAW,
@@ -110,13 +109,8 @@ def stage_quarantine(spark: SparkSession, zones: Zones, variant: Variant = DEFAU
 
 
 def stage_score(spark: SparkSession, zones: Zones, variant: Variant = DEFAULT_VARIANT,
-                params: ScoreParams = DEFAULT_PARAMS, expand: bool = False) -> None:
-    """Weighted reference-grain score and the per-loan score.
-
-    ``expand=True`` also writes ``gold/loan_score_rows``: the reference's
-    layout, one row per joined row, produced in distributed chunks from the
-    weighted table.  Its size is the reference's fan-out, so it is opt-in.
-    """
+                params: ScoreParams = DEFAULT_PARAMS) -> None:
+    """Weighted reference-grain score and the per-loan score."""
     loans = zones.read(spark, "cleaned/loans")
     repayments = zones.read(spark, "cleaned/repayments")
     bad = zones.read(spark, "gold/bad_customer_data")
@@ -125,10 +119,8 @@ def stage_score(spark: SparkSession, zones: Zones, variant: Variant = DEFAULT_VA
     records_new = zones.read(spark, "gold/records_new")
     records_bad = None if variant.quarantine_lists == "shared" else bad
     ph = score.payment_history(loans, repayments, customers_new, bad, variant, params)
-    weighted = zones.write(spark, "gold/loan_score", score.loan_score_final(
+    zones.write(spark, "gold/loan_score", score.loan_score_final(
         ph, delinq_new, records_new, loans, customers_new, records_bad, variant, params))
-    if expand:
-        zones.write(spark, "gold/loan_score_rows", score.expand_rows(weighted))
     zones.write(spark, "gold/loan_score_by_loan", score.loan_score_by_loan(
         loans, repayments, customers_new, delinq_new, records_new, bad, variant, params,
         records_bad))
@@ -157,10 +149,10 @@ def register_tables(spark: SparkSession, database: str, zones: Zones) -> None:
         io.drop_table(spark, table)
         spark.catalog.createTable(table, path=zones.path(zone_name), source="parquet")
     db = database
-    # A view holds SQL text: the same skew-safe joins as the DataFrame view.
+    # A view holds SQL text: the same parts as the DataFrame view.
     io.persistent_view(spark, f"{db}.customers_loan_v", views.consolidated_view_sql(
-        f"{db}.customers_new", f"{db}.loans", f"{db}.loans_repayments",
-        f"{db}.loans_defaulters_delinq_new", f"{db}.loans_defaulters_detail_rec_enq_new"))
+        f"{db}.customers", f"{db}.loans", f"{db}.loans_repayments",
+        f"{db}.loans_defaulters_delinq", f"{db}.loans_defaulters_detail_rec_enq"))
 
 
 @dataclass
@@ -202,10 +194,11 @@ def main(argv=None) -> None:
     ap.add_argument("--split-format", choices=("parquet", "csv"), default="parquet")
     ap.add_argument("--database", default=None)
     ap.add_argument("--notebook-variant", action="store_true")
-    ap.add_argument("--expand-score", action="store_true",
-                    help="also write the score one row per joined row (the reference layout)")
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName(f"lendwise-{args.stage}").getOrCreate()
+    builder = SparkSession.builder.appName(f"lendwise-{args.stage}")
+    for key, value in SCALE_CONF.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     variant = Variant.notebook() if args.notebook_variant else DEFAULT_VARIANT
     if args.stage != "all" and not args.root:
         ap.error("--root is required to run a single stage")
@@ -225,7 +218,7 @@ def main(argv=None) -> None:
     if args.stage in ("all", "quarantine"):
         stage_quarantine(spark, zones, variant)
     if args.stage in ("all", "score"):
-        stage_score(spark, zones, variant, expand=args.expand_score)
+        stage_score(spark, zones, variant)
     if args.stage in ("all", "register") and args.database:
         register_tables(spark, args.database, zones)
     print(zones.root)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,16 +17,10 @@ from pyspark.sql import functions as F
 from lendwise.functions import bands
 from lendwise.functions import rules
 from lendwise.operators import audit, clean, quarantine, score, split, views
-from lendwise.params import DEFAULT_PARAMS, LOAN_PURPOSES, ScoreParams, Variant
-from lendwise.plans.oracle import _grade_sql as grade_sql_p, points_sql, with_ctes
-
-
-from lendwise.plans.stages import Stages, stage_keyed_raw
-
-
-def _grade_sql(x: str) -> str:
-    return grade_sql_p(x, DEFAULT_PARAMS)
-
+from lendwise.params import DEFAULT_PARAMS, ScoreParams, Variant
+from lendwise.plans import oracle
+from lendwise.plans.oracle import with_ctes
+from lendwise.plans.stages import Stages, staged_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -57,11 +52,11 @@ def stages(spark: SparkSession, sf_dir: str, variant: Variant | None = None,
     """
     variant = variant or Variant()
     params = params or DEFAULT_PARAMS
-    staged = stage_keyed_raw(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, tuple(staged.inputFiles()), variant, params)
+    path = staged_path(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, path, variant, params)
     graph = _STAGE_GRAPHS.get(key)
     if graph is None:
-        graph = _STAGE_GRAPHS[key] = Stages(staged, variant=variant, params=params,
+        graph = _STAGE_GRAPHS[key] = Stages(spark.read.parquet(path), variant=variant, params=params,
                                             raw_is_keyed=True)
     return graph
 
@@ -122,7 +117,7 @@ register("audit_timestamp", with_ctes("SELECT loan_id, TRUE AS has_ingest_date F
         "loan_id", F.col("ingest_date").isNotNull().alias("has_ingest_date")))
 
 register("project_star_plus", with_ctes(
-    f"SELECT l.*, {points_sql()['status']} AS loan_status_pts FROM loans_clean l"))(
+    f"SELECT *, {oracle.status_points('loan_status')} AS loan_status_pts FROM loans_clean"))(
     lambda spark, d: no_audit(stages(spark, d).loans).select(
         "*", bands.loan_status_pts("loan_status").alias("loan_status_pts")))
 
@@ -189,7 +184,7 @@ register("term_years_suffix", with_ctes(
 
 register("purpose_enum", with_ctes(
     "SELECT loan_id, loan_purpose AS purpose_text, CASE WHEN loan_purpose IN ("
-    + ", ".join("'" + x + "'" for x in LOAN_PURPOSES)
+    + ", ".join("'" + x + "'" for x in oracle.PURPOSE_ENUM)
     + ") THEN loan_purpose ELSE 'other' END AS loan_purpose FROM loans_raw"))(
     lambda spark, d: stages(spark, d).loans_raw.select(
         "loan_id", F.col("loan_purpose").alias("purpose_text"),
@@ -381,9 +376,8 @@ register("records_new_notebook", with_ctes("SELECT * FROM records_new", NOTEBOOK
 # ---------------------------------------------------------------- joins
 
 register("join_loan_repayment", with_ctes("""
-SELECT p.loan_id, c.member_id, c.monthly_installment, c.funded_amount, p.last_payment_amount,
-       p.total_payment_received
-FROM rep_clean p INNER JOIN loans_clean c ON c.loan_id = p.loan_id"""))(
+SELECT loan_id, member_id, monthly_installment, funded_amount, last_payment_amount, total_payment_received
+FROM loans_clean JOIN rep_clean USING (loan_id)"""))(
     over_stages(lambda s: s.repayments.join(s.loans.select(
         "loan_id", "member_id", "monthly_installment", "funded_amount"), on="loan_id", how="inner")
         .select("loan_id", "member_id", "monthly_installment", "funded_amount",
@@ -397,7 +391,7 @@ register("semi_known_members", with_ctes(
 
 register("join_default_history", with_ctes("""
 SELECT x.member_id, pc.n AS n_payment_rows, dc.n AS n_delinq_rows, rc.n AS n_record_rows, x.joined_rows
-FROM (SELECT member_id, count(*) AS joined_rows FROM ldh GROUP BY member_id) x
+FROM (SELECT member_id, CAST(count(*) AS DECIMAL(38,0)) AS joined_rows FROM ldh GROUP BY member_id) x
 JOIN (SELECT member_id, count(*) AS n FROM ph GROUP BY member_id) pc ON pc.member_id = x.member_id
 JOIN (SELECT member_id, count(*) AS n FROM delinq_new GROUP BY member_id) dc ON dc.member_id = x.member_id
 JOIN (SELECT member_id, count(*) AS n FROM records_new GROUP BY member_id) rc ON rc.member_id = x.member_id"""))(
@@ -407,48 +401,69 @@ JOIN (SELECT member_id, count(*) AS n FROM records_new GROUP BY member_id) rc ON
 register("join_financial_health", with_ctes("""
 SELECT x.member_id, pc.n AS n_payment_rows, dc.n AS n_delinq_rows, rc.n AS n_record_rows,
        lc.n AS n_loan_rows, x.joined_rows
-FROM (SELECT member_id, count(*) AS joined_rows FROM fh GROUP BY member_id) x
+FROM (SELECT member_id, CAST(count(*) AS DECIMAL(38,0)) AS joined_rows FROM fh GROUP BY member_id) x
 JOIN (SELECT member_id, count(*) AS n FROM ph GROUP BY member_id) pc ON pc.member_id = x.member_id
 JOIN (SELECT member_id, count(*) AS n FROM delinq_new GROUP BY member_id) dc ON dc.member_id = x.member_id
 JOIN (SELECT member_id, count(*) AS n FROM records_new GROUP BY member_id) rc ON rc.member_id = x.member_id
-JOIN (SELECT l.member_id, count(*) AS n FROM loans_clean l JOIN customers_new a ON a.member_id = l.member_id
-      GROUP BY l.member_id) lc ON lc.member_id = x.member_id"""))(
+JOIN (SELECT member_id, count(*) AS n FROM customers_new JOIN loans_clean USING (member_id) GROUP BY member_id) lc ON lc.member_id = x.member_id"""))(
     over_stages(lambda s: score.join_cardinality(
         s.payment_history, s.delinq_new, s.records_new, s.loans, s.customers_new,
         s.records_score_bad)))
 
-_VIEW_SQL = """
-SELECT {cols}
-FROM customers_new c
-LEFT JOIN loans_clean l ON c.member_id = l.member_id
-LEFT JOIN rep_clean r ON l.loan_id = r.loan_id
-LEFT JOIN (SELECT member_id, max(delinq_2yrs) AS delinq_2yrs, max(delinq_amnt) AS delinq_amnt,
-                  min(mths_since_last_delinq) AS mths_since_last_delinq, count(*) AS n_delinq_rows
-           FROM delinq_new GROUP BY member_id) d ON c.member_id = d.member_id
-LEFT JOIN (SELECT member_id, max(pub_rec) AS pub_rec, max(pub_rec_bankruptcies) AS pub_rec_bankruptcies,
-                  max(inq_last_6mths) AS inq_last_6mths, count(*) AS n_record_rows
-           FROM records_new GROUP BY member_id) e ON c.member_id = e.member_id"""
-
-register("consolidated_view", with_ctes(_VIEW_SQL.format(cols="""
-l.loan_id, c.member_id, c.emp_title, c.emp_length, c.home_ownership, c.annual_income, c.address_state,
-c.address_zipcode, c.address_country, c.grade, c.sub_grade, c.verification_status,
-c.total_high_credit_limit, c.application_type, c.join_annual_income, c.verification_status_joint,
-l.loan_amount, l.funded_amount, l.loan_term_years, l.interest_rate, l.monthly_installment,
-l.issue_date, l.loan_status, l.loan_purpose, r.total_principal_received, r.total_interest_received,
-r.total_late_fee_received, r.last_payment_date, r.next_payment_date, d.delinq_2yrs, d.delinq_amnt,
-d.mths_since_last_delinq, e.pub_rec, e.pub_rec_bankruptcies, e.inq_last_6mths, d.n_delinq_rows,
-e.n_record_rows""")))(
+# The plain view over all customers, every source row numbered; only the last
+# step takes each source row once and counts.
+_PLAIN_VIEW = """
+, cust AS (SELECT *, row_number() OVER () AS cust_no FROM cust_clean),
+late AS (SELECT *, row_number() OVER () AS late_no FROM delinq),
+filed AS (SELECT *, row_number() OVER () AS filed_no FROM records),
+plain AS (
+  SELECT * FROM cust LEFT JOIN loans_clean USING (member_id) LEFT JOIN rep_clean USING (loan_id)
+  LEFT JOIN late USING (member_id) LEFT JOIN filed USING (member_id)),
+per_member AS (
+  SELECT member_id, count(DISTINCT cust_no) AS n_customers, count(DISTINCT loan_id) AS n_loans,
+         count(DISTINCT late_no) AS n_delinq_rows, count(DISTINCT filed_no) AS n_record_rows FROM plain GROUP BY member_id)
+"""
+
+
+def _view_sql(columns: tuple[str, ...], parts: tuple[str, ...]) -> str:
+    own = {"loan": {"loan_id", *views.LOAN_COLS, *views.REPAYMENT_COLS, "total_payment_received"},
+           "customer": set(views.CUSTOMER_COLS), "delinquency": set(views.DELINQ_COLS), "record": set(views.RECORD_COLS)}
+    of = {"loan": ("loan_id", "TRUE"), "customer": ("cust_no", "n_customers > 1 OR n_loans = 0"),
+          "delinquency": ("late_no", "TRUE"), "record": ("filed_no", "TRUE")}
+
+    def shown(part: str, c: str) -> str:
+        if c == "member_id" or c in own[part]:
+            return c
+        if part == "loan" and c in own["customer"]:
+            return f"CASE WHEN n_customers = 1 THEN {c} END AS {c}"
+        return f"NULL AS {c}"
+
+    counts = "n_customers, n_loans, n_delinq_rows, n_record_rows"
+    rows = []
+    for part in parts:
+        number, where = of[part]
+        kept = ", ".join(shown(part, c) for c in columns)
+        source = f"FROM plain JOIN per_member USING (member_id) WHERE {number} IS NOT NULL AND ({where})"
+        if part in ("loan", "customer"):
+            # The join repeats a source row, its number tells equal ones apart.
+            rows.append(f"SELECT '{part}' AS part, * EXCLUDE (source_row) FROM "
+                        f"(SELECT DISTINCT {kept}, 1::BIGINT AS n_rows, {counts}, {number} AS source_row {source})")
+        else:
+            rows.append(f"SELECT '{part}' AS part, {kept}, count(DISTINCT {number}) AS n_rows, {counts} {source} GROUP BY ALL")
+    return _PLAIN_VIEW.lstrip() + " UNION ALL BY NAME ".join(rows)
+
+
+_FULL_VIEW = _view_sql(views.VIEW_COLS, ("loan", "customer", "delinquency", "record"))
+_SLIM_VIEW = _view_sql(views.SLIM_COLS, ("loan", "customer", "delinquency"))
+
+register("consolidated_view", with_ctes(_FULL_VIEW))(
     lambda spark, d: stages(spark, d).consolidated)
 
-register("consolidated_view_slim", with_ctes(_VIEW_SQL.format(cols="""
-c.member_id, c.address_state, r.total_payment_received, d.delinq_2yrs, d.n_delinq_rows,
-e.n_record_rows""")))(
+register("consolidated_view_slim", with_ctes(_SLIM_VIEW))(
     lambda spark, d: stages(spark, d).consolidated_slim)
 
 # ---------------------------------------------------------------- point rules
 
-_PTS = points_sql()
-
 register("pts_last_payment", with_ctes("SELECT loan_id, member_id, last_payment_pts FROM pay_rows"))(
     over_stages(lambda s: score.payment_points(s.loans, s.repayments)
                       .select("loan_id", "member_id", "last_payment_pts")))
@@ -456,49 +471,49 @@ register("pts_total_payment", with_ctes("SELECT loan_id, member_id, total_paymen
     over_stages(lambda s: score.payment_points(s.loans, s.repayments)
                       .select("loan_id", "member_id", "total_payment_pts")))
 register("pts_delinq", with_ctes(
-    f"SELECT d.member_id, d.delinq_2yrs, {_PTS['delinq']} AS delinq_pts FROM delinq_new d"))(
+    f"SELECT member_id, delinq_2yrs, {oracle.count_points('delinq', 'delinq_2yrs')} AS delinq_pts FROM delinq_new"))(
     lambda spark, d: stages(spark, d).delinq_new.select(
         "member_id", "delinq_2yrs", bands.delinq_pts().alias("delinq_pts")))
 register("pts_public_records", with_ctes(
-    f"SELECT l.member_id, l.pub_rec, {_PTS['pubrec']} AS public_records_pts FROM records_new l"))(
+    f"SELECT member_id, pub_rec, {oracle.count_points('record', 'pub_rec')} AS public_records_pts FROM records_new"))(
     lambda spark, d: stages(spark, d).records_new.select(
         "member_id", "pub_rec", bands.public_records_pts().alias("public_records_pts")))
 register("pts_bankruptcies", with_ctes(
-    f"SELECT l.member_id, l.pub_rec_bankruptcies, {_PTS['bankr']} AS public_bankruptcies_pts "
-    "FROM records_new l"))(
+    f"SELECT member_id, pub_rec_bankruptcies, {oracle.count_points('record', 'pub_rec_bankruptcies')} "
+    "AS public_bankruptcies_pts FROM records_new"))(
     lambda spark, d: stages(spark, d).records_new.select(
         "member_id", "pub_rec_bankruptcies", bands.bankruptcies_pts().alias("public_bankruptcies_pts")))
 register("pts_inquiries", with_ctes(
-    f"SELECT l.member_id, l.inq_last_6mths, {_PTS['enq']} AS enq_pts FROM records_new l"))(
+    f"SELECT member_id, inq_last_6mths, {oracle.count_points('inquiry', 'inq_last_6mths')} AS enq_pts FROM records_new"))(
     lambda spark, d: stages(spark, d).records_new.select(
         "member_id", "inq_last_6mths", bands.inquiries_pts().alias("enq_pts")))
 register("pts_loan_status", with_ctes(
-    f"SELECT l.loan_id, l.loan_status, {_PTS['status']} AS loan_status_pts FROM loans_clean l"))(
+    f"SELECT loan_id, loan_status, {oracle.status_points('loan_status')} AS loan_status_pts FROM loans_clean"))(
     lambda spark, d: stages(spark, d).loans.select(
         "loan_id", "loan_status", bands.loan_status_pts().alias("loan_status_pts")))
 register("pts_home", with_ctes(
-    f"SELECT a.member_id, a.home_ownership, {_PTS['home']} AS home_pts FROM customers_new a"))(
+    f"SELECT member_id, home_ownership, {oracle.home_points('home_ownership')} AS home_pts FROM customers_new"))(
     lambda spark, d: stages(spark, d).customers_new.select(
         "member_id", "home_ownership", bands.home_pts().alias("home_pts")))
 register("pts_credit_limit", with_ctes(
-    f"SELECT l.loan_id, a.member_id, {_PTS['credit']} AS credit_limit_pts FROM loans_clean l "
-    "JOIN customers_new a ON a.member_id = l.member_id"))(
+    f"SELECT loan_id, member_id, {oracle.limit_points('funded_amount', 'total_high_credit_limit')} AS credit_limit_pts "
+    "FROM customers_new JOIN loans_clean USING (member_id)"))(
     over_stages(lambda s: s.loans.select("loan_id", "member_id", "funded_amount")
                 .join(s.customers_new.select("member_id", "total_high_credit_limit"), "member_id")
                 .select("loan_id", "member_id", bands.credit_limit_pts().alias("credit_limit_pts"))))
 register("pts_grade", with_ctes(
-    f"SELECT a.member_id, a.grade, a.sub_grade, CAST({_PTS['grade']} AS DOUBLE) AS grade_pts "
-    "FROM customers_new a"))(
+    f"SELECT member_id, grade, sub_grade, CAST({oracle.grade_points('grade', 'sub_grade')} AS DOUBLE) AS grade_pts "
+    "FROM customers_new"))(
     lambda spark, d: stages(spark, d).customers_new.select(
         "member_id", "grade", "sub_grade", bands.grade_pts().cast("double").alias("grade_pts")))
 
 # ---------------------------------------------------------------- score (weighted reference grain)
 
-_W = "count(*) AS n_rows"
+_W = "CAST(count(*) AS DECIMAL(38,0)) AS n_rows"
 
 
 def _regroup(df: DataFrame, *cols: str) -> DataFrame:
-    return df.groupBy("member_id", *cols).agg(F.sum("n_rows").alias("n_rows"))
+    return df.groupBy("member_id", *cols).agg(F.sum("n_rows").cast(score.MULTIPLICITY).alias("n_rows"))
 
 
 register("payment_history", with_ctes("SELECT * FROM ph"))(
@@ -519,7 +534,7 @@ _FINAL_SQL = (f"SELECT member_id, payment_history_pts, defaulters_history_pts, f
 
 register("loan_score_final", with_ctes(_FINAL_SQL))(
     lambda spark, d: stages(spark, d).loan_score)
-register("score_params", with_ctes(_FINAL_SQL, p=OVERRIDE_PARAMS))(
+register("score_params", with_ctes(_FINAL_SQL, worst_delinq=0))(
     lambda spark, d: stages(spark, d, params=OVERRIDE_PARAMS).loan_score)
 register("score_components", with_ctes(
     f"SELECT member_id, payment_history_pts, defaulters_history_pts, financial_health_pts, {_W} "
@@ -543,38 +558,24 @@ register("score_components_raw", with_ctes(
                               "paymentHistory", "defaultHistory", "financialHealth"))
 register("loan_score_notebook", with_ctes(
     f"SELECT member_id, paymentHistory, defaultHistory, financialHealth, loanScore, "
-    f"raw_grade AS loan_final_grade, {_W} FROM loan_score_rows GROUP BY ALL", NOTEBOOK))(
+    f"loan_final_grade, {_W} FROM loan_score_rows GROUP BY ALL", NOTEBOOK))(
     lambda spark, d: stages(spark, d, variant=NOTEBOOK).loan_score)
 
-_LOAN_SCORE_EXPR = (
-    f"((l.last_payment_pts + l.total_payment_pts) * 0.20"
-    f" + ({_PTS['delinq']} + {_PTS['pubrec']} + {_PTS['bankr']} + {_PTS['enq']}) * 0.45"
-    f" + ({_PTS['status']} + {_PTS['home']} + {_PTS['credit']} + {_PTS['grade']}) * 0.35)")
-
 register("loan_score_by_loan", with_ctes(f"""
-SELECT l.loan_id, l.member_id,
-  CAST((l.last_payment_pts + l.total_payment_pts) * 0.20 AS DOUBLE) AS payment_history_pts,
-  CAST(({_PTS['delinq']} + {_PTS['pubrec']} + {_PTS['bankr']} + {_PTS['enq']}) * 0.45 AS DOUBLE)
-    AS defaulters_history_pts,
-  CAST(({_PTS['status']} + {_PTS['home']} + {_PTS['credit']} + {_PTS['grade']}) * 0.35 AS DOUBLE)
-    AS financial_health_pts,
-  CAST((l.last_payment_pts + l.total_payment_pts) * 0.20
-       + ({_PTS['delinq']} + {_PTS['pubrec']} + {_PTS['bankr']} + {_PTS['enq']}) * 0.45
-       + ({_PTS['status']} + {_PTS['home']} + {_PTS['credit']} + {_PTS['grade']}) * 0.35 AS DOUBLE)
-    AS loan_score,
-  {_grade_sql(_LOAN_SCORE_EXPR)} AS loan_final_grade
-FROM (SELECT pr.loan_id, pr.member_id, pr.last_payment_pts, pr.total_payment_pts, lc.loan_status,
-             lc.funded_amount, wr.pub_rec, wr.pub_rec_bankruptcies, wr.inq_last_6mths
-      FROM pay_rows pr
-      JOIN loans_clean lc ON lc.loan_id = pr.loan_id
-      JOIN (SELECT member_id, max(pub_rec) AS pub_rec, max(pub_rec_bankruptcies) AS pub_rec_bankruptcies,
-                   max(inq_last_6mths) AS inq_last_6mths FROM records_new GROUP BY member_id) wr
-        ON wr.member_id = pr.member_id
-      WHERE pr.member_id IN (SELECT member_id FROM customers_new)
-        AND pr.member_id NOT IN (SELECT member_id FROM bad)) l
-JOIN (SELECT member_id, max(delinq_2yrs) AS delinq_2yrs FROM delinq_new GROUP BY member_id) d
-  ON d.member_id = l.member_id
-JOIN customers_new a ON a.member_id = l.member_id"""))(
+, worst AS (
+  SELECT member_id, max(delinq_2yrs) AS late, max(pub_rec) AS rec, max(pub_rec_bankruptcies) AS bank, max(inq_last_6mths) AS inq
+  FROM delinq_new JOIN records_new USING (member_id) WHERE member_id NOT IN (FROM bad) GROUP BY member_id),
+rated AS (
+  SELECT loan_id, member_id, last_payment_pts + total_payment_pts AS pay,
+         {oracle.count_points('delinq', 'late')} + {oracle.count_points('record', 'rec')}
+           + {oracle.count_points('record', 'bank')} + {oracle.count_points('inquiry', 'inq')} AS def,
+         {oracle.status_points('loan_status')} + {oracle.home_points('home_ownership')}
+           + {oracle.limit_points('funded_amount', 'total_high_credit_limit')} + {oracle.grade_points('grade', 'sub_grade')} AS fin
+  FROM pay_rows JOIN loans_clean USING (loan_id, member_id) JOIN customers_new USING (member_id) JOIN worst USING (member_id))
+SELECT loan_id, member_id, CAST(pay * 0.20 AS DOUBLE) AS payment_history_pts, CAST(def * 0.45 AS DOUBLE) AS defaulters_history_pts,
+       CAST(fin * 0.35 AS DOUBLE) AS financial_health_pts, CAST(total AS DOUBLE) AS loan_score,
+       {oracle.letter_of('total')} AS loan_final_grade
+FROM (SELECT *, pay * 0.20 + def * 0.45 + fin * 0.35 AS total FROM rated)""".lstrip()))(
     lambda spark, d: stages(spark, d).loan_score_by_loan)
 
 # ---------------------------------------------------------------- sources, sinks, catalog
@@ -582,16 +583,25 @@ JOIN customers_new a ON a.member_id = l.member_id"""))(
 # (spark.checkpoint.dir), then returns the lazy read-back.
 
 import uuid  # noqa: E402
+from contextlib import contextmanager  # noqa: E402
 
 from lendwise import schemas  # noqa: E402
 from lendwise.session import scratch_path  # noqa: E402
 from lendwise.sources import io  # noqa: E402
 
 
-def _db(spark: SparkSession) -> str:
-    name = "lendwise_" + uuid.uuid4().hex[:12]
+@contextmanager
+def _database(spark: SparkSession):
+    """A database that is in use inside and gone afterwards.  What is read
+    from its tables is analysed by then and reads the files."""
+    name, before = "lendwise_" + uuid.uuid4().hex[:12], spark.catalog.currentDatabase()
     io.create_database(spark, name, scratch_path(spark, "catalog", name))
-    return name
+    io.use_database(spark, name)
+    try:
+        yield name
+    finally:
+        io.use_database(spark, before)
+        io.drop_database(spark, name)
 
 
 # CSV writing trims leading/trailing spaces of values (Spark's writer default),
@@ -645,8 +655,8 @@ def _scan_parquet(spark, d):
 @register("scan_table", with_ctes(f"SELECT {CUST_COLS} FROM cust_clean"))
 def _scan_table(spark, d):
     path = io.write_parquet(stages(spark, d).customers, scratch_path(spark, "cleaned", "customers"))
-    name = io.external_table(spark, f"{_db(spark)}.customers", schemas.CUSTOMERS_TABLE, path)
-    return no_audit(io.read_table(spark, name))
+    with _database(spark):
+        return no_audit(io.read_table(spark, io.external_table(spark, "customers", schemas.CUSTOMERS_TABLE, path)))
 
 
 @register("temp_view", with_ctes("SELECT * FROM dup_cust"))
@@ -683,15 +693,19 @@ def _sink_errorifexists(spark, d):
 
 @register("sink_managed_table", with_ctes("SELECT * FROM dup_cust"))
 def _sink_managed_table(spark, d):
-    name = io.save_table(stages(spark, d).bad, f"{_db(spark)}.bad_customer_data")
-    return io.read_table(spark, name)
+    # A managed table's files go with its database, so its rows are read out
+    # to the shared folder first.
+    bad = stages(spark, d).bad
+    with _database(spark):
+        table = io.read_table(spark, io.save_table(bad, "bad_customer_data"))
+        return spark.read.parquet(io.write_parquet(table, scratch_path(spark, "gold", "bad_customer_data")))
 
 
 @register("external_table", with_ctes("SELECT * FROM delinq_new"))
 def _external_table(spark, d):
     path = io.write_default(stages(spark, d).delinq_new, scratch_path(spark, "gold", "delinq"))
-    name = io.external_table(spark, f"{_db(spark)}.loans_defaulters_delinq_new", schemas.DELINQ_TABLE, path)
-    return io.read_table(spark, name)
+    with _database(spark):
+        return io.read_table(spark, io.external_table(spark, "loans_defaulters_delinq_new", schemas.DELINQ_TABLE, path))
 
 
 @register("catalog_admin", with_ctes("""
@@ -700,47 +714,72 @@ UNION ALL SELECT 'loans_defaulters_delinq_new', count(*) FROM delinq_new
 UNION ALL SELECT 'loans_defaulters_detail_rec_enq_new', count(*) FROM records_new"""))
 def _catalog_admin(spark, d):
     s = stages(spark, d)
-    db = _db(spark)
     tables = {"customers_new": (s.customers_new, schemas.CUSTOMERS_TABLE),
               "loans_defaulters_delinq_new": (s.delinq_new, schemas.DELINQ_TABLE),
               "loans_defaulters_detail_rec_enq_new": (s.records_new, schemas.RECORDS_TABLE)}
-    for name, (df, ddl) in tables.items():
-        io.external_table(spark, f"{db}.{name}", ddl, io.write_default(df, scratch_path(spark, "gold", name)))
-    io.external_table(spark, f"{db}.scratch", "member_id string",
-                      io.write_default(s.bad, scratch_path(spark, "gold", "scratch")))
-    io.drop_table(spark, f"{db}.scratch")
-    names = io.list_tables(spark, db)  # catalog metadata: three names
-    parts = [spark.table(f"{db}.{n}").agg(F.count(F.lit(1)).alias("n_rows"))
-             .select(F.lit(n).alias("table_name"), "n_rows") for n in names]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-@register("persistent_view", with_ctes(_VIEW_SQL.format(cols="""
-c.member_id, c.address_state, r.total_payment_received, d.delinq_2yrs, d.n_delinq_rows,
-e.n_record_rows""")))
-def _persistent_view(spark, d):
-    s = stages(spark, d)
-    db = _db(spark)
-    for name, df, ddl in (("customers_new", s.customers_new, schemas.CUSTOMERS_TABLE),
-                          ("loans", s.loans, schemas.LOANS_TABLE),
-                          ("loans_repayments", s.repayments, schemas.REPAYMENTS_TABLE),
-                          ("delinq_new", s.delinq_new, schemas.DELINQ_TABLE),
-                          ("records_new", s.records_new, schemas.RECORDS_TABLE)):
-        io.external_table(spark, f"{db}.{name}", ddl, io.write_default(df, scratch_path(spark, "gold", name)))
-    view = io.persistent_view(spark, f"{db}.customers_loan_v", views.consolidated_view_sql(
-        f"{db}.customers_new", f"{db}.loans", f"{db}.loans_repayments", f"{db}.delinq_new",
-        f"{db}.records_new", slim=True))
-    return io.read_table(spark, view)
-
-
-@register("quarantine_csv", with_ctes("SELECT * FROM bad", NOTEBOOK))
+    with _database(spark) as db:
+        for name, (df, ddl) in tables.items():
+            io.external_table(spark, name, ddl, io.write_default(df, scratch_path(spark, "gold", name)))
+        io.external_table(spark, "scratch", "member_id string",
+                          io.write_default(s.bad, scratch_path(spark, "gold", "scratch")))
+        io.drop_table(spark, "scratch")
+        names = io.list_tables(spark, db)  # catalog metadata: three names
+        parts = [spark.table(n).agg(F.count(F.lit(1)).alias("n_rows"))
+                 .select(F.lit(n).alias("table_name"), "n_rows") for n in names]
+        return reduce(DataFrame.unionByName, parts)
+
+
+def _registered_view(slim: bool) -> QueryFn:
+    def fn(spark: SparkSession, d: str) -> DataFrame:
+        s = stages(spark, d)
+        with _database(spark) as db:
+            for name, df, ddl in (("customers", s.customers, schemas.CUSTOMERS_TABLE),
+                                  ("loans", s.loans, schemas.LOANS_TABLE),
+                                  ("loans_repayments", s.repayments, schemas.REPAYMENTS_TABLE),
+                                  ("delinq", s.delinq, schemas.DELINQ_TABLE),
+                                  ("records", s.records, schemas.RECORDS_TABLE)):
+                io.external_table(spark, f"{db}.{name}", ddl, io.write_default(df, scratch_path(spark, "gold", name)))
+            view = io.persistent_view(spark, f"{db}.customers_loan_v", views.consolidated_view_sql(
+                f"{db}.customers", f"{db}.loans", f"{db}.loans_repayments", f"{db}.delinq", f"{db}.records", slim=slim))
+            return io.read_table(spark, view)
+    return fn
+
+
+register("persistent_view", with_ctes(_FULL_VIEW))(_registered_view(slim=False))
+register("persistent_view_slim", with_ctes(_SLIM_VIEW))(_registered_view(slim=True))
+
+
+@register("quarantine_csv", with_ctes("""
+SELECT 'customers' AS list, member_id FROM dup_cust UNION ALL SELECT 'delinq', member_id FROM dup_delinq
+UNION ALL SELECT 'records', member_id FROM dup_rec UNION ALL SELECT 'all', member_id FROM bad""", NOTEBOOK))
 def _quarantine_csv(spark, d):
-    bad = stages(spark, d, variant=NOTEBOOK).bad
-    path = io.write_csv(bad, scratch_path(spark, "bad", "bad_customer_data_final"))
-    return io.read_csv_inferred(spark, path)
+    """The three duplicate lists and their union, each written as CSV; the
+    union is built from the lists as read back."""
+    s = stages(spark, d, variant=NOTEBOOK)
+    lists = _quarantine_lists(spark, s)
+    union = quarantine.union_distinct(*lists.values())
+    lists["all"] = io.read_csv_inferred(spark, io.write_csv(union, scratch_path(spark, "bad", "bad_customer_data_final")))
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("list"), "member_id") for name, df in lists.items()])
+
+
+def _quarantine_lists(spark: SparkSession, s: Stages) -> dict[str, DataFrame]:
+    lists = {"customers": s.customers, "delinq": s.delinq, "records": s.records}
+    return {name: io.read_csv_schema(spark, io.write_csv(quarantine.dup_members(df), scratch_path(spark, "bad", name)), "member_id string")
+            for name, df in lists.items()}
+
+
+@register("quarantine_csv_used", with_ctes("""
+SELECT 'customers' AS kept, member_id, count(*) AS n FROM customers_new GROUP BY ALL
+UNION ALL SELECT 'delinq', member_id, count(*) FROM delinq_new GROUP BY ALL
+UNION ALL SELECT 'records', member_id, count(*) FROM records_new GROUP BY ALL""", NOTEBOOK))
+def _quarantine_csv_used(spark, d):
+    """The three tables without the members of the lists as read back."""
+    s = stages(spark, d, variant=NOTEBOOK)
+    lists = _quarantine_lists(spark, s)
+    kept = {"customers": quarantine.not_in(s.customers, quarantine.union_distinct(*lists.values())),
+            "delinq": quarantine.not_in(s.delinq, lists["delinq"]), "records": quarantine.not_in(s.records, lists["records"])}
+    return reduce(DataFrame.unionByName, [df.groupBy("member_id").agg(F.count(F.lit(1)).alias("n"))
+                                          .select(F.lit(name).alias("kept"), "member_id", "n") for name, df in kept.items()])
 
 
 def _gold(attr: str, ddl: str):

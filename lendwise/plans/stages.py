@@ -9,7 +9,6 @@ graph zone by zone for production runs.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -29,12 +28,20 @@ from lendwise.sources import fixture
 _STAGED: dict[tuple, str] = {}
 
 
-def _fingerprint(sf_dir: str) -> tuple:
-    try:
-        return tuple(sorted((n, os.stat(os.path.join(sf_dir, n)).st_mtime_ns)
-                            for n in os.listdir(sf_dir)))
-    except OSError:  # not a local folder: key on the name only
-        return ()
+SOURCE_TABLES = ("orders", "customer", "nation", "lineitem")
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, length and newest modification time of every source table, from
+    the file system that Spark reads them with: new input under an old name
+    is another input."""
+    paths = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in SOURCE_TABLES]
+    fs = paths[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for path in paths:
+        parts = fs.listStatus(path)
+        found.append((str(path), len(parts), sum(p.getLen() for p in parts), max((p.getModificationTime() for p in parts), default=0)))
+    return tuple(found)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -50,22 +57,27 @@ _KEYED_PLANS: dict[tuple, DataFrame] = {}
 def keyed_raw_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The (lazy) keyed raw relation over the test tables; its plan is built
     and analysed once per application and input."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _fingerprint(sf_dir))
+    key = (spark.sparkContext.applicationId, _fingerprint(spark, sf_dir))
     plan = _KEYED_PLANS.get(key)
     if plan is None:
         plan = _KEYED_PLANS[key] = with_member_key(fixture.raw_loans(spark, sf_dir))
     return plan
 
 
-def stage_keyed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The keyed raw relation, written once per application and input."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _fingerprint(sf_dir))
+def staged_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the keyed raw relation lies, written once per application and input."""
+    key = (spark.sparkContext.applicationId, _fingerprint(spark, sf_dir))
     path = _STAGED.get(key)
     if path is None or not _exists(spark, path):
         path = scratch_path(spark, "bronze", "keyed_raw")
         keyed_raw_plan(spark, sf_dir).write.mode("overwrite").parquet(path)
         _STAGED[key] = path
-    return spark.read.parquet(path)
+    return path
+
+
+def stage_keyed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyed raw relation, read from its staged copy."""
+    return spark.read.parquet(staged_path(spark, sf_dir))
 
 
 @dataclass
@@ -202,10 +214,10 @@ class Stages:
     # views
     @cached_property
     def consolidated(self) -> DataFrame:
-        return views.consolidated_view(self.customers_new, self.loans, self.repayments,
-                                       self.delinq_new, self.records_new)
+        return views.consolidated_view(self.customers, self.loans, self.repayments,
+                                       self.delinq, self.records)
 
     @cached_property
     def consolidated_slim(self) -> DataFrame:
-        return views.consolidated_view_slim(self.customers_new, self.loans, self.repayments,
-                                            self.delinq_new, self.records_new)
+        return views.consolidated_view_slim(self.customers, self.loans, self.repayments,
+                                            self.delinq, self.records)

@@ -53,10 +53,6 @@ DELINQ_TABLE = ("member_id string, delinq_2yrs int, delinq_amnt float, "
                 "mths_since_last_delinq int")
 RECORDS_TABLE = ("member_id string, pub_rec int, pub_rec_bankruptcies int, "
                  "inq_last_6mths int")
-LOAN_SCORE_TABLE = (
-    "member_id string, payment_history_pts double, "
-    "defaulters_history_pts double, financial_health_pts double, "
-    "loan_score double, loan_final_grade string")
 
 # Raw wide columns the pipeline reads (types as inferred from the raw file).
 RAW_COLUMNS = (

@@ -85,15 +85,12 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = lineitem_per_order(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_extendedprice", "l_quantity", "l_shipdate"))
 
-    # Orders and the lineitem aggregate are both hash-partitioned by order
-    # key, so their join needs no further exchange and the wide projection
-    # below runs in every shuffle partition (a big-big join at scale; the
-    # small dimension tables are broadcast only by Spark's size check).
-    orders = orders.repartition("o_orderkey")
-    base = (orders
-            .join(customer, orders.o_custkey == customer.c_custkey, "inner")
-            .join(nation, F.col("c_nationkey") == nation.n_nationkey, "inner")
-            .join(lines, orders.o_orderkey == lines.l_orderkey, "left"))
+    # Orders meet the lineitem aggregate first: both sides are shuffled by
+    # order key, once.  Customers and nations come after that, by broadcast
+    # only where Spark's size check allows.
+    base = (orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+            .join(customer, F.col("o_custkey") == customer.c_custkey, "inner")
+            .join(nation, F.col("c_nationkey") == nation.n_nationkey, "inner"))
 
     j = F.col("o_orderkey")
     k = F.col("c_custkey")

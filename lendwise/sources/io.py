@@ -105,6 +105,16 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{loc}")
 
 
+def use_database(spark: SparkSession, name: str) -> None:
+    """K7: names without a database mean this one from now on."""
+    spark.catalog.setCurrentDatabase(name)
+
+
+def drop_database(spark: SparkSession, name: str) -> None:
+    """K7: a database with all its tables and views; external files stay."""
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 def external_table(spark: SparkSession, name: str, ddl: str, location: str,
                    replace: bool = False) -> str:
     """K6: parquet table over a directory; idempotent."""

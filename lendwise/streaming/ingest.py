@@ -1,9 +1,9 @@
 """Continuous raw split: new raw CSV files -> member key -> four split zones.
 
 Keying and splitting are per-row and stateless, so they run unchanged on a
-stream.  Each micro-batch is read once and written to the four split zones
-with ``foreachBatch``; every output goes to a folder named by the batch id
-and is written in overwrite mode, so a batch replayed after a failure
+stream.  Each micro-batch is keyed once, written to the shared folder and
+split from there into the four zones with ``foreachBatch``; every output goes
+to a folder named by the batch id and is written in overwrite mode, so a batch replayed after a failure
 replaces its own output instead of duplicating it (the checkpoint makes the
 source offsets exactly-once).  The downstream cleaning and scoring stages
 need all rows of a member and stay batch jobs over the zones.
@@ -36,18 +36,20 @@ def raw_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int
 
 def start_split_stream(spark: SparkSession, source_dir: str, out_root: str,
                        checkpoint: str | None = None, available_now: bool = True,
-                       processing_time: str | None = None) -> StreamingQuery:
-    """Start the ingest; ``available_now`` drains what is there and stops."""
-    keyed = with_member_key(raw_stream(spark, source_dir))
+                       processing_time: str | None = None,
+                       max_files_per_trigger: int = 1000) -> StreamingQuery:
+    """Start the ingest; ``available_now`` drains what is there and stops.
+
+    ``max_files_per_trigger`` bounds a micro-batch, whatever the backlog."""
+    keyed = with_member_key(raw_stream(spark, source_dir, max_files_per_trigger))
     out_root = out_root.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            for name, fn in SPLITS.items():
-                fn(batch).write.mode("overwrite").parquet(f"{out_root}/{name}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        staged = f"{out_root}/keyed/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(staged)
+        stored = batch.sparkSession.read.parquet(staged)
+        for name, fn in SPLITS.items():
+            fn(stored).write.mode("overwrite").parquet(f"{out_root}/{name}/batch_id={batch_id}")
 
     writer = (keyed.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))

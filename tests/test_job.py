@@ -49,16 +49,3 @@ def test_stages_run_separately_with_csv_raw_zone(spark, tmp_dir):
     s = Stages.from_testdata(spark, SF_SMALL)
     got = spark.read.parquet(zones.root + "/gold/loan_score")
     assert _bag(got) == _bag(s.loan_score)
-
-
-def test_expanded_score_matches_reference_row_count(spark, tmp_dir):
-    from lendwise.plans.job import Zones, stage_clean, stage_quarantine, stage_score, stage_split
-    zones = Zones(tmp_dir + "/zx")
-    stage_split(spark, fixture.raw_loans(spark, SF_SMALL), zones)
-    stage_clean(spark, zones)
-    stage_quarantine(spark, zones)
-    stage_score(spark, zones, expand=True)
-    weighted = spark.read.parquet(zones.root + "/gold/loan_score")
-    rows = spark.read.parquet(zones.root + "/gold/loan_score_rows")
-    assert rows.count() == weighted.agg({"n_rows": "sum"}).first()[0] > weighted.count()
-    assert "n_rows" not in rows.columns

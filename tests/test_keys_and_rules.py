@@ -94,3 +94,16 @@ def test_delinquency_variants(spark):
     filtered = {r.member_id for r in clean.record_detail(base, Variant(record_detail="filtered")).collect()}
     assert filtered == {"m2"}
     assert {r.member_id for r in clean.record_members(base).collect()} == {"m2"}
+
+
+def test_float_counters_that_no_int_holds(spark):
+    from pyspark.sql import functions as F
+    from lendwise.functions import rules
+    from lendwise.operators import clean
+    cells = [float("nan"), float("inf"), float("-inf"), 1e12, 2.9, -0.5, None]
+    rows = spark.createDataFrame([(f"m{i}", x, 1.0, x) for i, x in enumerate(cells)],
+                                 "member_id string, delinq_2yrs float, delinq_amnt float, mths_since_last_delinq float")
+    got = [r.n for r in rows.select(rules.int_or_zero("delinq_2yrs").alias("n")).collect()]
+    assert got == [0, 0, 0, 0, 2, 0, 0]
+    assert clean.delinq_members(clean.defaulters_base(rows)).count() >= 1
+    assert clean.months_since_delinq_zero(rows).where(F.col("mths_since_last_delinq").isNull()).count() == 0

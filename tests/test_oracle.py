@@ -8,19 +8,23 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from lendwise.plans import registry
 from oracle_check import compare, duck
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(registry.QUERIES)
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
 
-@pytest.fixture(scope="module")
+@pytest.fixture
 def con():
-    return duck(SF_SMALL)
+    """A database per query: a fatal error in one cannot fail the next."""
+    with duck(SF_SMALL, memory="2GB", threads=2) as con:
+        yield con
 
 
 def test_registry_complete():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(registry.ORACLE) == set(registry.QUERIES)
+    assert set(registry.QUERIES) <= set(entry.queries())
     assert len(KEYS) >= 100
 
 
@@ -28,7 +32,7 @@ def test_registry_complete():
 def test_query_matches_oracle(spark, con, key):
     fn, sql = entry.queries()[key], entry.oracle_sql()[key]
     r = compare(spark, con, key, fn, sql, SF_SMALL)
-    assert r["cols_match"], r
+    assert r["cols_match"] and r["types_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["hash_match"], r
     plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
