@@ -71,11 +71,12 @@ def last_payment_pts(last_amount="last_payment_amount", installment="monthly_ins
                      p: ScoreParams = DEFAULT_PARAMS) -> Column:
     """G1: last payment against the monthly installment."""
     a, i = _c(last_amount), _c(installment)
+    # One end per band: the other is the arm before it.
     return compile_bands([
         Arm(a < i * 0.5, p.below_half_installment),
-        Arm((a >= i * 0.5) & (a < i), p.very_bad_rated_pts),
+        Arm(a < i, p.very_bad_rated_pts),
         Arm(a == i, p.good_rated_pts),
-        Arm((a > i) & (a <= i * 1.5), p.very_good_rated_pts),
+        Arm(a <= i * 1.5, p.very_good_rated_pts),
         Arm(a > i * 1.5, p.excellent_rated_pts),
     ], otherwise=p.unacceptable_rated_pts)
 
@@ -187,11 +188,6 @@ def grade_pts(grade="grade", sub_grade="sub_grade", p: ScoreParams = DEFAULT_PAR
 def loan_grade(score="loan_score", p: ScoreParams = DEFAULT_PARAMS) -> Column:
     """Letter grade from the score; null score -> null grade."""
     x = _c(score)
-    return compile_bands([
-        Arm(x > p.very_good_grade_pts, "A"),
-        Arm((x <= p.very_good_grade_pts) & (x > p.good_grade_pts), "B"),
-        Arm((x <= p.good_grade_pts) & (x > p.bad_grade_pts), "C"),
-        Arm((x <= p.bad_grade_pts) & (x > p.very_bad_grade_pts), "D"),
-        Arm((x <= p.very_bad_grade_pts) & (x > p.unacceptable_grade_pts), "E"),
-        Arm(x <= p.unacceptable_grade_pts, "F"),
-    ])
+    floors = (p.very_good_grade_pts, p.good_grade_pts, p.bad_grade_pts, p.very_bad_grade_pts, p.unacceptable_grade_pts)
+    arms = [Arm(x > floor, letter) for letter, floor in zip("ABCDE", floors)]
+    return compile_bands([*arms, Arm(x.isNotNull(), "F")])

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from lendwise.functions import rules
 from lendwise.params import DEFAULT_VARIANT, Variant
 
+# Fixed values that must equal the reference's: business names of the customer
+# columns, the fields a loan and a repayment must have, and the counters.
 CUSTOMER_RENAMES = {
     "annual_inc": "annual_income",
     "addr_state": "address_state",

@@ -1,5 +1,6 @@
 """Split the keyed raw relation into four narrow relations.
 
+The column lists are fixed values: names and order of the four split files.
 Each split is a projection; Catalyst prunes the raw scan to the columns it
 needs.  ``conform`` then binds a split to its declared schema the way a
 positional CSV read with a DDL schema would (names by position, types by

@@ -1,6 +1,7 @@
 """Declared schemas.
 
-The ``*_RAW`` DDLs are the positional schemas the split files are read back
+Fixed values that must equal the reference's: column names, their order and
+types.  The ``*_RAW`` DDLs are the positional schemas the split files are read back
 with; ``*_TABLE`` DDLs are the cleaned tables' columns, bound by name.
 """
 
