@@ -90,12 +90,14 @@ def learn(docs: DataFrame, params: MixtureParams = MixtureParams(), text_col: st
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where("text is not null and lang is not null")
     summed = rows.mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    found = summed.collect() if _bounded(rows, params) else []
-    names = sorted({r.lang for r in found})
-    table = np.zeros((len(names), cells))
-    if found:
-        place = {n: i for i, n in enumerate(names)}
-        table[[place[r.lang] for r in found], [r.cell for r in found]] = [r.n for r in found]
+    names, table = [], np.zeros((0, cells))
+    if _bounded(rows, params):
+        found = summed.toArrow()  # at most max_languages x cells numbers
+        langs = found["lang"].combine_chunks().dictionary_encode()
+        names = sorted(langs.dictionary.to_pylist())
+        place = np.array([names.index(x) for x in langs.dictionary.to_pylist()])
+        table = np.zeros((len(names), cells))
+        table[place[langs.indices.to_numpy()], found["cell"].to_numpy()] = found["n"].to_numpy()
     table += params.smoothing
     return names, (table / table.sum(1, keepdims=True)).astype(np.float32)
 
