@@ -5,7 +5,8 @@ shingles are ordered by estimated frequency, rarest first, and two similar
 sets must share shingles early in that order.  A document's prefix that is
 longer by l - 1 must share at least l shingles: every document picks the l
 of least estimated candidate cost, and a pair is verified only if it shares
-the smaller of its two l.
+the smaller of its two l, within the prefixes that follow from both sizes,
+and if what lies behind the last shared one leaves room for the overlap.
 
 Equal sets are one class from the start, and a first round compares every
 class with one neighbour per prefix shingle only.  What that links is one
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import connected_components
 from .shared import arrow_batches, broadcast_if_small, column, materialise, ship_package, text_slices
@@ -138,13 +139,16 @@ def choose_prefixes(excess: np.ndarray, starts: np.ndarray, params: JoinParams)
     order: the number of matches l to ask for, and its prefix length.
 
     A prefix of postings P costs P to read, and as every candidate shares l
-    of them, at most P / l verifications."""
+    of them, at most P / l verifications.  P is that of the prefix which
+    counts against a set of the same size, the usual candidate's; the whole
+    prefix, for the smallest sets that can be similar, is longer."""
     n = np.diff(starts)
     shared = required(n, params.percent)
+    alike = -(-2 * n * params.percent // (100 + params.percent))
     sums = np.concatenate([[0], np.cumsum(excess)])
     best, matches = np.full(len(n), np.inf), np.ones(len(n), np.int64)
     for l in range(1, params.most_matches + 1):
-        postings = sums[starts[:-1] + np.minimum(n, n - shared + l)] - sums[starts[:-1]]
+        postings = sums[starts[:-1] + np.minimum(n, n - alike + l)] - sums[starts[:-1]]
         cost = postings * (1 + params.verify_cost / l)
         better = (cost < best) & (l <= np.maximum(shared, 1))
         best[better], matches[better] = cost[better], l
@@ -181,19 +185,49 @@ def prefixes(rows: DataFrame, sketch: np.ndarray, params: JoinParams) -> DataFra
 
 # ----------------------------------------------------------- candidates
 
-def _long_enough(a: str, b: str, params: JoinParams):
+def _similar_in_size(a: str, b: str, params: JoinParams) -> Column:
     return 100 * F.least(a, b) >= params.percent * F.greatest(a, b)
 
 
+def overlap(a: str, b: str, params: JoinParams) -> Column:
+    """Shingles that similar sets of these sizes share, at least."""
+    whole = 100 + params.percent
+    return F.floor((params.percent * (F.col(a) + F.col(b)) + whole - 1) / whole)
+
+
+def _in_both_prefixes(x: str, y: str, params: JoinParams) -> Column:
+    """Whether a shared shingle counts for a pair.  Both sizes are known
+    here, so the pair's prefixes are shorter than the documents' own: of n
+    shingles at most n less the overlap are not shared."""
+    l = F.least(f"{x}matches", f"{y}matches")
+    shared = overlap(f"{x}n", f"{y}n", params)
+    # Before a shared one stand at most as many shared ones as the nearer of
+    # its two places allows.
+    room = F.least(f"{x}pos", f"{y}pos") + F.least(F.col(f"{x}n") - F.col(f"{x}pos"), F.col(f"{y}n") - F.col(f"{y}pos"))
+    return ((F.col(f"{x}pos") < F.col(f"{x}n") - shared + l) & (F.col(f"{y}pos") < F.col(f"{y}n") - shared + l)
+            & (room >= shared) & _similar_in_size(f"{x}n", f"{y}n", params))
+
+
+def _enough(x: str, y: str, params: JoinParams) -> Column:
+    """Whether ``met`` shared prefix shingles, the last of them at
+    ``x``last and ``y``last, leave room for the overlap."""
+    room = F.least(F.col(f"{x}n") - F.col(f"{x}last"), F.col(f"{y}n") - F.col(f"{y}last")) - 1
+    return (F.col("met") >= F.least(f"{x}matches", f"{y}matches")) & (F.col("met") + room >= overlap(f"{x}n", f"{y}n", params))
+
+
+_ENTRY = ("id", "n", "matches", "pos")
+
+
 def _first_pairs(entries: DataFrame, params: JoinParams) -> DataFrame:
-    """One pair per document: it and the least document of a shingle's
-    documents, the one met most often.  An accelerator only: the full join
-    after it misses nothing."""
-    leaders = entries.groupBy("token").agg(F.min(F.struct("id", "n")).alias("leader"))
-    met = (entries.join(leaders, "token").where(F.col("leader.id") != F.col("id"))
-           .withColumns({"a": F.col("leader.id"), "an": F.col("leader.n")}).where(_long_enough("n", "an", params))
-           .groupBy("a", "id").agg(F.count("*").alias("met")))
-    return met.groupBy("id").agg(F.max(F.struct("met", "a")).alias("best")).select(F.col("best.a").alias("a"), F.col("id").alias("b"))
+    """One pair per document: it and the most typical document of a
+    shingle's documents, the one met most often.  Typical is the document in
+    which the fewest shingles are rarer: of near copies, the one least
+    edited.  An accelerator only: the full join after it misses nothing."""
+    leaders = entries.groupBy("token").agg(F.min(F.struct("pos", "id", "n", "matches")).alias("leader"))
+    both = entries.join(leaders, "token").where(F.col("leader.id") != F.col("id")).select(
+        *[F.col(c).alias(f"b_{c}") for c in _ENTRY], *[F.col(f"leader.{c}").alias(f"a_{c}") for c in _ENTRY])
+    met = both.where(_in_both_prefixes("a_", "b_", params)).groupBy("a_id", "b_id").agg(F.count("*").alias("met"))
+    return met.groupBy("b_id").agg(F.max(F.struct("met", "a_id")).alias("best")).select(F.col("best.a_id").alias("a"), F.col("b_id").alias("b"))
 
 
 def _cross_pairs(entries: DataFrame, components: DataFrame, params: JoinParams) -> DataFrame:
@@ -204,18 +238,25 @@ def _cross_pairs(entries: DataFrame, components: DataFrame, params: JoinParams)
     one side of the join holds only those outside it.
     """
     labelled = entries.join(components, entries.id == components.node, "left").select(
-        "token", "id", "n", "matches", F.coalesce("component", "id").alias("comp"))
+        "token", *_ENTRY, F.coalesce("component", "id").alias("comp"))
     sizes = labelled.groupBy("token", "comp").agg(F.count("*").alias("size"))
     largest = (sizes.groupBy("token").agg(F.count("*").alias("comps"), F.max(F.struct("size", "comp")).alias("top"))
                .where("comps > 1").select("token", F.col("top.comp").alias("top")))
     mixed = materialise(labelled.join(largest, "token"), "mixed_postings")
-    a = mixed.where("comp != top").select("token", *[F.col(c).alias(f"a_{c}") for c in ("id", "n", "matches", "comp")])
-    b = mixed.select("token", *[F.col(c).alias(f"b_{c}") for c in ("id", "n", "matches", "comp", "top")])
+    a = mixed.where("comp != top").select("token", *[F.col(c).alias(f"a_{c}") for c in (*_ENTRY, "comp")])
+    b = mixed.select("token", *[F.col(c).alias(f"b_{c}") for c in (*_ENTRY, "comp", "top")])
     once = (F.col("b_comp") == F.col("b_top")) | (F.col("a_id") < F.col("b_id"))
-    met = (a.join(b, "token").where((F.col("a_comp") != F.col("b_comp")) & once & _long_enough("a_n", "b_n", params))
-           .groupBy(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"))
-           .agg(F.count("*").alias("met"), F.first(F.least("a_matches", "b_matches")).alias("least")))
-    return met.where("met >= least").select("a", "b")
+    met = (a.join(b, (a.token == b.token) & (F.col("a_comp") != F.col("b_comp")) & once & _in_both_prefixes("a_", "b_", params))
+           .groupBy("a_id", "b_id", "a_n", "b_n", "a_matches", "b_matches")
+           .agg(F.count("*").alias("met"), F.max("a_pos").alias("a_last"), F.max("b_pos").alias("b_last")))
+    # A document outside one shingle's largest component may be inside
+    # another's, so a pair may have been met from both sides.
+    swap = F.col("a_id") > F.col("b_id")
+    both = [F.when(swap, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}")).alias(f"a_{c}") for c in ("id", "n", "matches", "last")]
+    both += [F.when(swap, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")).alias(f"b_{c}") for c in ("id", "n", "matches", "last")]
+    met = (met.select("met", *both).groupBy("a_id", "b_id", "a_n", "b_n", "a_matches", "b_matches")
+           .agg(F.sum("met").alias("met"), F.max("a_last").alias("a_last"), F.max("b_last").alias("b_last")))
+    return met.where(_enough("a_", "b_", params)).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
 
 
 def verify(pairs: DataFrame, rows: DataFrame, params: JoinParams) -> DataFrame:
@@ -266,7 +307,7 @@ def similar_documents(docs: DataFrame, params: JoinParams = JoinParams(), id_col
     # Joined on the id, which no two classes share: no hot key carries prefixes.
     reps = filled.join(classes.select(F.col("digest").alias("d"), "rep"),
                        (F.col("id") == F.col("rep")) & (F.col("digest") == F.col("d")), "left_semi").dropDuplicates(["id", "digest"])
-    postings = reps.select("id", "n", "matches", F.explode("tokens").alias("token"))
+    postings = reps.select("id", "n", "matches", F.posexplode("tokens").alias("pos", "token"))
     met = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     entries = materialise(postings.join(met, "token", "left_semi"), "postings")
 
