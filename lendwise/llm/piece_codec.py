@@ -27,7 +27,9 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BPE_MODEL = 2
 UNSEEN = -1
 # Distinct chunks a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+# Text encoded at a time: its ids and spans take some ten times as much.
+SLICE_BYTES = 1 << 20
 
 
 class CharacterMap:
@@ -323,8 +325,8 @@ def _lists(values: np.ndarray, starts: np.ndarray) -> pa.Array:
 
 
 def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text",
-           decoded: bool = False) -> DataFrame:
-    """Per row: ``id, n_bytes, ids, begins, ends`` and, if asked for,
+           spans: bool = True, decoded: bool = False) -> DataFrame:
+    """Per row: ``id, n_bytes, ids`` and, if asked for, ``begins, ends`` and
     ``decoded``: the ids of the whole text without begin and end ids, the
     span of every piece in the text's UTF-8 bytes, and the text the ids
     decode to.
@@ -339,22 +341,22 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
 
     def work(batches):
         codec = worker_codec(model_file)
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SLICE_BYTES):
             texts = column(batch, "text").to_pylist()
             ids, starts, begins, ends = codec.encode(texts)
-            sizes = pa.array([len(t.encode("utf-8")) for t in texts], pa.int64())
-            arrays = [column(batch, "id"), sizes, *(_lists(v, starts) for v in (ids, begins, ends))]
-            names = ["id", "n_bytes", "ids", "begins", "ends"]
+            columns = {"id": column(batch, "id"), "n_bytes": pa.array([len(t.encode("utf-8")) for t in texts], pa.int64()),
+                       "ids": _lists(ids, starts)}
+            if spans:
+                columns |= {"begins": _lists(begins, starts), "ends": _lists(ends, starts)}
             if decoded:
-                flat = ids.tolist()
-                arrays.append(pa.array([codec.decode(flat[a:b]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())], pa.string()))
-                names.append("decoded")
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+                bounds = zip(starts[:-1].tolist(), starts[1:].tolist())
+                columns["decoded"] = pa.array([codec.decode(ids[a:b].tolist()) for a, b in bounds], pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
 
     rows = id_and_text(docs, id_col, text_col)
-    kind = rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n_bytes long, ids array<int>, begins array<int>, ends array<int>"
-    return rows.mapInArrow(work, schema + (", decoded string" if decoded else ""))
+    schema = [f"id {rows.schema['id'].dataType.simpleString()}", "n_bytes long", "ids array<int>"]
+    schema += ["begins array<int>", "ends array<int>"] if spans else []
+    return rows.mapInArrow(work, ", ".join(schema + (["decoded string"] if decoded else [])))
 
 
 def decode(encoded: DataFrame, model_file: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:

@@ -55,6 +55,8 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text",
                 end += 1
             yield batch.slice(start, end - start)
             start = end
+        # What the slices took goes back before the next batch is read.
+        pa.default_memory_pool().release_unused()
 
 
 def _offsets(column: pa.Array) -> list[int]:
