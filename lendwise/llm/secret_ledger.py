@@ -78,13 +78,16 @@ def find_spans(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(digest, kind, start, end) of every finding in ``blobs`` (digest, text,
     rules: the rule keys to run).  Matches are leftmost and do not overlap
     within a kind; those whose tested part is too short are dropped after
-    matching."""
+    matching.  A blob that comes in several rows counts once: only its first
+    row's matches, the same as in the others, enter the running sums."""
     rows = blobs.select("digest", F.array(*[
         F.struct(F.lit(i).alias("rule"), _matches(r).alias("found"))
         for i, r in enumerate(rules)]).alias("per_rule"))
     rows = (rows.select("digest", F.explode("per_rule").alias("r"))
             .where(F.size("r.found") > 0)
-            .select("digest", F.col("r.rule").alias("rule"), F.posexplode("r.found")))
+            .select("digest", F.col("r.rule").alias("rule"), F.col("r.found").alias("found"))
+            .dropDuplicates(["digest", "rule"])
+            .select("digest", "rule", F.posexplode("found")))
     running = Window.partitionBy("digest", "rule").orderBy("pos")
     end = F.sum(F.col("col.gap") + F.col("col.len")).over(running)
     kinds = F.array(*[F.lit(r.kind) for r in rules])

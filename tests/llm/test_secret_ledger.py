@@ -84,6 +84,17 @@ def test_redaction(docs_of, ledger):
     assert {r.doc_id: r.text for r in got.collect()} == {0: "a [SECRET] b", 1: "[SECRET]", 2: "nothing", 3: None, 4: "", 5: "é [SECRET] [SECRET]"}
 
 
+def test_repeated_rows_count_once(spark, docs_of, ledger):
+    text = "a token = abcdefgh1 b password: zyxwvuts9 c"
+    docs = docs_of([text]).union(docs_of([text])).union(docs_of(["clean"], first=7))
+    for _ in range(2):  # the second scan reads the ledger alone
+        got = [(r.path, [tuple(f) for f in r.findings]) for r in _scan(docs, ledger).collect()]
+        assert sorted(got) == [(0, _plain(text)), (0, _plain(text)), (7, [])]
+    assert ledger.findings().count() == 2
+    fresh = sl.Ledger(spark, scratch_path(spark, "ledger"))
+    assert sorted(r.text for r in sl.redact(docs, fresh).collect()) == ["a [SECRET] b [SECRET] c"] * 2 + ["clean"]
+
+
 def test_odd_rows(edge, empty, ledger):
     got = _scan(edge, ledger).collect()
     assert len(got) == edge.count() and all(r.findings == [] for r in got)
