@@ -58,6 +58,19 @@ RULES = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", base=False),
 )
 
+# What redaction masks: the rules above, with a private key from its BEGIN
+# line over the body to its END line or, where a text has no END, over the
+# header fields and base64 lines that follow (a line break may be an escaped
+# one).  A scan reports the BEGIN line alone, as op9's SQL does.  Possessive
+# groups are matched in a loop, so a long body takes no stack.
+_BEGIN = r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"
+_TO_END = r"(?:[^-]|-(?!----))*+-{5,}+END [A-Z ]{0,32}PRIVATE KEY-----"
+_BREAK = r"""(?:[\s"'+,>#*|]|\\[nrt])"""
+_FIELDS = rf"(?:{_BREAK}++(?:Proc-Type|DEK-Info|Comment|Version):[^\n\\]*+)*+"
+_LINES = rf"""(?:{_BREAK}*+[A-Za-z0-9/+]{{16,}}+={{0,2}})++(?:{_BREAK}++[A-Za-z0-9/+]{{1,15}}+={{0,2}}(?=[ \t\r]*+(?:\n|$)|["'\\]))?+"""
+_KEY = rf"{_BEGIN}(?:{_TO_END}|{_FIELDS}{_LINES})?+"
+MASKED_RULES = tuple(Rule(r.kind, _KEY, version=2, base=False) if r.kind == "private_key" else r for r in RULES)
+
 
 def _matches(rule: Rule) -> Column:
     """Array of (gap before the match, its length, length of the tested
@@ -206,7 +219,7 @@ def masked(text: Column, spans: Column, mask: str) -> Column:
 
 
 def redact(docs: DataFrame, ledger: Ledger, id_col: str = "doc_id", text_col: str = "text", mask: str = "[SECRET]",
-           rules: tuple[Rule, ...] = RULES) -> DataFrame:
+           rules: tuple[Rule, ...] = MASKED_RULES) -> DataFrame:
     """``docs`` with every secret in ``text_col`` replaced by ``mask``, all
     rows and columns kept.  Findings meet the texts by content, so repeated
     ids do no harm; the few blobs with findings are broadcast while they are

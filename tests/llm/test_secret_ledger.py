@@ -95,6 +95,19 @@ def test_repeated_rows_count_once(spark, docs_of, ledger):
     assert sorted(r.text for r in sl.redact(docs, fresh).collect()) == ["a [SECRET] b [SECRET] c"] * 2 + ["clean"]
 
 
+def test_no_key_body_is_left(docs_of, ledger):
+    lines = [("MIIEowIBAAKCAQEA0Z%02dx/+Qq" % i).ljust(64, "k") for i in range(600)]
+    begin, end, tail = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "\n".join([*lines, "Zm9vYg=="])
+    fields = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0011AA\n\n"
+    keys = [f"{begin}\n{tail}\n{end}", f"{begin}\r\n{fields}{tail}\n{end}", begin + "\\n" + "\\n".join(lines) + "\\n" + end,
+            f"{begin}\n{tail}", f"{begin}\n{fields}{tail}", f"{begin}\n" + "\n".join([*lines, "Zm9v"]),
+            f"{begin}\n{tail}\n{begin}\n{tail}\n{end}", begin]
+    texts = [f"before {k}\nafter it - all" for k in keys] + [f"{begin} is a key's first line"]
+    got = {r.doc_id: r.text for r in sl.redact(docs_of(texts), ledger).collect()}
+    assert [got[i] for i in range(len(keys))] == ["before [SECRET]\nafter it - all"] * 6 + ["before [SECRET]\n[SECRET]\nafter it - all"] + ["before [SECRET]\nafter it - all"]
+    assert got[len(keys)] == "[SECRET] is a key's first line"
+
+
 def test_odd_rows(edge, empty, ledger):
     got = _scan(edge, ledger).collect()
     assert len(got) == edge.count() and all(r.findings == [] for r in got)
