@@ -325,8 +325,8 @@ def _lists(values: np.ndarray, starts: np.ndarray) -> pa.Array:
 
 
 def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text",
-           spans: bool = True, decoded: bool = False) -> DataFrame:
-    """Per row: ``id, n_bytes, ids`` and, if asked for, ``begins, ends`` and
+           decoded: bool = False) -> DataFrame:
+    """Per row: ``id, n_bytes, ids, begins, ends`` and, if asked for,
     ``decoded``: the ids of the whole text without begin and end ids, the
     span of every piece in the text's UTF-8 bytes, and the text the ids
     decode to.
@@ -345,17 +345,14 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
             texts = column(batch, "text").to_pylist()
             ids, starts, begins, ends = codec.encode(texts)
             columns = {"id": column(batch, "id"), "n_bytes": pa.array([len(t.encode("utf-8")) for t in texts], pa.int64()),
-                       "ids": _lists(ids, starts)}
-            if spans:
-                columns |= {"begins": _lists(begins, starts), "ends": _lists(ends, starts)}
+                       "ids": _lists(ids, starts), "begins": _lists(begins, starts), "ends": _lists(ends, starts)}
             if decoded:
                 bounds = zip(starts[:-1].tolist(), starts[1:].tolist())
                 columns["decoded"] = pa.array([codec.decode(ids[a:b].tolist()) for a, b in bounds], pa.string())
             yield pa.RecordBatch.from_pydict(columns)
 
     rows = id_and_text(docs, id_col, text_col)
-    schema = [f"id {rows.schema['id'].dataType.simpleString()}", "n_bytes long", "ids array<int>"]
-    schema += ["begins array<int>", "ends array<int>"] if spans else []
+    schema = [f"id {rows.schema['id'].dataType.simpleString()}", "n_bytes long", "ids array<int>", "begins array<int>", "ends array<int>"]
     return rows.mapInArrow(work, ", ".join(schema + (["decoded string"] if decoded else [])))
 
 

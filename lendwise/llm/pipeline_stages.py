@@ -39,11 +39,12 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token ids, and whether they decode to their text (a
-    space mark in a text comes back as a space)."""
-    rows = piece_codec.encode(docs, tokenizer_path("piece_bpe_32k.model"), spans=False, decoded=True)
+    """The documents' token ids, the span of every piece in the text's bytes,
+    and whether the ids decode to their text (a space mark in a text comes
+    back as a space)."""
+    rows = piece_codec.encode(docs, tokenizer_path("piece_bpe_32k.model"), decoded=True)
     return rows.select(F.col("id").alias("doc_id"), "n_bytes", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+                       "begins", "ends", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

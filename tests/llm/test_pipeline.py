@@ -73,6 +73,16 @@ def test_run(spark):
     assert rows and all(len(library.decode(r.ids).encode()) == r.n_bytes and r.n_tokens == len(r.ids) for r in rows)
 
 
+def test_encoding_keeps_the_spans(spark):
+    texts = {1: "Hello  wörld, 日本語 😀", 2: "", 3: "one two"}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars int")
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for r in STAGES["sentencepiece"](spark, docs, SF).collect():
+        raw = texts[r.doc_id].encode()
+        assert r.ids == library.encode(texts[r.doc_id]) and len(r.begins) == len(r.ends) == r.n_tokens
+        assert b"".join(raw[a:b] for a, b in zip(r.begins, r.ends)) == raw
+
+
 def test_empty_table(spark, docs):
     for name, stage in STAGES.items():
         assert stage(spark, docs.limit(0), SF).count() == 0, name
