@@ -20,17 +20,17 @@ from .shared import column, id_and_text, ship_package, text_slices
 UNDETERMINED = "und"
 GRAM = 3
 DOCS_AT_ONCE = 128
+# Documents times languages at once: with more languages, fewer documents.
+PAIRS_AT_ONCE = 1024
 
 
 @dataclass(frozen=True)
 class MixtureParams:
-    """``bits``: log2 of the hashed trigram table.  ``candidates``: languages
-    of best single-language likelihood that enter a document's mixture.
-    ``max_languages`` bounds the model sent to the tasks (with 8,192 cells of
-    4 bytes, 200 languages are 7 MB)."""
+    """``bits``: log2 of the hashed trigram table.  ``max_languages`` bounds
+    the model sent to the tasks (with 8,192 cells of 4 bytes, 200 languages
+    are 7 MB) and, as all of them enter every mixture, a document's work."""
     bits: int = 13
     smoothing: float = 0.5
-    candidates: int = 8
     first_steps: int = 10
     later_steps: int = 5
     penalty: float = 0.5
@@ -122,15 +122,16 @@ class Mixture:
         if not len(self.table):
             return out
         owner, cell = trigrams(texts, self.params.bits)
-        bounds = np.searchsorted(owner, np.arange(0, len(texts) + DOCS_AT_ONCE, DOCS_AT_ONCE))
+        docs = max(1, min(DOCS_AT_ONCE, PAIRS_AT_ONCE // len(self.table)))
+        bounds = np.searchsorted(owner, np.arange(0, len(texts) + docs, docs))
         cells = self.table.shape[1]
         for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
             if a == b:
                 continue
-            dense = np.bincount((owner[a:b] - i * DOCS_AT_ONCE) * cells + cell[a:b])
+            dense = np.bincount((owner[a:b] - i * docs) * cells + cell[a:b])
             at = np.flatnonzero(dense)
             doc, first = np.unique(at // cells, return_index=True)
-            out[i * DOCS_AT_ONCE + doc] = self._block(at % cells, dense[at].astype(np.float64), first)
+            out[i * docs + doc] = self._block(at % cells, dense[at].astype(np.float64), first)
         return out
 
     def _block(self, cell: np.ndarray, count: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -139,10 +140,10 @@ class Mixture:
         of = np.repeat(np.arange(n_docs), np.diff([*first, len(cell)]))
         total = np.add.reduceat(count, first)
         per_doc = lambda x: np.add.reduceat(x, first)
-        # Only languages that stand alone well enough enter the mixture.
+        # Every language enters; the order only decides which of equals goes.
         alone = np.stack([per_doc(count * np.log(row[cell])) for row in self.table], 1)
-        k = min(p.candidates, len(self.table))
-        used = np.argsort(-alone, 1, kind="stable")[:, :k]  # documents x k languages
+        k = len(self.table)
+        used = np.argsort(-alone, 1, kind="stable")  # documents x languages
         like = [self.table[used[of, j], cell].astype(np.float64) for j in range(k)]
         share = np.full((n_docs, k), 1.0 / k)
         best = np.full(n_docs, -np.inf)
@@ -171,14 +172,16 @@ class Mixture:
     def _mixed(share, like, of):
         mixed = share[of, 0] * like[0]
         for j in range(1, len(like)):
-            mixed += share[of, j] * like[j]
+            if share[:, j].any():
+                mixed += share[of, j] * like[j]
         return np.maximum(mixed, 1e-300)
 
     def _maximise(self, share, like, of, count, total, per_doc, steps):
         live = share > 0
         for _ in range(steps):
             weight = count / self._mixed(share, like, of)
-            new = np.stack([share[:, j] * per_doc(weight * like[j]) for j in range(len(like))], 1) / total[:, None]
+            new = np.stack([share[:, j] * per_doc(weight * like[j]) if live[:, j].any() else share[:, j]
+                            for j in range(len(like))], 1) / total[:, None]
             change = np.abs(new - share).max()
             share = new
             if change < 1e-3:

@@ -66,6 +66,22 @@ def test_a_mixed_text_gets_both_languages():
     assert shares[3].sum() == 0 and shares[4].sum() == 0
 
 
+def test_a_minority_language_enters_past_its_rivals_relatives():
+    rng = np.random.default_rng(3)
+    words = lambda letters, n: ["".join(rng.choice(list(letters), 4)) for _ in range(n)]
+    major, minor = words("abcdefghijklm", 60), words("αβγδεζηθικ", 60)
+    vocabularies = [major] + [major[:50 - i] + words("abcdefghijklm", 10 + i) for i in range(10)] + [minor]
+    table = np.full((len(vocabularies), 1 << SMALL.bits), SMALL.smoothing)
+    for row, vocabulary in zip(table, vocabularies):
+        np.add.at(row, lm.trigrams([" ".join(rng.choice(vocabulary, 4000))], SMALL.bits)[1], 1)
+    table = (table / table.sum(1, keepdims=True)).astype(np.float32)
+    texts = [" ".join([*rng.choice(major, 140), *rng.choice(minor, 60)]) for _ in range(200)]
+    shares = lm.Mixture(table, SMALL).infer(texts)
+    single = [lm.Mixture(table, SMALL).infer([t])[0] for t in texts[:5]]
+    assert np.allclose(single, _plain(table, texts[:5], SMALL), atol=1e-6)
+    assert (shares[:, -1] > 0.2).all() and (shares[:, 0] > 0.5).mean() > 0.9
+
+
 def test_held_out_accuracy(spark):
     from lendwise.llm import queries
     rows = queries.op1_language_id(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id")
