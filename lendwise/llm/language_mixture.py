@@ -19,6 +19,8 @@ from .shared import column, id_and_text, ship_package, text_slices
 
 UNDETERMINED = "und"
 GRAM = 3
+# Text taken at a time: its trigrams take some thirty times as much.
+SLICE_BYTES = 1 << 20
 DOCS_AT_ONCE = 128
 # Documents times languages at once: with more languages, fewer documents.
 PAIRS_AT_ONCE = 1024
@@ -74,7 +76,7 @@ def learn(docs: DataFrame, params: MixtureParams = MixtureParams(), text_col: st
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SLICE_BYTES):
             langs = column(batch, "lang").to_pylist()
             owner, cell = trigrams(column(batch, "text").to_pylist(), params.bits)
             names = sorted(set(langs))
@@ -114,14 +116,22 @@ class Mixture:
 
     def __init__(self, table: np.ndarray, params: MixtureParams):
         self.table, self.params = table, params
+        self.seen = table > table.min(1, keepdims=True)
 
     def infer(self, texts: list[str]) -> np.ndarray:
         """Proportions (texts x languages) of the chosen language sets; all
         zero for a text without letters."""
-        out = np.zeros((len(texts), len(self.table)))
-        if not len(self.table):
-            return out
+        return self.infer_and_fit(texts)[0]
+
+    def infer_and_fit(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The proportions, and whether a language fits each text: it has a
+        letter and, if there is any language, its likelihood lies above the
+        floor, which it has where the chosen languages hold no trigram of it."""
+        out, fits = np.zeros((len(texts), len(self.table))), np.zeros(len(texts), bool)
         owner, cell = trigrams(texts, self.params.bits)
+        if not len(self.table):
+            fits[owner] = True
+            return out, fits
         docs = max(1, min(DOCS_AT_ONCE, PAIRS_AT_ONCE // len(self.table)))
         bounds = np.searchsorted(owner, np.arange(0, len(texts) + docs, docs))
         cells = self.table.shape[1]
@@ -132,7 +142,10 @@ class Mixture:
             at = np.flatnonzero(dense)
             doc, first = np.unique(at // cells, return_index=True)
             out[i * docs + doc] = self._block(at % cells, dense[at].astype(np.float64), first)
-        return out
+            of = i * docs + at // cells
+            for j, row in enumerate(self.seen):
+                fits[of[row[at % cells] & (out[of, j] > 0)]] = True
+        return out, fits
 
     def _block(self, cell: np.ndarray, count: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Proportions for documents whose distinct cells begin at ``first``."""
@@ -207,7 +220,7 @@ def identify(docs: DataFrame, names: list[str], table: np.ndarray, params: Mixtu
 
     def work(batches):
         mixture = Mixture(model.value, params)
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SLICE_BYTES):
             texts = [t or "" for t in column(batch, "text").to_pylist()]
             shares = mixture.infer(texts)
             # Without a language argmax has nothing to look at.
@@ -226,10 +239,11 @@ def identify(docs: DataFrame, names: list[str], table: np.ndarray, params: Mixtu
     return rows.mapInArrow(work, f"id {kind}, lang_pred string, score double, languages array<struct<lang:string,share:double>>")
 
 
-def keep_identified(docs: DataFrame, names: list[str], table: np.ndarray, least_score: float,
+def keep_identified(docs: DataFrame, names: list[str], table: np.ndarray, least_score: float = 0.0,
                     params: MixtureParams = MixtureParams(), text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language is determined with at least
-    ``least_score`` as its proportion, all columns kept.  Rows pass through
+    """The rows of ``docs`` that a language fits (``infer_and_fit``) with at
+    least ``least_score`` as its proportion, all columns kept.  Without any
+    language only the letters count and proportions are 0.  Rows pass through
     the tasks that read them; nothing is joined or shuffled."""
     ship_package(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(table)
@@ -237,9 +251,9 @@ def keep_identified(docs: DataFrame, names: list[str], table: np.ndarray, least_
 
     def work(batches):
         mixture = Mixture(model.value, params)
-        for batch in text_slices(batches, text_col):
-            shares = mixture.infer([t or "" for t in batch.column(place).to_pylist()])
+        for batch in text_slices(batches, text_col, SLICE_BYTES):
+            shares, fits = mixture.infer_and_fit([t or "" for t in batch.column(place).to_pylist()])
             top = shares.max(1) if names else np.zeros(batch.num_rows)
-            yield batch.filter(pa.array((top > 0) & (top >= least_score)))
+            yield batch.filter(pa.array(fits & (top >= least_score)))
 
     return docs.mapInArrow(work, docs.schema)

@@ -10,14 +10,13 @@ from . import decontamination, language_mixture, ngram_join, piece_codec, secret
 from .queries import tokenizer_path
 from .shared import materialise, read_table
 
-# A document stays if a language holds at least this part of its mixture.
-LEAST_LANGUAGE_SHARE = 0.34
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters and those no language holds enough of."""
+    """Drops documents without letters and those of which the languages of the
+    table hold no trigram.  An even mixture of languages stays; of a table
+    without any language all documents with letters stay."""
     names, table = language_mixture.learn(docs)
-    return language_mixture.keep_identified(docs, names, table, LEAST_LANGUAGE_SHARE)
+    return language_mixture.keep_identified(docs, names, table)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,6 +29,17 @@ def test_language_stage_keeps_clean_documents(spark, docs):
     assert not kept & {-1, -2, -3} and len(kept) >= 0.99 * docs.count()
 
 
+def test_language_stage_keeps_mixtures_and_tables_without_languages(spark, docs):
+    alphabets = ("abcdefgh", "αβγδεζηθ", "абвгдежз", "אבגדהוזח")
+    texts = [" ".join(a[i:] + a[:i] for i in range(8)) + " " for a in alphabets]
+    rows = [(i, t * 40, f"l{i}", "s", 0) for i, t in enumerate(texts)]
+    rows += [(10, "".join(texts) * 10, None, "s", 0), (11, "ԱԲԳԴ ԵԶԷԸ", None, "s", 0), (12, "12 34 !!", None, "s", 0), (13, None, None, "s", 0)]
+    table = spark.createDataFrame(rows, docs.schema)
+    assert {r.doc_id for r in STAGES["language_id"](spark, table, SF).collect()} == {0, 1, 2, 3, 10}
+    without = table.selectExpr("doc_id", "text", "cast(null as string) as lang", "source", "n_chars")
+    assert {r.doc_id for r in STAGES["language_id"](spark, without, SF).collect()} == {0, 1, 2, 3, 10, 11}
+
+
 def test_one_of_each_group_stays(spark, docs):
     def grams(text):
         words = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
