@@ -1,6 +1,6 @@
 """The zone-by-zone job gives the same gold results as the lazy stage graph."""
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from lendwise.plans import job
 from lendwise.plans.stages import Stages
 from lendwise.sources import fixture

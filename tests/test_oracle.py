@@ -7,7 +7,7 @@ nested-loop join, and no Python UDF in any query.
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from lendwise.plans import registry
 from oracle_check import compare, duck
 

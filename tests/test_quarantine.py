@@ -38,7 +38,7 @@ def test_anti_join_is_not_a_broadcast_nested_loop(spark):
 
 
 def test_quarantined_tables_hold_no_bad_member(spark):
-    from conftest import SF_SMALL
+    from small_tables import SF_SMALL
     from lendwise.plans.stages import Stages
     s = Stages.from_testdata(spark, SF_SMALL)
     for t in (s.customers_new, s.delinq_new, s.records_new):

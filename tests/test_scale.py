@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from lendwise.plans.stages import Stages
 from lendwise.sources import fixture
 

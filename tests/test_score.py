@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from lendwise.functions import bands
 from lendwise.operators import score
 from lendwise.params import Variant

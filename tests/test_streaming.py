@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from lendwise.functions.keys import with_member_key
 from lendwise.plans import job
 from lendwise.sources import fixture, io
