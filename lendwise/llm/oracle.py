@@ -166,10 +166,118 @@ FROM d LEFT JOIN by_doc USING (doc_id)
 """
 
 
+# ----------------------------------------------------------------- op11
+def _op11() -> str:
+    """Every conversation's turns in order, one step a turn: a label (cost,
+    audit, repaired text) for each state of (s?(ua)+)?."""
+    nothing = "{'c': 1000000000, 'a': '', 't': ''}"
+    messages = {"u": "user:", "a": "assistant:"}
+
+    def more(label: str, cost: str, letter: str, message: str | None = None) -> str:
+        text = f"{label}.t" if message is None else f"{label}.t || chr(10) || {message}"
+        return f"{{'c': {label}.c + {cost}, 'a': {label}.a || '{letter}', 't': {text}}}"
+
+    def least(*labels: str) -> str:
+        return f"list_min([{', '.join(labels)}])"
+
+    insert = {r: f"'{m}'" for r, m in messages.items()}
+    # Turns inserted before the next one, or at the end.
+    into_u = least("l2", *(more(x, "2", "I", insert["u"]) for x in ("l0", "l1", "l3")))
+    closed = f"SELECT conv_id, i, l0, l1, {into_u} AS l2, l3 FROM"
+    closed_a = f"SELECT conv_id, i, l0, l1, l2, {least('l3', more('l2', '2', 'I', insert['a']))} AS l3 FROM"
+
+    def taken(state: str, froms: tuple[str, ...], role: str) -> str:
+        ways = [more(state, "3", "D")]
+        for x in froms:
+            kept = more(x, "cut", "K", "role || ':' || text")
+            ways.append(f"CASE WHEN keep AND role[1] = '{role}' THEN {kept} ELSE {nothing} END")
+            if role != "s":
+                given = more(x, "2 + cut", "R", f"'{messages[role]}' || text")
+                ways.append(f"CASE WHEN keep THEN {given} ELSE {nothing} END")
+        return least(*ways)
+
+    return f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda a, b: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END))) AS t),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+crc AS (
+  SELECT keyed.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda c: ascii(c)::BIGINT)),
+           lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS kind FROM keyed, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM crc WHERE kind <> 0),
+rows AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged),
+faults AS (
+  SELECT *, body = '' AS blank, body <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS dup,
+         lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair FROM rows),
+turns AS (
+  SELECT *, NOT blank AND NOT dup AS keep, (NOT blank AND NOT dup AND NOT (body[-1] IN ('.', '!', '?')))::INT AS cut FROM faults),
+walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0, 'a': '', 't': ''}} AS l0, {nothing} AS l1, {nothing} AS l2, {nothing} AS l3 FROM turns
+  UNION ALL
+  SELECT w.conv_id, t.i, {taken('l0', (), 'x')}, {taken('l1', ('l0',), 's')}, {taken('l2', ('l0', 'l1', 'l3'), 'u')}, {taken('l3', ('l2',), 'a')}
+  FROM ({closed_a} ({closed} walk)) w JOIN turns t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i + 1),
+ended AS (
+  SELECT conv_id, list_min([l0, l3]) AS best FROM ({closed_a} ({closed} walk))
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (dup) AS duplicate, sum(cut) AS truncated,
+         count(*) FILTER (pair IS NOT NULL AND NOT (pair IN ('su', 'ua', 'au'))) AS illegal FROM turns GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(best.t[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+# ----------------------------------------------------------------- op13
+def _op13(rounds: int = 5) -> str:
+    def nearest(r: int) -> str:
+        return f"""near{r} AS MATERIALIZED (
+  SELECT row, vec_id, cluster, distance, v FROM (
+    SELECT k.row, k.vec_id, k.v, c.cluster, list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - c.v[i]) * (k.v[i] - c.v[i]))) AS distance
+    FROM kept k, cent{r} c)
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, cluster) = 1)"""
+
+    def moved(r: int) -> str:
+        return f"""sums{r} AS (
+  SELECT cluster, i, sum(x)::HUGEINT AS s, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, unnest(range(1, 65)) AS i FROM near{r})
+  GROUP BY cluster, i),
+mean{r} AS (SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM sums{r} GROUP BY cluster),
+cent{r + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.v, c.v) AS v FROM cent{r} c LEFT JOIN mean{r} m USING (cluster))"""
+
+    steps = ",\n".join(f"{nearest(r)},\n{moved(r)}" for r in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+cent0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS cluster, v
+  FROM (SELECT v, sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS h FROM kept ORDER BY h, v LIMIT 40)),
+{steps},
+{nearest(rounds)}
+SELECT vec_id, cluster::INT AS cluster, distance::BIGINT AS distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM near{rounds} JOIN cent{rounds} c USING (cluster)
+"""
+
+
 ORACLE = {
     "op3_quality_rules": OP3_QUALITY_RULES,
     "op5_sharding": OP5_SHARDING,
     "op6_warc": OP6_WARC,
     "op7_ngram_join": OP7_NGRAM_JOIN,
     "op9_secret_scans": _op9(),
+    "op11_conversation_repair": _op11(),
+    "op13_pivot_clusters": _op13(),
 }

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lendwise.session import scratch_path
 
-from . import decontamination, divergence, language_mixture, ngram_join, piece_codec, quality_trees, secret_ledger, sharding, token_counts, warc
+from . import (conversation_repair, decontamination, divergence, language_mixture, ngram_join, piece_codec, pivot_clusters, quality_trees,
+               secret_ledger, sharding, token_counts, token_files, warc)
 from .oracle import ORACLE
 from .shared import read_table
 
@@ -103,7 +104,46 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                        secret_ledger.joined(F.col("findings")).alias("spans"))
 
 
+def damaged_conversations(rows: DataFrame) -> DataFrame:
+    """The contract's damage; null cells are one space."""
+    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat_ws(":", cell("conv_id"), cell("turn")).cast("binary")) % 20
+    rows = rows.select("conv_id", "turn", cell("role").alias("role"), cell("text").alias("text"), kind.alias("kind")).where("kind != 0")
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    times = F.explode(F.array_repeat(F.lit(0), F.when(F.col("kind") == 3, 2).otherwise(1))).alias("copy")
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), times).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    repaired = conversation_repair.repair(damaged_conversations(rows))
+    found = repaired.conversations
+    joined = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["text"])), "\n")
+    found = found.withColumn("repaired_sha256", F.sha2(joined, 256))
+    if repaired.long_messages is not None:
+        long = conversation_repair.long_digests(repaired.long_messages)
+        found = found.join(long, found["conv"].eqNullSafe(long["name"]), "left").withColumn(
+            "repaired_sha256", F.coalesce("repaired_sha256", "sha256"))
+    every = rows.select("conv_id").distinct()
+    all_ = every.join(found, every["conv_id"].eqNullSafe(found["conv"]), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return all_.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                       F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token_files")
+    token_files.write_token_files(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), path)
+    return token_files.read_documents(spark, path).withColumnRenamed("id", "doc_id")
+
+
+def op13_pivot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, centroids = pivot_clusters.cluster(read_table(spark, sf_dir, "embeddings"))
+    return pivot_clusters.with_inertia(rows, centroids).withColumnRenamed("id", "vec_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_token_counts, op3_quality_rules, op4_sentencepiece, op5_sharding, op6_warc, op7_ngram_join,
     op8_decontamination, op9_secret_scans,
-    op10_quality_classifier)}
+    op10_quality_classifier, op11_conversation_repair, op12_token_files, op13_pivot_clusters)}

@@ -19,7 +19,7 @@ def _rows(names, rows):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_sql(spark, name):
     with duckdb.connect(config={"memory_limit": "2GB", "threads": 2}) as con:
-        for table in ("documents", "pages", "benchmark", "labels"):
+        for table in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
             con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
         result = con.execute(queries.ORACLE[name])
         names, expected = [c[0] for c in result.description], result.fetchall()
@@ -31,7 +31,7 @@ def test_query_equals_sql(spark, name):
 def test_entry_registers_every_operator():
     import __spark_entry__ as entry
     numbers = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert numbers == {f"op{i}" for i in range(1, 11)}
+    assert numbers == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in entry.queries()
 
 
