@@ -48,15 +48,19 @@ def null_if_sentinel(c: Column | str, sentinel: str = DATE_SENTINEL) -> Column:
 
 
 def int_or_zero(c: Column | str) -> Column:
-    """float counter -> int (truncating), null -> 0.  NaN,
-    infinite and out-of-range cells count as null instead of stopping the job."""
+    """float counter -> int (truncating), null and NaN -> 0."""
     return F.coalesce(int_or_null(c), F.lit(0))
 
 
 def int_or_null(c: Column | str) -> Column:
-    """Float -> int, truncating; null where an int cannot hold it."""
+    """Float -> int, truncating, as the lenient cast does: what an int cannot
+    hold becomes its largest or least value (an infinite count rates worst,
+    not best); NaN is no number and becomes null."""
     c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast("int")
+    return (F.when(F.isnan(c), F.lit(None).cast("int"))
+            .when(c >= F.lit(2.0 ** 31), F.lit(2 ** 31 - 1))
+            .when(c <= F.lit(-2.0 ** 31), F.lit(-2 ** 31))
+            .otherwise(c.try_cast("int")))
 
 
 def repaired_total(principal: str, interest: str, fee: str, total: str) -> Column:

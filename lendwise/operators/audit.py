@@ -2,12 +2,13 @@
 
 Each audit is one global aggregate pass per table (partial aggregation per
 task, one final row), unpivoted to ``(check, n)`` rows so several tables can
-be reported together with a union instead of a join.
+be reported together with a union instead of a join.  ``Observed`` takes the
+same numbers from the jobs that write the tables anyway.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lendwise.params import DATE_SENTINEL
@@ -23,32 +24,58 @@ def count_if(cond: Column) -> Column:
     return F.count_if(cond)
 
 
+def null_checks(named: dict[str, str] | None = None) -> dict[str, dict[str, Column]]:
+    """F19's checks by table; ``named`` gives the names that columns go by
+    where they are not the declared ones."""
+    def col(name: str) -> Column:
+        return F.col((named or {}).get(name, name))
+
+    def repayments(stage: str) -> dict[str, Column]:
+        return {f"principal_null_{stage}": count_if(col("total_principal_received").isNull()),
+                f"last_date_sentinel_{stage}": count_if(col("last_payment_date") == F.lit(DATE_SENTINEL)),
+                f"next_date_sentinel_{stage}": count_if(col("next_payment_date") == F.lit(DATE_SENTINEL))}
+
+    return {"customers_raw": {"emp_length_null_raw": count_if(col("emp_length").isNull())},
+            "customers_clean": {"emp_length_null_clean": count_if(col("emp_length").isNull())},
+            "repayments_raw": repayments("raw"), "repayments_clean": repayments("clean"),
+            "defaulters": {"delinq_zero_rows": count_if(col("delinq_2yrs") == 0)}}
+
+
+class Observed:
+    """F19/F20 read off the passes that write: checks ride along with the
+    rows of a table as observed metrics, no job of their own."""
+
+    def __init__(self) -> None:
+        self._observations: list[Observation] = []
+
+    def watch(self, df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+        """``df``; the job that runs it also takes ``checks``.  It has to run
+        whole and once: a limit above it would cut the counts."""
+        observation = Observation()
+        self._observations.append(observation)
+        return df.observe(observation, *[F.coalesce(c, F.lit(0)).cast("long").alias(name) for name, c in checks.items()])
+
+    def counts(self) -> dict[str, int]:
+        """All numbers; waits for jobs that have not ended."""
+        return {name: n for o in self._observations for name, n in o.get.items()}
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(check, n), one row a check."""
+        return spark.createDataFrame(sorted(self.counts().items()), "check string, n long")
+
+
+def row_check(stage: str) -> dict[str, Column]:
+    """F20 of one table."""
+    return {f"rows_{stage}": F.count(F.lit(1))}
+
+
 def null_counts(customers_raw: DataFrame, customers: DataFrame,
                 repayments_raw: DataFrame, repayments: DataFrame,
                 defaulters_base: DataFrame) -> DataFrame:
     """nulls and sentinels before and after the cleaning rules."""
-    sentinel = F.lit(DATE_SENTINEL)
-    parts = [
-        _long(customers_raw, {
-            "emp_length_null_raw": count_if(F.col("emp_length").isNull()),
-        }),
-        _long(customers, {
-            "emp_length_null_clean": count_if(F.col("emp_length").isNull()),
-        }),
-        _long(repayments_raw, {
-            "principal_null_raw": count_if(F.col("total_principal_received").isNull()),
-            "last_date_sentinel_raw": count_if(F.col("last_payment_date") == sentinel),
-            "next_date_sentinel_raw": count_if(F.col("next_payment_date") == sentinel),
-        }),
-        _long(repayments, {
-            "principal_null_clean": count_if(F.col("total_principal_received").isNull()),
-            "last_date_sentinel_clean": count_if(F.col("last_payment_date") == sentinel),
-            "next_date_sentinel_clean": count_if(F.col("next_payment_date") == sentinel),
-        }),
-        _long(defaulters_base, {
-            "delinq_zero_rows": count_if(F.col("delinq_2yrs") == 0),
-        }),
-    ]
+    tables = {"customers_raw": customers_raw, "customers_clean": customers, "repayments_raw": repayments_raw,
+              "repayments_clean": repayments, "defaulters": defaulters_base}
+    parts = [_long(df, null_checks()[name]) for name, df in tables.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

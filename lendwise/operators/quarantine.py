@@ -5,7 +5,8 @@ member id contributes one row per map task to the shuffle.  The quarantine
 is an equi ``left_anti`` join, which Spark runs as a shuffled sort-merge
 join (AQE turns it into a broadcast only when the measured list is small,
 and splits skewed partitions), instead of the null-aware anti join that
-``NOT IN`` plans to, which must broadcast the whole list.
+``NOT IN`` plans to, which must broadcast the whole list.  Customers need no
+join at all: their own duplicates fall out of the aggregate that counts them.
 """
 
 from __future__ import annotations
@@ -33,6 +34,20 @@ def single_row_members(df: DataFrame, key: str = KEY) -> DataFrame:
               .filter(F.col("total") == 1).select(key))
 
 
+def single_rows(df: DataFrame, key: str = KEY) -> DataFrame:
+    """The whole rows of ids that occur on exactly one row, in one
+    aggregate that carries the row along: one shuffle, no list and no join.
+
+    Each column is taken by itself, so that those a query does not read are
+    pruned; of a group of one they come from the same row.  A hot id becomes
+    one row per map task.  Rows without an id go, as with NOT IN.
+    """
+    others = [c for c in df.columns if c != key]
+    one = df.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.any_value(c).alias(c) for c in others])
+    return one.where("_n = 1").select(*df.columns)
+
+
 def member_multiplicity(df: DataFrame, key: str = KEY) -> DataFrame:
     """Rows per member, most first; equal counts by member, so that the
     many members of one count spread over the range partitions of the sort."""
@@ -88,11 +103,17 @@ def quarantine(customers: DataFrame, delinq: DataFrame, records: DataFrame,
                ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """customers_new, delinq_new, records_new.
 
-    Customers always lose the ``bad`` list.  ``shared`` (reference lib) also
-    removes it from both default tables; ``per_table`` (notebook) removes
-    each default table's own duplicate list instead.
+    Customers always lose the ``bad`` list; where it is their own duplicate
+    list, what stays is read off the aggregate that counts them.  ``shared``
+    (reference lib) also removes it from both default tables; ``per_table``
+    (notebook) removes each default table's own duplicate list instead.
     """
-    customers_new = not_in(customers, bad)
+    if variant.bad_scope == "customers":
+        customers_new = single_rows(customers)
+        if variant.quarantine_empty_key:
+            customers_new = customers_new.where(F.col(KEY) != F.lit(EMPTY_MEMBER_KEY))
+    else:
+        customers_new = not_in(customers, bad)
     if variant.quarantine_lists == "per_table":
         return (customers_new, not_in(delinq, dup_members(delinq)),
                 not_in(records, dup_members(records)))

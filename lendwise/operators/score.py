@@ -75,6 +75,11 @@ def payment_points(loans: DataFrame, repayments: DataFrame,
         bands.total_payment_pts("total_payment_received", "funded_amount", p).alias("total_payment_pts"))
 
 
+def _members_only(points: DataFrame, known: DataFrame, bad: DataFrame, variant: Variant) -> DataFrame:
+    """V6: points of known members, or of members not on the list."""
+    return not_in(points, bad) if variant.payment_membership == "not_bad" else keep_known(points, known)
+
+
 def payment_history(loans: DataFrame, repayments: DataFrame, customers_new: DataFrame,
                     bad: DataFrame, variant: Variant = DEFAULT_VARIANT,
                     p: ScoreParams = DEFAULT_PARAMS) -> DataFrame:
@@ -83,12 +88,13 @@ def payment_history(loans: DataFrame, repayments: DataFrame, customers_new: Data
     Only the member ids of ``customers_new`` are used, so any frame holding
     them (e.g. ``Stages.known_members``) can be passed.
     """
-    ph = payment_points(loans, repayments, p)
-    if variant.payment_membership == "not_bad":
-        ph = not_in(ph, bad)
-    else:
-        ph = keep_known(ph, customers_new)
-    return ph.select(KEY, *PAY_COLS)
+    return history_of_points(payment_points(loans, repayments, p), customers_new, bad, variant)
+
+
+def history_of_points(points: DataFrame, customers_new: DataFrame, bad: DataFrame,
+                      variant: Variant = DEFAULT_VARIANT) -> DataFrame:
+    """G15 from payment points that have been written once."""
+    return _members_only(points, customers_new, bad, variant).select(KEY, *PAY_COLS)
 
 
 def delinq_points(delinq_new: DataFrame, p: ScoreParams = DEFAULT_PARAMS) -> DataFrame:
@@ -257,11 +263,19 @@ def loan_score_by_loan(loans: DataFrame, repayments: DataFrame, customers_new: D
     Same membership rules as the reference grain (known customers, present
     in both default tables, not quarantined).
     """
-    pay = payment_points(loans, repayments, p, carry=("loan_status", "funded_amount"))
-    if variant.payment_membership == "not_bad":
-        pay = not_in(pay, bad)
-    else:
-        pay = keep_known(pay, customers_new if known is None else known)
+    points = payment_points(loans, repayments, p, carry=CARRIED)
+    return score_loans(points, customers_new, delinq_new, records_new, bad, variant, p, records_bad, known)
+
+
+# What a loan's own score needs of it beside its payment points.
+CARRIED = ("loan_status", "funded_amount")
+
+
+def score_loans(points: DataFrame, customers_new: DataFrame, delinq_new: DataFrame, records_new: DataFrame,
+                bad: DataFrame, variant: Variant = DEFAULT_VARIANT, p: ScoreParams = DEFAULT_PARAMS,
+                records_bad: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+    """``loan_score_by_loan`` from payment points with the carried columns."""
+    pay = _members_only(points, customers_new if known is None else known, bad, variant)
     worst_delinq = delinq_new.groupBy(KEY).agg(F.max("delinq_2yrs").alias("delinq_2yrs"))
     worst_rec = _not_in_opt(records_new.groupBy(KEY).agg(
         F.max("pub_rec").alias("pub_rec"),

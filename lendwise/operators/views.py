@@ -14,16 +14,21 @@ and ``part`` tells which it is:
   tables, ``n_rows`` times each.
 
 ``n_customers``, ``n_loans``, ``n_delinq_rows`` and ``n_record_rows`` count
-the member's rows, so the plain view's rows and their multiplicities follow.
-Size is that of the inputs; every join but loan-repayment has a side that is
-unique per member, so a hot member can be split.
+the member's rows, so the plain view's rows and their multiplicities follow,
+and the ``worst_`` columns hold the member's worst values of the default
+tables on every row, those of loans included.
+
+The four parts are united under their tag, and one aggregate over the same
+tags gives everything per member: the counts, the worst values, and the
+columns of an only customer row.  One join puts the two together; its right
+side is unique per member, so a hot member can be split.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEY = "member_id"
@@ -41,89 +46,105 @@ DELINQ_COLS = ("delinq_2yrs", "delinq_amnt", "mths_since_last_delinq")
 RECORD_COLS = ("pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")
 VIEW_COLS = ("loan_id", KEY, *CUSTOMER_COLS, *LOAN_COLS, *REPAYMENT_COLS, *DELINQ_COLS, *RECORD_COLS)
 COUNT_COLS = ("n_rows", "n_customers", "n_loans", "n_delinq_rows", "n_record_rows")
+WORST_OF = {"delinquency": ("delinq_2yrs",), "record": RECORD_COLS}
+WORST_COLS = tuple(f"worst_{c}" for columns in WORST_OF.values() for c in columns)
 SLIM_COLS = (KEY, "address_state", "total_payment_received", "delinq_2yrs")
-_SLIM_DELINQ = ("delinq_2yrs",)
 _REPAID = (*REPAYMENT_COLS, "total_payment_received")
 
 
-def _members(customers: DataFrame, loans: DataFrame, delinq: DataFrame, records: DataFrame) -> DataFrame:
-    """One row per member of ``customers`` with its four row counts."""
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(KEY).agg(F.count(F.lit(1)).alias(name))
-    out = counted(customers, "n_customers")
-    for df, name in ((loans, "n_loans"), (delinq, "n_delinq_rows"), (records, "n_record_rows")):
-        out = out.join(counted(df, name), KEY, "left")
-    return out.fillna(0, ["n_loans", "n_delinq_rows", "n_record_rows"])
+def _members(customers: DataFrame, loans: DataFrame, delinq: DataFrame, records: DataFrame,
+             customer_cols: list[str]) -> DataFrame:
+    """One row per member of ``customers``: its counts and worst values, and
+    ``own_`` columns, the customer's where the member has one customer row."""
+    sources = {"customer": customers.select(KEY, *customer_cols), "loan": loans.select(KEY),
+               "delinquency": delinq.select(KEY, *WORST_OF["delinquency"]), "record": records.select(KEY, *WORST_OF["record"])}
+    tagged = _united({part: df.withColumn("part", F.lit(part)) for part, df in sources.items()})
 
+    def of(part: str) -> Column:
+        return F.col("part") == part
 
-def _parts(customers: DataFrame, loans: DataFrame, repayments: DataFrame, delinq: DataFrame,
-           records: DataFrame, delinq_cols: tuple[str, ...] = DELINQ_COLS) -> dict[str, DataFrame]:
-    members = _members(customers, loans, delinq, records)
-    customers = customers.select(KEY, *CUSTOMER_COLS).join(members, KEY)
-    loan = (loans.select("loan_id", KEY, *LOAN_COLS)
-            .join(repayments.select("loan_id", *_REPAID), "loan_id", "left")
-            .join(members, KEY)
-            .join(customers.where("n_customers = 1").select(KEY, *CUSTOMER_COLS), KEY, "left"))
-    alone = customers.where("n_customers > 1 or n_loans = 0")
+    counts = [F.count_if(of(part)).alias(name) for part, name in zip(sources, COUNT_COLS[1:])]
+    worst = [F.max(c).alias(f"worst_{c}") for columns in WORST_OF.values() for c in columns]
+    own = [F.first(F.when(of("customer"), F.col(c)), ignorenulls=True).alias(f"own_{c}") for c in customer_cols]
+    return tagged.groupBy(KEY).agg(*counts, *worst, *own).where("n_customers > 0")
 
-    def distinct_rows(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-        return df.groupBy(KEY, *columns).agg(F.count(F.lit(1)).alias("n_rows")).join(members, KEY)
 
-    one = F.lit(1).cast("long")
-    return {"loan": loan.withColumn("n_rows", one), "customer": alone.withColumn("n_rows", one),
-            "delinquency": distinct_rows(delinq, delinq_cols), "record": distinct_rows(records, RECORD_COLS)}
+def _united(parts: dict[str, DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts.values())
 
 
-def _union(parts: dict[str, DataFrame], columns: tuple[str, ...]) -> DataFrame:
-    rows = [df.withColumn("part", F.lit(name)).select("part", *[c for c in (*columns, *COUNT_COLS) if c in df.columns])
-            for name, df in parts.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows).select("part", *columns, *COUNT_COLS)
+def _view(customers: DataFrame, loans: DataFrame, repayments: DataFrame, delinq: DataFrame, records: DataFrame,
+          columns: tuple[str, ...], worst: tuple[str, ...], with_records: bool = True) -> DataFrame:
+    customer_cols = [c for c in CUSTOMER_COLS if c in columns]
+    members = _members(customers, loans, delinq, records, customer_cols)
+
+    def distinct_rows(df: DataFrame, kept: tuple[str, ...]) -> DataFrame:
+        return df.groupBy(KEY, *kept).agg(F.count(F.lit(1)).alias("n_rows"))
+
+    one = F.lit(1).cast("long").alias("n_rows")
+    loan = loans.select("loan_id", KEY, *LOAN_COLS).join(repayments.select("loan_id", *_REPAID), "loan_id", "left")
+    parts = {"loan": loan.select("*", one), "customer": customers.select(KEY, *customer_cols, one),
+             "delinquency": distinct_rows(delinq, tuple(c for c in DELINQ_COLS if c in columns))}
+    if with_records:
+        parts["record"] = distinct_rows(records, RECORD_COLS)
+    rows = _united({part: df.withColumn("part", F.lit(part)) for part, df in parts.items()})
+    # A customer row that a loan row carries does not stand by itself.
+    rows = rows.join(members, KEY).where("part != 'customer' or n_customers > 1 or n_loans = 0")
+    carried = (F.col("part") == "loan") & (F.col("n_customers") == 1)
+    shown = [F.when(carried, F.col(f"own_{c}")).otherwise(F.col(c)).alias(c) if c in customer_cols else F.col(c) for c in columns]
+    return rows.select("part", *shown, *COUNT_COLS, *worst)
 
 
 def consolidated_view(customers: DataFrame, loans: DataFrame, repayments: DataFrame,
                       delinq: DataFrame, records: DataFrame) -> DataFrame:
-    """``part``, the 35 columns and the counts."""
-    return _union(_parts(customers, loans, repayments, delinq, records), VIEW_COLS)
+    """``part``, the 35 columns, the counts and the worst values."""
+    return _view(customers, loans, repayments, delinq, records, VIEW_COLS, WORST_COLS)
 
 
 def consolidated_view_slim(customers: DataFrame, loans: DataFrame, repayments: DataFrame,
                            delinq: DataFrame, records: DataFrame) -> DataFrame:
-    """Member, state, total payment and delinquency count; public records
-    have none of these columns, so their rows are left to their count."""
-    parts = _parts(customers, loans, repayments, delinq, records, _SLIM_DELINQ)
-    del parts["record"]
-    return _union(parts, SLIM_COLS)
+    """Member, state, total payment and delinquency count, and the worst
+    count; public records have none of these columns, so their rows are left
+    to their count."""
+    return _view(customers, loans, repayments, delinq, records, SLIM_COLS, WORST_COLS[:1], with_records=False)
 
 
 def consolidated_view_sql(customers: str, loans: str, repayments: str, delinq: str,
                           records: str, slim: bool = False) -> str:
     """The view as SQL text over catalog tables (for ``CREATE VIEW``)."""
-    columns, late = (SLIM_COLS, _SLIM_DELINQ) if slim else (VIEW_COLS, DELINQ_COLS)
-
-    def part(name: str, has: dict[str, str], n_rows: str, source: str) -> str:
-        shown = [f"{has[c]}.{c}" if c in has else f"NULL AS {c}" for c in columns]
-        counts = ", ".join(f"m.{c}" for c in COUNT_COLS[1:])
-        return f"SELECT '{name}' AS part, {', '.join(shown)}, {n_rows} AS n_rows, {counts} FROM {source}"
-
-    def of(alias: str, *names: str) -> dict[str, str]:
-        return {c: alias for c in names}
-
-    def grouped(table: str, names: tuple[str, ...]) -> str:
+    columns, worst = (SLIM_COLS, WORST_COLS[:1]) if slim else (VIEW_COLS, WORST_COLS)
+    customer_cols = [c for c in CUSTOMER_COLS if c in columns]
+    late = [c for c in DELINQ_COLS if c in columns]
+
+    def select(part: str, has: list[str], wanted: list[str], source: str) -> str:
+        shown = ", ".join(c if c in has else f"NULL AS {c}" for c in wanted)
+        return f"SELECT '{part}' AS part, {KEY}, {shown} FROM {source}"
+
+    told = [*customer_cols, *WORST_OF["delinquency"], *WORST_OF["record"]]
+    tagged = " UNION ALL ".join([
+        select("customer", customer_cols, told, customers), select("loan", [], told, loans),
+        select("delinquency", list(WORST_OF["delinquency"]), told, delinq), select("record", list(WORST_OF["record"]), told, records)])
+    counts = ", ".join(f"count_if(part = '{part}') AS {name}" for part, name in zip(
+        ("customer", "loan", "delinquency", "record"), COUNT_COLS[1:]))
+    worst_of = ", ".join(f"max({c.removeprefix('worst_')}) AS {c}" for c in worst)
+    own = ", ".join(f"first(CASE WHEN part = 'customer' THEN {c} END, true) AS own_{c}" for c in customer_cols)
+
+    def grouped(table: str, names: list[str]) -> str:
         listed = ", ".join((KEY, *names))
-        return f"(SELECT {listed}, count(*) AS n FROM {table} GROUP BY {listed}) g JOIN members m USING ({KEY})"
-
-    rows = [
-        part("loan", of("l", "loan_id", KEY, *LOAN_COLS) | of("p", *_REPAID) | of("c", *CUSTOMER_COLS), "1L",
-             f"{loans} l LEFT JOIN {repayments} p ON p.loan_id = l.loan_id JOIN members m ON m.{KEY} = l.{KEY} "
-             f"LEFT JOIN (SELECT x.* FROM {customers} x JOIN members y USING ({KEY}) WHERE y.n_customers = 1) c ON c.{KEY} = l.{KEY}"),
-        part("customer", of("c", KEY, *CUSTOMER_COLS), "1L",
-             f"{customers} c JOIN members m ON m.{KEY} = c.{KEY} WHERE m.n_customers > 1 OR m.n_loans = 0"),
-        part("delinquency", of("g", KEY, *late), "g.n", grouped(delinq, late)),
-    ]
+        return f"(SELECT {listed}, count(*) AS n_rows FROM {table} GROUP BY {listed})"
+
+    wanted = [*(c for c in columns if c != KEY), "n_rows"]
+    own_loan = ["loan_id", *LOAN_COLS, *_REPAID, "n_rows"]
+    loan_rows = (f"(SELECT l.*, {', '.join(_REPAID)}, 1L AS n_rows FROM {loans} l "
+                 f"LEFT JOIN (SELECT loan_id AS id, {', '.join(_REPAID)} FROM {repayments}) p ON p.id = l.loan_id)")
+    rows = [select("loan", own_loan, wanted, loan_rows),
+            select("customer", [*customer_cols, "n_rows"], wanted, f"(SELECT *, 1L AS n_rows FROM {customers})"),
+            select("delinquency", [*late, "n_rows"], wanted, grouped(delinq, late))]
     if not slim:
-        rows.append(part("record", of("g", KEY, *RECORD_COLS), "g.n", grouped(records, RECORD_COLS)))
-    counts = " ".join(f"LEFT JOIN (SELECT {KEY}, count(*) AS n FROM {t} GROUP BY {KEY}) {a} USING ({KEY})"
-                      for t, a in ((loans, "a"), (delinq, "b"), (records, "d")))
-    return (f"WITH members AS (SELECT {KEY}, c.n AS n_customers, coalesce(a.n, 0) AS n_loans, coalesce(b.n, 0) AS n_delinq_rows, "
-            f"coalesce(d.n, 0) AS n_record_rows FROM (SELECT {KEY}, count(*) AS n FROM {customers} GROUP BY {KEY}) c {counts}) "
-            + " UNION ALL ".join(rows))
+        rows.append(select("record", [*RECORD_COLS, "n_rows"], wanted, grouped(records, list(RECORD_COLS))))
+    shown = ", ".join(f"CASE WHEN part = 'loan' AND n_customers = 1 THEN own_{c} ELSE {c} END AS {c}" if c in customer_cols else c
+                      for c in columns)
+    return (f"WITH members AS (SELECT {KEY}, {counts}, {worst_of}, {own} FROM ({tagged}) GROUP BY {KEY} HAVING count_if(part = 'customer') > 0), "
+            f"united AS ({' UNION ALL '.join(rows)}) "
+            f"SELECT part, {shown}, {', '.join((*COUNT_COLS, *worst))} FROM united JOIN members USING ({KEY}) "
+            "WHERE part <> 'customer' OR n_customers > 1 OR n_loans = 0")

@@ -1,20 +1,24 @@
 """The batch job: every zone materialised once, lineage cut between zones.
 
-Zones (all under one root in the shared folder, by default a fresh folder
-under ``spark.checkpoint.dir``):
+Zones (all in one version folder under the root, which by default is a fresh
+folder under ``spark.checkpoint.dir``):
 
     bronze/keyed_raw         raw rows + member key (one scan of the source)
     raw/{customers,loans,repayments,defaulters}   the four splits
     cleaned/{customers,loans,repayments,delinq,records,record_members}
     gold/{bad_customer_data,customers_new,delinq_new,records_new}
+    gold/payment_points      loans joined with repayments, rated, once for both scores
     gold/loan_score          weighted reference-grain score
     gold/loan_score_by_loan  one score per loan
+    audit/checks             null, sentinel and row counts of the tables written
 
 Stages talk only through the zones, so each can run on its own (as the
 reference runs one script per stage) or all in one go.  Each zone is written
 with overwrite semantics and read back before the next stage: a lost
-executor only recomputes its own zone, and a rerun is idempotent.  Tables
-and the consolidated view are registered in the session catalog.
+executor only recomputes its own zone.  The version is published by one
+pointer swap at the end (``lendwise.sources.published``), so a run that dies
+leaves what was published before.  Tables and the consolidated view are
+registered in the session catalog.
 """
 
 from __future__ import annotations
@@ -22,14 +26,15 @@ from __future__ import annotations
 import argparse
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from lendwise import schemas
 from lendwise.functions.keys import with_member_key
-from lendwise.operators import clean, quarantine, score, split, views
+from lendwise.operators import audit, clean, quarantine, score, split, views
 from lendwise.params import DEFAULT_PARAMS, DEFAULT_VARIANT, ScoreParams, Variant
 from lendwise.session import SCALE_CONF, scratch_path
 from lendwise.sources import fixture, io
+from lendwise.sources.published import Published
 
 SPLIT_DDL = {"customers": schemas.CUSTOMERS_RAW, "loans": schemas.LOANS_RAW,
              "repayments": schemas.REPAYMENTS_RAW, "defaulters": schemas.DEFAULTERS_RAW}
@@ -39,28 +44,39 @@ SPLITS = {"customers": split.split_customers, "loans": split.split_loans,
 
 @dataclass
 class Zones:
-    """Paths of every zone under one root."""
+    """Paths of every zone of one version, and the checks observed while
+    its tables were written."""
 
     root: str
     split_format: str = "parquet"
     tables: dict[str, str] = field(default_factory=dict)
+    observed: audit.Observed = field(default_factory=audit.Observed)
 
     def path(self, name: str) -> str:
         p = f"{self.root.rstrip('/')}/{name}"
         self.tables[name] = p
         return p
 
-    def write(self, spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    def write(self, spark: SparkSession, name: str, df: DataFrame, checks: dict[str, Column] | None = None) -> DataFrame:
         path = self.path(name)
-        io.write_parquet(df, path)
+        io.write_parquet(self.observed.watch(df, checks) if checks else df, path)
         return spark.read.parquet(path)
 
+    def write_audit(self, spark: SparkSession, stage: str) -> None:
+        """The checks of the stages run so far, few rows, from their writes."""
+        self.write(spark, f"audit/checks/stage={stage}", self.observed.table(spark).coalesce(1))
+        self.observed = audit.Observed()
+
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.path(name))
 
     # the raw splits may be CSV (the reference's raw zone) or parquet
     def write_split(self, spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
         path = self.path(f"raw/{name}")
+        # The split's own names stand for the declared ones by position.
+        named = dict(zip(schemas.names(SPLIT_DDL[name]), df.columns))
+        checks = audit.row_check(f"{name}_raw") | audit.null_checks(named).get(f"{name}_raw", {})
+        df = self.observed.watch(df, checks)
         if self.split_format == "csv":
             io.write_csv(df, path)
         else:
@@ -81,18 +97,24 @@ def stage_split(spark: SparkSession, raw: DataFrame, zones: Zones,
     keyed = zones.write(spark, "bronze/keyed_raw", raw if raw_is_keyed else with_member_key(raw))
     for name, fn in SPLITS.items():
         zones.write_split(spark, name, fn(keyed))
+    zones.write_audit(spark, "split")
 
 
 def stage_clean(spark: SparkSession, zones: Zones, variant: Variant = DEFAULT_VARIANT) -> None:
-    """The four cleaning jobs."""
-    zones.write(spark, "cleaned/customers", clean.customers_clean(zones.read_split(spark, "customers")))
-    zones.write(spark, "cleaned/loans", clean.loans_clean(zones.read_split(spark, "loans"), variant))
+    """The four cleaning jobs, with F19 and F20 of their results."""
+    nulls, rows = audit.null_checks(), audit.row_check
+    zones.write(spark, "cleaned/customers", clean.customers_clean(zones.read_split(spark, "customers")),
+                rows("customers_clean") | nulls["customers_clean"])
+    zones.write(spark, "cleaned/loans", clean.loans_clean(zones.read_split(spark, "loans"), variant), rows("loans_clean"))
     zones.write(spark, "cleaned/repayments",
-                clean.repayments_clean(zones.read_split(spark, "repayments"), variant))
+                clean.repayments_clean(zones.read_split(spark, "repayments"), variant),
+                rows("repayments_clean") | nulls["repayments_clean"])
     base = clean.defaulters_base(zones.read_split(spark, "defaulters"))
-    zones.write(spark, "cleaned/delinq", clean.delinq_members(base, variant))
-    zones.write(spark, "cleaned/records", clean.record_detail(base, variant))
+    zones.write(spark, "cleaned/delinq", clean.delinq_members(base, variant), rows("delinq"))
+    watched = zones.observed.watch(base, nulls["defaulters"])  # all rows pass here
+    zones.write(spark, "cleaned/records", clean.record_detail(watched, variant), rows("records"))
     zones.write(spark, "cleaned/record_members", clean.record_members(base))
+    zones.write_audit(spark, "clean")
 
 
 def stage_quarantine(spark: SparkSession, zones: Zones, variant: Variant = DEFAULT_VARIANT) -> None:
@@ -103,27 +125,44 @@ def stage_quarantine(spark: SparkSession, zones: Zones, variant: Variant = DEFAU
     bad = zones.write(spark, "gold/bad_customer_data",
                       quarantine.bad_members(customers, delinq, records, variant))
     c_new, d_new, r_new = quarantine.quarantine(customers, delinq, records, bad, variant)
-    zones.write(spark, "gold/customers_new", c_new)
+    zones.write(spark, "gold/customers_new", c_new, audit.row_check("customers_new"))
     zones.write(spark, "gold/delinq_new", d_new)
     zones.write(spark, "gold/records_new", r_new)
+    zones.write_audit(spark, "quarantine")
 
 
 def stage_score(spark: SparkSession, zones: Zones, variant: Variant = DEFAULT_VARIANT,
-                params: ScoreParams = DEFAULT_PARAMS) -> None:
-    """Weighted reference-grain score and the per-loan score."""
-    loans = zones.read(spark, "cleaned/loans")
-    repayments = zones.read(spark, "cleaned/repayments")
+                params: ScoreParams = DEFAULT_PARAMS, database: str | None = None) -> None:
+    """Weighted reference-grain score and the per-loan score, both from the
+    payment points written once.  With a ``database`` that holds the bucketed
+    loan tables (``bucket_loan_tables``) those points need no shuffle."""
+    if database:
+        loans, repayments = (spark.table(f"{database}.{t}") for t in BUCKETED.values())
+    else:
+        loans, repayments = zones.read(spark, "cleaned/loans"), zones.read(spark, "cleaned/repayments")
     bad = zones.read(spark, "gold/bad_customer_data")
     customers_new = zones.read(spark, "gold/customers_new")
     delinq_new = zones.read(spark, "gold/delinq_new")
     records_new = zones.read(spark, "gold/records_new")
     records_bad = None if variant.quarantine_lists == "shared" else bad
-    ph = score.payment_history(loans, repayments, customers_new, bad, variant, params)
+    points = zones.write(spark, "gold/payment_points", score.payment_points(loans, repayments, params, carry=score.CARRIED))
+    ph = score.history_of_points(points, customers_new, bad, variant)
     zones.write(spark, "gold/loan_score", score.loan_score_final(
         ph, delinq_new, records_new, loans, customers_new, records_bad, variant, params))
-    zones.write(spark, "gold/loan_score_by_loan", score.loan_score_by_loan(
-        loans, repayments, customers_new, delinq_new, records_new, bad, variant, params,
-        records_bad))
+    zones.write(spark, "gold/loan_score_by_loan", score.score_loans(
+        points, customers_new, delinq_new, records_new, bad, variant, params, records_bad))
+
+
+BUCKETED = {"loans": "loans_by_id", "repayments": "repayments_by_id"}
+
+
+def bucket_loan_tables(spark: SparkSession, database: str, zones: Zones, buckets: int) -> None:
+    """K6: cleaned loans and repayments as tables bucketed by ``loan_id``,
+    which is unique and cannot be hot.  Worth its one shuffle where scores are
+    computed again and again, for instance with other ``ScoreParams``."""
+    io.create_database(spark, database)
+    for name, table in BUCKETED.items():
+        io.save_bucketed(zones.read(spark, f"cleaned/{name}"), f"{database}.{table}", zones.path(f"bucketed/{name}"), "loan_id", buckets)
 
 
 TABLE_DDL = {
@@ -143,11 +182,12 @@ def register_tables(spark: SparkSession, database: str, zones: Zones) -> None:
     """K6/K7/K8: external tables over the zones and the consolidated view."""
     io.create_database(spark, database)
     for zone_name, (table, ddl) in TABLE_DDL.items():
-        io.external_table(spark, f"{database}.{table}", ddl, zones.path(zone_name), replace=True)
+        io.analyze_table(spark, io.external_table(spark, f"{database}.{table}", ddl, zones.path(zone_name), replace=True))
     for zone_name in ("gold/loan_score", "gold/loan_score_by_loan"):
         table = f"{database}.{zone_name.split('/')[1]}"
         io.drop_table(spark, table)
         spark.catalog.createTable(table, path=zones.path(zone_name), source="parquet")
+        io.analyze_table(spark, table)
     db = database
     # A view holds SQL text: the same parts as the DataFrame view.
     io.persistent_view(spark, f"{db}.customers_loan_v", views.consolidated_view_sql(
@@ -157,24 +197,38 @@ def register_tables(spark: SparkSession, database: str, zones: Zones) -> None:
 
 @dataclass
 class JobResult:
+    """``root``: the published version's folder; ``version``: its name."""
+
     root: str
     database: str | None
     tables: dict[str, str]
+    version: str
 
 
 def run(spark: SparkSession, raw: DataFrame, root: str | None = None,
         database: str | None = None, variant: Variant = DEFAULT_VARIANT,
         params: ScoreParams = DEFAULT_PARAMS, raw_is_keyed: bool = False,
-        split_format: str = "parquet") -> JobResult:
-    """All stages in order."""
-    zones = Zones(root or scratch_path(spark, "job"), split_format)
+        split_format: str = "parquet", keep: int | None = None) -> JobResult:
+    """All stages in order, in a version of their own, published at the end.
+    ``keep``: versions to keep afterwards, all by default."""
+    published = Published(spark, root or scratch_path(spark, "job"))
+    version = published.begin()
+    zones = Zones(published.path(version), split_format)
     stage_split(spark, raw, zones, raw_is_keyed)
     stage_clean(spark, zones, variant)
     stage_quarantine(spark, zones, variant)
     stage_score(spark, zones, variant, params)
+    published.publish(version)
     if database:
         register_tables(spark, database, zones)
-    return JobResult(zones.root, database, zones.tables)
+    if keep is not None:
+        published.prune(keep)
+    return JobResult(zones.root, database, zones.tables, version)
+
+
+def read_zone(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A zone of the published version under ``root``."""
+    return spark.read.parquet(f"{Published(spark, root).current_path()}/{name}")
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -182,7 +236,7 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     return io.read_csv_schema(spark, path, schemas.RAW)
 
 
-STAGES = ("all", "split", "clean", "quarantine", "score", "register")
+STAGES = ("all", "split", "clean", "quarantine", "score", "publish", "register")
 
 
 def main(argv=None) -> None:
@@ -190,9 +244,10 @@ def main(argv=None) -> None:
     ap.add_argument("--stage", choices=STAGES, default="all")
     ap.add_argument("--raw-csv", help="raw accepted-loans CSV with header (split/all)")
     ap.add_argument("--testdata", help="folder of the TPC-H-style test tables (split/all)")
-    ap.add_argument("--root", help="zone root (default: fresh folder under spark.checkpoint.dir)")
+    ap.add_argument("--root", help="root of the versions (default: fresh folder under spark.checkpoint.dir)")
     ap.add_argument("--split-format", choices=("parquet", "csv"), default="parquet")
     ap.add_argument("--database", default=None)
+    ap.add_argument("--keep", type=int, default=None, help="versions to keep after publishing")
     ap.add_argument("--notebook-variant", action="store_true")
     args = ap.parse_args(argv)
     builder = SparkSession.builder.appName(f"lendwise-{args.stage}")
@@ -202,7 +257,15 @@ def main(argv=None) -> None:
     variant = Variant.notebook() if args.notebook_variant else DEFAULT_VARIANT
     if args.stage != "all" and not args.root:
         ap.error("--root is required to run a single stage")
-    zones = Zones(args.root or scratch_path(spark, "job"), args.split_format)
+    published = Published(spark, args.root or scratch_path(spark, "job"))
+    # The split starts a version; the stages after it go on with the draft.
+    if args.stage in ("all", "split"):
+        version = published.begin()
+    else:
+        version = published.draft() or published.current()
+    if version is None:
+        ap.error(f"no version under {published.root}: run the split stage first")
+    zones = Zones(published.path(version), args.split_format)
 
     def raw() -> DataFrame:
         if args.raw_csv:
@@ -219,6 +282,10 @@ def main(argv=None) -> None:
         stage_quarantine(spark, zones, variant)
     if args.stage in ("all", "score"):
         stage_score(spark, zones, variant)
+    if args.stage in ("all", "publish"):
+        published.publish(version)
+        if args.keep is not None:
+            published.prune(args.keep)
     if args.stage in ("all", "register") and args.database:
         register_tables(spark, args.database, zones)
     print(zones.root)

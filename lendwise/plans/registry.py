@@ -421,40 +421,52 @@ plain AS (
   LEFT JOIN late USING (member_id) LEFT JOIN filed USING (member_id)),
 per_member AS (
   SELECT member_id, count(DISTINCT cust_no) AS n_customers, count(DISTINCT loan_id) AS n_loans,
-         count(DISTINCT late_no) AS n_delinq_rows, count(DISTINCT filed_no) AS n_record_rows FROM plain GROUP BY member_id)
+         count(DISTINCT late_no) AS n_delinq_rows, count(DISTINCT filed_no) AS n_record_rows,
+         max(delinq_2yrs) AS worst_delinq_2yrs, max(pub_rec) AS worst_pub_rec, max(pub_rec_bankruptcies) AS worst_pub_rec_bankruptcies,
+         max(inq_last_6mths) AS worst_inq_last_6mths FROM plain GROUP BY member_id)
 """
 
 
-def _view_sql(columns: tuple[str, ...], parts: tuple[str, ...]) -> str:
-    own = {"loan": {"loan_id", *views.LOAN_COLS, *views.REPAYMENT_COLS, "total_payment_received"},
-           "customer": set(views.CUSTOMER_COLS), "delinquency": set(views.DELINQ_COLS), "record": set(views.RECORD_COLS)}
-    of = {"loan": ("loan_id", "TRUE"), "customer": ("cust_no", "n_customers > 1 OR n_loans = 0"),
-          "delinquency": ("late_no", "TRUE"), "record": ("filed_no", "TRUE")}
+# One line a column: the parts that show it (l loan, c customer, d delinquency,
+# r record), written out here so that the SQL does not follow the views' code.
+_FULL_COLUMNS = """
+loan_id l, member_id lcdr, emp_title c, emp_length c, home_ownership c, annual_income c, address_state c, address_zipcode c,
+address_country c, grade c, sub_grade c, verification_status c, total_high_credit_limit c, application_type c, join_annual_income c,
+verification_status_joint c, loan_amount l, funded_amount l, loan_term_years l, interest_rate l, monthly_installment l, issue_date l,
+loan_status l, loan_purpose l, total_principal_received l, total_interest_received l, total_late_fee_received l, last_payment_date l,
+next_payment_date l, delinq_2yrs d, delinq_amnt d, mths_since_last_delinq d, pub_rec r, pub_rec_bankruptcies r, inq_last_6mths r"""
+_SLIM_COLUMNS = "member_id lcd, address_state c, total_payment_received l, delinq_2yrs d"
 
-    def shown(part: str, c: str) -> str:
-        if c == "member_id" or c in own[part]:
+
+def _view_sql(columns: str, parts: str, worst: str) -> str:
+    names = [c.split() for c in columns.replace("\n", " ").split(",")]
+    about = {"l": ("loan", "loan_id", "TRUE"), "c": ("customer", "cust_no", "n_customers > 1 OR n_loans = 0"),
+             "d": ("delinquency", "late_no", "TRUE"), "r": ("record", "filed_no", "TRUE")}
+
+    def shown(part: str, c: str, of: str) -> str:
+        if part in of:
             return c
-        if part == "loan" and c in own["customer"]:
+        if part == "l" and "c" in of:
             return f"CASE WHEN n_customers = 1 THEN {c} END AS {c}"
         return f"NULL AS {c}"
 
-    counts = "n_customers, n_loans, n_delinq_rows, n_record_rows"
+    member = f"n_customers, n_loans, n_delinq_rows, n_record_rows, {worst}"
     rows = []
     for part in parts:
-        number, where = of[part]
-        kept = ", ".join(shown(part, c) for c in columns)
+        name, number, where = about[part]
+        kept = ", ".join(shown(part, c, of) for c, of in names)
         source = f"FROM plain JOIN per_member USING (member_id) WHERE {number} IS NOT NULL AND ({where})"
-        if part in ("loan", "customer"):
+        if part in "lc":
             # The join repeats a source row, its number tells equal ones apart.
-            rows.append(f"SELECT '{part}' AS part, * EXCLUDE (source_row) FROM "
-                        f"(SELECT DISTINCT {kept}, 1::BIGINT AS n_rows, {counts}, {number} AS source_row {source})")
+            rows.append(f"SELECT '{name}' AS part, * EXCLUDE (source_row) FROM "
+                        f"(SELECT DISTINCT {kept}, 1::BIGINT AS n_rows, {member}, {number} AS source_row {source})")
         else:
-            rows.append(f"SELECT '{part}' AS part, {kept}, count(DISTINCT {number}) AS n_rows, {counts} {source} GROUP BY ALL")
+            rows.append(f"SELECT '{name}' AS part, {kept}, count(DISTINCT {number}) AS n_rows, {member} {source} GROUP BY ALL")
     return _PLAIN_VIEW.lstrip() + " UNION ALL BY NAME ".join(rows)
 
 
-_FULL_VIEW = _view_sql(views.VIEW_COLS, ("loan", "customer", "delinquency", "record"))
-_SLIM_VIEW = _view_sql(views.SLIM_COLS, ("loan", "customer", "delinquency"))
+_FULL_VIEW = _view_sql(_FULL_COLUMNS, "lcdr", "worst_delinq_2yrs, worst_pub_rec, worst_pub_rec_bankruptcies, worst_inq_last_6mths")
+_SLIM_VIEW = _view_sql(_SLIM_COLUMNS, "lcd", "worst_delinq_2yrs")
 
 register("consolidated_view", with_ctes(_FULL_VIEW))(
     lambda spark, d: stages(spark, d).consolidated)
@@ -634,16 +646,78 @@ def _scan_csv_headerless(spark, d):
     return io.read_csv_headerless(spark, path, schemas.DEFAULTERS_RAW)
 
 
-@register("scan_csv_permissive", with_ctes("SELECT * FROM rep_raw"))
-def _scan_csv_permissive(spark, d):
-    path = io.write_csv(split.split_repayments(stages(spark, d).keyed), scratch_path(spark, "raw", "rep_csv"))
-    return io.read_csv_schema(spark, path, schemas.REPAYMENTS_RAW, mode="PERMISSIVE")
+def _lines_with_faults(df: DataFrame, path: str) -> str:
+    """``df`` as header-less CSV lines in four folders by its first column, a
+    number: one line in ten has text for its fourth cell, a number, one in 25 a
+    field too many, and one in 25 only two fields."""
+    number = F.col(df.columns[0]).cast("long")
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    spoilt = [F.when(number % 10 == 3, "n/a").otherwise(c) if i == _SPOILT else c for i, c in enumerate(cells)]
+    line = (F.when(number % 25 == 9, F.concat_ws(",", *spoilt[:2]))
+            .when(number % 25 == 4, F.concat_ws(",", *spoilt, F.lit("surplus"))).otherwise(F.concat_ws(",", *spoilt)))
+    df.select(line.alias("value"), (number % 4).alias("folder")).write.partitionBy("folder").text(path)
+    return path + "/folder=*"
+
+
+# The column whose cells are spoilt, counted from 0, a number in both splits:
+# the late fee received of repayments, the amount funded of loans.
+_SPOILT = 3
 
 
-@register("scan_csv_failfast", with_ctes(_LOANS_CSV_SQL))
+def _faulty(spark: SparkSession, d: str) -> str:
+    return _lines_with_faults(split.split_repayments(stages(spark, d).keyed), scratch_path(spark, "raw", "rep_faulty"))
+
+
+@register("scan_csv_permissive", with_ctes("""
+SELECT loan_id, total_principal_received,
+       CASE WHEN j % 25 <> 9 THEN total_interest_received END AS total_interest_received,
+       CASE WHEN j % 25 <> 9 AND j % 10 <> 3 THEN total_late_fee_received END AS total_late_fee_received,
+       CASE WHEN j % 25 <> 9 THEN total_payment_received END AS total_payment_received,
+       CASE WHEN j % 25 <> 9 THEN last_payment_amount END AS last_payment_amount,
+       CASE WHEN j % 25 <> 9 THEN last_payment_date END AS last_payment_date,
+       CASE WHEN j % 25 <> 9 THEN next_payment_date END AS next_payment_date
+FROM (SELECT *, CAST(loan_id AS BIGINT) AS j FROM rep_raw)"""))
+def _scan_csv_permissive(spark, d):
+    """Every row of a file with malformed lines, null for what cannot be read."""
+    return io.read_csv_captured(spark, _faulty(spark, d), schemas.REPAYMENTS_RAW, header=False).lenient
+
+
+@register("scan_csv_bad_rows", with_ctes("""
+SELECT loan_id, CASE WHEN j % 25 = 9 THEN 2 WHEN j % 25 = 4 THEN 9 ELSE 8 END AS n_fields,
+       CASE WHEN j % 10 = 3 THEN 'n/a' END AS unreadable,
+       CASE WHEN j % 25 <> 9 THEN last_payment_amount END AS last_payment_amount
+FROM (SELECT *, CAST(loan_id AS BIGINT) AS j FROM rep_raw) WHERE j % 10 = 3 OR j % 25 IN (4, 9)"""))
+def _scan_csv_bad_rows(spark, d):
+    """The malformed lines set aside: what was read of them, and from their
+    text the number of fields and the cell that could not be read."""
+    bad = io.read_csv_captured(spark, _faulty(spark, d), schemas.REPAYMENTS_RAW, header=False).bad
+    fields = F.split("line", ",", -1)
+    cell = F.get(fields, F.lit(_SPOILT))
+    return bad.select("loan_id", F.size(fields).alias("n_fields"), F.when(cell == "n/a", cell).alias("unreadable"), "last_payment_amount")
+
+
+@register("scan_csv_bad_counts", with_ctes("""
+SELECT 'folder=' || (j % 4) AS folder, count(*) AS n_rows, count(*) FILTER (j % 10 = 3 OR j % 25 IN (4, 9)) AS n_bad,
+       count(*) FILTER (loan_id IS NULL) AS n_without_key
+FROM (SELECT *, CAST(loan_id AS BIGINT) AS j FROM rep_raw) GROUP BY ALL"""))
+def _scan_csv_bad_counts(spark, d):
+    """The counts per file, added up by folder as file names are Spark's."""
+    counts = io.read_csv_captured(spark, _faulty(spark, d), schemas.REPAYMENTS_RAW, header=False).counts
+    folder = F.regexp_extract("source", r"(folder=\d+)/[^/]+$", 1).alias("folder")
+    return counts.groupBy(folder).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_bad").alias("n_bad"),
+                                      F.sum("n_without_key").alias("n_without_key"))
+
+
+@register("scan_csv_failfast", with_ctes(
+    _LOANS_CSV_SQL + " WHERE CAST(loan_id AS BIGINT) % 10 <> 3 AND NOT (CAST(loan_id AS BIGINT) % 25 IN (4, 9))"))
 def _scan_csv_failfast(spark, d):
-    path = io.write_csv(split.split_loans(stages(spark, d).keyed), scratch_path(spark, "raw", "loans_csv"))
-    return io.read_csv_schema(spark, path, schemas.LOANS_RAW, mode="FAILFAST")
+    """FAILFAST ends on the loans' file with malformed lines; the good rows of
+    that file, written again, pass it."""
+    faulty = _lines_with_faults(split.split_loans(stages(spark, d).keyed), scratch_path(spark, "raw", "loans_faulty"))
+    if not io.raises_on_malformed(spark, faulty, schemas.LOANS_RAW, header=False):
+        raise RuntimeError("a malformed file passed FAILFAST")
+    good = io.read_csv_captured(spark, faulty, schemas.LOANS_RAW, header=False).good
+    return io.read_csv_schema(spark, io.write_csv(good, scratch_path(spark, "raw", "loans_csv")), schemas.LOANS_RAW, mode="FAILFAST")
 
 
 @register("scan_parquet", with_ctes("SELECT * FROM loans_clean"))
@@ -799,6 +873,7 @@ register("gold_records_sink", with_ctes("SELECT * FROM records_new"))(
 
 # ---------------------------------------------------------------- streaming ingest
 from lendwise.streaming import ingest  # noqa: E402
+from lendwise.streaming import lists as stream_lists  # noqa: E402
 
 
 @register("stream_split_loans", with_ctes(
@@ -814,3 +889,132 @@ def _stream_split_loans(spark, d):
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return ingest.read_split(spark, out, "loans")
+
+
+@register("stream_dup_members", with_ctes("""
+SELECT 'customers' AS list, member_id FROM dup_cust UNION ALL SELECT 'delinq', member_id FROM dup_delinq
+UNION ALL SELECT 'records', member_id FROM dup_rec UNION ALL SELECT 'all', member_id FROM bad""", NOTEBOOK))
+def _stream_dup_members(spark, d):
+    """Raw rows arrive in four lots of files, a batch each; the duplicate
+    lists come from the batches' counts."""
+    src, out = scratch_path(spark, "incoming"), scratch_path(spark, "stream-zones")
+    keyed = stages(spark, d).keyed.drop("member_id")
+    for lot in range(4):
+        io.write_csv(keyed.where(F.col("id").cast("long") % 4 == lot), f"{src}/lot{lot}")
+    split_stream = ingest.start_split_stream(
+        spark, f"{src}/*", out, max_files_per_trigger=2,
+        also=lambda rows, batch_id: stream_lists.write_default_counts(rows, out, batch_id, NOTEBOOK))
+    split_stream.awaitTermination()
+    customers = stream_lists.start_customer_stream(spark, f"{src}/*", out, max_files_per_trigger=2)
+    customers.awaitTermination()
+    for q in (split_stream, customers):
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    lists = stream_lists.duplicate_lists(spark, out)
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("list"), "member_id") for name, df in lists.items()])
+
+
+# ---------------------------------------------------------------- the job's zones
+from lendwise.plans import incremental, job  # noqa: E402
+from lendwise.sources.published import Published  # noqa: E402
+
+
+@register("published_score", with_ctes(_FINAL_SQL))
+def _published_score(spark, d):
+    """The score zone of the version that a whole run has published."""
+    root = scratch_path(spark, "published")
+    job.run(spark, stages(spark, d).keyed, root=root, raw_is_keyed=True)
+    return job.read_zone(spark, root, "gold/loan_score")
+
+
+_OBSERVED_SQL = with_ctes("""
+SELECT 'rows_customers_raw' AS check_name, count(*) AS n FROM cust_raw
+UNION ALL SELECT 'rows_loans_raw', count(*) FROM loans_raw
+UNION ALL SELECT 'rows_repayments_raw', count(*) FROM rep_raw
+UNION ALL SELECT 'rows_defaulters_raw', count(*) FROM def_raw
+UNION ALL SELECT 'rows_customers_clean', count(*) FROM cust_clean
+UNION ALL SELECT 'rows_loans_clean', count(*) FROM loans_clean
+UNION ALL SELECT 'rows_repayments_clean', count(*) FROM rep_clean
+UNION ALL SELECT 'rows_delinq', count(*) FROM delinq
+UNION ALL SELECT 'rows_records', count(*) FROM records
+UNION ALL SELECT 'rows_customers_new', count(*) FROM customers_new
+UNION ALL SELECT 'emp_length_null_raw', count(*) FILTER (WHERE emp_length IS NULL) FROM cust_raw
+UNION ALL SELECT 'emp_length_null_clean', count(*) FILTER (WHERE emp_length IS NULL) FROM cust_clean
+UNION ALL SELECT 'principal_null_raw', count(*) FILTER (WHERE total_principal_received IS NULL) FROM rep_raw
+UNION ALL SELECT 'last_date_sentinel_raw', count(*) FILTER (WHERE last_payment_date = '0.0') FROM rep_raw
+UNION ALL SELECT 'next_date_sentinel_raw', count(*) FILTER (WHERE next_payment_date = '0.0') FROM rep_raw
+UNION ALL SELECT 'principal_null_clean', count(*) FILTER (WHERE total_principal_received IS NULL) FROM rep_clean
+UNION ALL SELECT 'last_date_sentinel_clean', count(*) FILTER (WHERE last_payment_date = '0.0') FROM rep_clean
+UNION ALL SELECT 'next_date_sentinel_clean', count(*) FILTER (WHERE next_payment_date = '0.0') FROM rep_clean
+UNION ALL SELECT 'delinq_zero_rows', count(*) FILTER (WHERE delinq_2yrs = 0) FROM def_base""")
+
+
+@register("audit_observed", _OBSERVED_SQL)
+def _audit_observed(spark, d):
+    """F19 and F20 as observed by the jobs that wrote the zones."""
+    published = Published(spark, scratch_path(spark, "observed"))
+    zones = job.Zones(published.path(published.begin()))
+    job.stage_split(spark, stages(spark, d).keyed, zones, raw_is_keyed=True)
+    job.stage_clean(spark, zones)
+    job.stage_quarantine(spark, zones)
+    return spark.read.parquet(f"{zones.root}/audit/checks").select(F.col("check").alias("check_name"), "n")
+
+
+@register("join_loan_repayment_bucketed", ORACLE["join_loan_repayment"])
+def _join_bucketed(spark, d):
+    """J1 over tables bucketed by loan: neither side is shuffled."""
+    s = stages(spark, d)
+    with _database(spark) as db:
+        tables = [spark.table(io.save_bucketed(df, f"{db}.{name}", scratch_path(spark, "bucketed", name), "loan_id", LOAN_BUCKETS))
+                  for name, df in (("loans_by_id", s.loans), ("repayments_by_id", s.repayments))]
+    loans, repayments = tables
+    return (repayments.join(loans.select("loan_id", "member_id", "monthly_installment", "funded_amount"), "loan_id")
+            .select("loan_id", "member_id", "monthly_installment", "funded_amount", "last_payment_amount", "total_payment_received"))
+
+
+# Buckets of the loan tables here; a production table has about one for each
+# 128 MB.
+LOAN_BUCKETS = 8
+
+
+@register("table_statistics", with_ctes("""
+SELECT 'customers_new' AS table_name, 'rows' AS statistic, count(*) AS n FROM customers_new
+UNION ALL SELECT 'customers_new', 'home_ownership', count(*) FILTER (home_ownership IS NULL) FROM customers_new
+UNION ALL SELECT 'customers_new', 'total_high_credit_limit', count(*) FILTER (total_high_credit_limit IS NULL) FROM customers_new
+UNION ALL SELECT 'loans', 'rows', count(*) FROM loans_clean
+UNION ALL SELECT 'loans', 'loan_status', count(*) FILTER (loan_status IS NULL) FROM loans_clean
+UNION ALL SELECT 'loans_repayments', 'rows', count(*) FROM rep_clean
+UNION ALL SELECT 'loans_repayments', 'next_payment_date', count(*) FILTER (next_payment_date IS NULL) FROM rep_clean"""))
+def _table_statistics(spark, d):
+    """What the catalog knows of registered tables once they are analysed:
+    rows, and nulls by column."""
+    s = stages(spark, d)
+    tables = {"customers_new": (s.customers_new, schemas.CUSTOMERS_TABLE, ("home_ownership", "total_high_credit_limit")),
+              "loans": (s.loans, schemas.LOANS_TABLE, ("loan_status",)),
+              "loans_repayments": (s.repayments, schemas.REPAYMENTS_TABLE, ("next_payment_date",))}
+    found = []
+    with _database(spark):
+        for name, (df, ddl, columns) in tables.items():
+            io.external_table(spark, name, ddl, io.write_default(df, scratch_path(spark, "gold", name)))
+            io.analyze_table(spark, name, columns)
+            found += [(name, statistic, n) for statistic, n in io.table_statistics(spark, name, columns).items()]
+    return spark.createDataFrame(found, "table_name string, statistic string, n long")  # catalog metadata
+
+
+@register("loan_score_incremental", with_ctes(_FINAL_SQL))
+def _loan_score_incremental(spark, d):
+    """The score kept up through three batches: the first scored whole, the
+    others by re-scoring the members they touch."""
+    keyed = stages(spark, d).keyed
+    lot = F.col("id").cast("long") % 10
+    batches = [keyed.where(lot < 8), keyed.where(lot == 8), keyed.where(lot == 9)]
+    so_far = batches[0]
+    stored = _written(spark, Stages(so_far, raw_is_keyed=True).loan_score)
+    for batch in batches[1:]:
+        so_far = so_far.unionByName(batch)
+        stored = _written(spark, incremental.rescore(so_far, batch, stored))
+    return stored
+
+
+def _written(spark: SparkSession, df: DataFrame) -> DataFrame:
+    return spark.read.parquet(io.write_parquet(df, scratch_path(spark, "gold", "loan_score")))

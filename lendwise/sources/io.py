@@ -9,7 +9,12 @@ input's parallelism.  Paths for durable intermediates come from
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lendwise.session import scratch_path
 
 
 # -- sources ------------------------------------------------------------------
@@ -26,6 +31,60 @@ def read_csv_schema(spark: SparkSession, path: str, ddl: str, header: bool = Tru
     return spark.read.schema(ddl).option("mode", mode).csv(path, header=header)
 
 
+BAD_LINE = "_corrupt_record"
+
+
+@dataclass(frozen=True)
+class Captured:
+    """A CSV source with its malformed lines set aside.
+
+    A line is malformed if it has more or fewer fields than declared, or a
+    field that its type cannot hold.  ``good``: the well-formed rows.
+    ``lenient``: all rows, with null for what could not be read (PERMISSIVE).
+    ``bad``: the malformed rows in that form with ``source``, their file, and
+    ``line``, their text.  ``counts``: per file ``n_rows``, ``n_bad`` and
+    ``n_without_key``, rows whose first column is null.
+    """
+
+    good: DataFrame
+    lenient: DataFrame
+    bad: DataFrame
+    counts: DataFrame
+
+
+def read_csv_captured(spark: SparkSession, path: str, ddl: str, header: bool = True) -> Captured:
+    """The source parsed once, whole, and kept as parquet in the shared
+    folder; good rows, bad rows and counts read that copy.
+
+    Left to each query the parser would look only at the columns the query
+    reads, and a line would be malformed to one and well-formed to another.
+    """
+    rows = (spark.read.schema(f"{ddl}, {BAD_LINE} string").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", BAD_LINE).csv(path, header=header))
+    names = [c for c in rows.columns if c != BAD_LINE]
+    rows = rows.select(F.col("_metadata.file_path").alias("source"), F.col(BAD_LINE).alias("line"), *names)
+    rows = spark.read.schema(rows.schema).parquet(write_parquet(rows, scratch_path(spark, "captured")))
+    malformed = F.col("line").isNotNull()
+    return Captured(
+        good=rows.where(~malformed).select(*names),
+        lenient=rows.select(*names),
+        bad=rows.where(malformed),
+        counts=rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"), F.count("line").alias("n_bad"),
+                                          F.count_if(F.col(names[0]).isNull()).alias("n_without_key")))
+
+
+def raises_on_malformed(spark: SparkSession, path: str, ddl: str, header: bool = True) -> bool:
+    """Whether a FAILFAST read of the whole source ends in an error about
+    a malformed line; any other error is passed on."""
+    try:
+        read_csv_schema(spark, path, ddl, header, mode="FAILFAST").write.format("noop").mode("overwrite").save()
+    except Exception as error:
+        if "MALFORMED" not in str(error).upper():
+            raise
+        return True
+    return False
+
+
 def read_csv_headerless(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """S3: declared schema with no header option — the header line is read
     as a data row (its numeric fields become null)."""
@@ -97,6 +156,15 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> str:
     return name
 
 
+def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> str:
+    """K5/K6: a table at ``path`` in ``buckets`` files by the hash of ``key``,
+    each sorted: two tables bucketed alike join on the key without a shuffle.
+    Only for keys that cannot be hot, as a bucket is read by one task."""
+    (df.repartition(buckets, key).write.format("parquet").mode("overwrite").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+    return name
+
+
 # -- catalog ------------------------------------------------------------------
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -124,6 +192,27 @@ def external_table(spark: SparkSession, name: str, ddl: str, location: str,
     return name
 
 
+def analyze_table(spark: SparkSession, name: str, columns: tuple[str, ...] = ()) -> str:
+    """K6: row count and size of a registered table, and the statistics of
+    ``columns`` (nulls, distinct values, range), kept in the catalog: joins
+    are then chosen and ordered by measured sizes."""
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+    if columns:
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
+    return name
+
+
+def table_statistics(spark: SparkSession, name: str, columns: tuple[str, ...] = ()) -> dict[str, int]:
+    """What the catalog knows of a table: ``rows`` and, by column, nulls."""
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Statistics'").first()
+    found = {"rows": int(told.data_type.split(",")[1].split()[0])} if told and "rows" in told.data_type else {}
+    for column in columns:
+        about = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name} {column}").collect()}
+        if about["num_nulls"] != "NULL":
+            found[column] = int(about["num_nulls"])
+    return found
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     """K7."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -11,6 +11,8 @@ need all rows of a member and stay batch jobs over the zones.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,10 +39,13 @@ def raw_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int
 def start_split_stream(spark: SparkSession, source_dir: str, out_root: str,
                        checkpoint: str | None = None, available_now: bool = True,
                        processing_time: str | None = None,
-                       max_files_per_trigger: int = 1000) -> StreamingQuery:
+                       max_files_per_trigger: int = 1000,
+                       also: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Start the ingest; ``available_now`` drains what is there and stops.
 
-    ``max_files_per_trigger`` bounds a micro-batch, whatever the backlog."""
+    ``max_files_per_trigger`` bounds a micro-batch, whatever the backlog.
+    ``also`` is called with each batch's keyed rows, as stored, and its id;
+    what it writes must be replaceable by batch as well."""
     keyed = with_member_key(raw_stream(spark, source_dir, max_files_per_trigger))
     out_root = out_root.rstrip("/")
 
@@ -50,6 +55,8 @@ def start_split_stream(spark: SparkSession, source_dir: str, out_root: str,
         stored = batch.sparkSession.read.parquet(staged)
         for name, fn in SPLITS.items():
             fn(stored).write.mode("overwrite").parquet(f"{out_root}/{name}/batch_id={batch_id}")
+        if also is not None:
+            also(stored, batch_id)
 
     writer = (keyed.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))
