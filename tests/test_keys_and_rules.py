@@ -104,6 +104,7 @@ def test_float_counters_that_no_int_holds(spark):
     rows = spark.createDataFrame([(f"m{i}", x, 1.0, x) for i, x in enumerate(cells)],
                                  "member_id string, delinq_2yrs float, delinq_amnt float, mths_since_last_delinq float")
     got = [r.n for r in rows.select(rules.int_or_zero("delinq_2yrs").alias("n")).collect()]
-    assert got == [0, 0, 0, 0, 2, 0, 0]
+    # Beyond an int counts as its largest value, which rates worst.
+    assert got == [0, 2**31 - 1, -2**31, 2**31 - 1, 2, 0, 0]
     assert clean.delinq_members(clean.defaulters_base(rows)).count() >= 1
     assert clean.months_since_delinq_zero(rows).where(F.col("mths_since_last_delinq").isNull()).count() == 0
