@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,8 +14,12 @@ from lendwise.session import scratch_path
 
 # The words of the contracts are maximal runs outside these six characters.
 WORD_SPACES = " \t\n\x0b\x0c\r"
-# Text handed to one step of vectorised work inside a task.
-SLICE_BYTES = 4 << 20
+# Text handed to one step of vectorised work inside a task; the arrays made
+# from it take some tens of times as much.
+SLICE_BYTES = 1 << 20
+# Bytes of rows that pass between Spark and a task at a time; a longer row
+# passes alone.
+BATCH_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,12 +62,44 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text",
             yield batch.slice(start, end - start)
             start = end
         # What the slices took goes back before the next batch is read.
-        pa.default_memory_pool().release_unused()
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker is used again by later
+    stages, and would hold on to the most that any of them took."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # not the GNU allocator
+    _trim = None
+
+
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 of a column of texts laid end to end, without a copy, and
+    where each text begins; there are no nulls."""
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, offsets, data = column.buffers()
+    places = np.frombuffer(offsets, kind, len(column) + 1, column.offset * np.dtype(kind).itemsize).astype(np.int64)
+    size = int(places[-1] - places[0])
+    raw = np.frombuffer(data, np.uint8, size, int(places[0])) if size else np.empty(0, np.uint8)
+    return raw, places[:-1] - places[0]
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, or the next like it that no column of ``df`` bears."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def _offsets(column: pa.Array) -> list[int]:
     import pyarrow.compute as pc
-    import numpy as np
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     return np.concatenate([[0], np.cumsum(sizes)]).tolist()
 
@@ -72,7 +110,13 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package where it is not installed:
-    Spark hands its files out with the job."""
+    Spark hands its files out with the job.  Also bounds the session's Arrow
+    batches by ``BATCH_BYTES``: Spark's own bound, 64 MB, takes several times
+    that in the executor and its worker."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(bound, None)
+    if now is None or not now.rstrip("bB").isdigit() or int(now.rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(bound, str(BATCH_BYTES))
     import os
     import shutil
     import tempfile

@@ -20,12 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .rans import Layout, Segment, Table, decode, encode, quantise, shifted_crc
-from .shared import column, id_and_text, materialise, ship_package, text_slices
+from .shared import column, id_and_text, ship_package, text_bytes, text_slices
 from .warc import open_fs
-from .word_ids import WordEncoder, text_bytes
+from .word_ids import WordEncoder
 
-# Text tokenised, ids coded and segments decoded at a time.
-SLICE_BYTES = 1 << 20
+# Ids coded and segments decoded at a time.
 IDS_AT_ONCE = 1 << 21
 SEGMENTS_AT_ONCE = 64
 
@@ -50,7 +49,7 @@ def count_ids(docs: DataFrame, tokenizer: str, params: FileParams, text_col: str
 
     def count(batches):
         encoder, total = _worker_encoder(tokenizer), np.zeros(vocabulary, np.int64)
-        for batch in text_slices(batches, limit=SLICE_BYTES):
+        for batch in text_slices(batches):
             ids, _ = encoder.encode(*text_bytes(column(batch, "text")))
             total += np.bincount(ids, minlength=vocabulary)
             total[params.end_id] += batch.num_rows
@@ -138,7 +137,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, params: FilePa
 
     def write(batches):
         encoder, table, writer = _worker_encoder(tokenizer), Table(*shared.value), None
-        for batch in text_slices(batches, limit=SLICE_BYTES):
+        for batch in text_slices(batches):
             writer = writer or _Writer(folder, f"part-{TaskContext.get().partitionId():05d}", table, params.layout)
             ids, starts = encoder.encode(*text_bytes(column(batch, "text")))
             first = writer.first + writer.n_held
@@ -193,8 +192,11 @@ def read_pieces(spark: SparkSession, path: str, params: FileParams = FileParams(
     parts = documents.select("file", F.explode(F.sequence(F.floor(F.col("first") / run), last)).alias("run"), F.lit(1).alias("kind"),
                              "first", F.col("n_tokens").alias("n"), F.lit(None).cast("long").alias("offset"),
                              F.lit(None).cast("long").alias("length"), "id")
-    both = segments.unionByName(parts)
-    dealt = both.repartition("file", "run").sortWithinPartitions("file", "run", "kind", "first")
+    # The rows are small, the ids behind them are not: tasks by runs of ids,
+    # not by bytes of rows.
+    total = documents.agg(F.sum("n_tokens")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // run))
+    dealt = segments.unionByName(parts).repartition(int(tasks), "file", "run").sortWithinPartitions("file", "run", "kind", "first")
     names = ["id", "file", "first", "n_tokens", "n", "crc"] + (["at", "ids"] if with_ids else [])
 
     def work(batches):

@@ -14,7 +14,6 @@ import re
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 import regex
 
 from .token_counts import byte_letters
@@ -209,13 +208,3 @@ class WordEncoder:
             self.key[cell[at]], self.first[cell[at]], self.size[cell[at]] = new, made, sizes
         return first, size
 
-
-def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 of a column of texts laid end to end, without a copy, and
-    where each text begins; there are no nulls."""
-    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
-    _, offsets, data = column.buffers()
-    places = np.frombuffer(offsets, kind, len(column) + 1, column.offset * np.dtype(kind).itemsize).astype(np.int64)
-    size = int(places[-1] - places[0])
-    raw = np.frombuffer(data, np.uint8, size, int(places[0])) if size else np.empty(0, np.uint8)
-    return raw, places[:-1] - places[0]

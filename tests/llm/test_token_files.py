@@ -10,7 +10,8 @@ import pytest
 import tokenizers
 
 from lendwise.llm import rans, token_files as tf
-from lendwise.llm.word_ids import WordEncoder, text_bytes
+from lendwise.llm.shared import text_bytes
+from lendwise.llm.word_ids import WordEncoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SMALL = tf.FileParams(layout=rans.Layout(lanes=4, steps=4, segments=2))
