@@ -6,10 +6,15 @@ e + 1 neighbouring diagonals (place in the document less place in the
 passage).  Shared q-grams are counted in overlapping bands of 2 (e + 1)
 diagonals, every e + 1 of them, so that each such run lies whole in one
 band; bands that meet the bound are verified by alignment inside the band.
+Two places of a passage lie on far diagonals, so each has bands of its own.
+Long texts are searched in windows that overlap by the longest passage.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -35,6 +40,10 @@ class LemmaParams:
 
 _END = np.uint32(0x110000)  # stands between texts, in none of them
 _FILTER_BITS = 22
+# Characters searched at a time, and shared q-grams listed at a time: a text
+# that repeats one q-gram over and over is searched in smaller parts.
+WINDOW = 1 << 19
+MOST_HITS = 1 << 21
 
 
 def fold(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +95,6 @@ class Passages:
         self.params = params
         points, starts = fold([t.strip() for t in texts])
         lengths = np.diff(starts) - 1
-        # Fewer characters than a q-gram cannot be told from ordinary text.
         kept = np.flatnonzero(lengths >= params.q)
         self.ids = [ids[i] for i in kept]
         self.points = [points[starts[i]:starts[i] + lengths[i]] for i in kept]
@@ -94,41 +102,85 @@ class Passages:
         m = lengths[kept]
         self.budget = np.array([edit_budget(int(x), params) for x in m], np.int64)
         self.bound = np.maximum(1, m + 1 - params.q * (self.budget + 1))
+        self.reach = int((m + self.budget).max(initial=0)) + 1
         grams = [qgrams(p, params.q)[:len(p) - params.q + 1] for p in self.points]
         every = np.concatenate(grams) if grams else np.empty(0, np.uint64)
-        item = np.repeat(np.arange(len(kept)), [len(g) for g in grams])
-        place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, np.int64)
+        item = np.repeat(np.arange(len(kept), dtype=np.int32), [len(g) for g in grams])
+        place = np.concatenate([np.arange(len(g), dtype=np.int32) for g in grams]) if grams else np.empty(0, np.int32)
         order = np.argsort(every, kind="stable")
         self.item, self.place = item[order], place[order]
-        self.grams, self.first, self.times = np.unique(every[order], return_index=True, return_counts=True)
+        self.grams, first, times = np.unique(every[order], return_index=True, return_counts=True)
+        self.first, self.times = first.astype(np.int32), times.astype(np.int32)
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[(self.grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-
-    def _hits(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place, passage, place in it) of every shared q-gram."""
+        # Fewer characters than a q-gram cannot be told from ordinary text:
+        # such a passage is found where it is the whole text.
+        self.short: dict[str, list[int]] = {}
+        for i in np.flatnonzero((lengths > 0) & (lengths < params.q)).tolist():
+            self.short.setdefault(_as_text(points[starts[i]:starts[i] + lengths[i]]), []).append(len(self.ids))
+            self.ids.append(ids[i])
+
+    def _shared(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, index of the q-gram) of every shared q-gram of the texts."""
         grams = qgrams(points, self.params.q)
         at = np.flatnonzero(self.filter[(grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
         index = np.searchsorted(self.grams, grams[at])
         index[index == len(self.grams)] = 0
         real = self.grams[index] == grams[at]
-        at, index = at[real], index[real]
-        times = self.times[index]
-        ends = np.cumsum(times)
-        pick = np.repeat(self.first[index] - ends + times, times) + np.arange(ends[-1] if len(ends) else 0)
-        return np.repeat(at, times), self.item[pick], self.place[pick]
+        return at[real], index[real]
 
     def search(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
-        """(text, passage, start, end, edits): the best place of every
-        passage in every text that holds it within its budget; start and end
-        in code points."""
-        if not self.ids:
-            return []
-        points, starts = fold(texts)
-        at, item, place = self._hits(points)
+        """(text, passage, start, end, edits) of every place of a passage
+        within its budget, in order; start and end in code points.  Of places
+        that overlap the one of fewest edits counts, then the first."""
+        found: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
+        for t, text in enumerate(texts if self.short else []):
+            body = text.strip()
+            if 0 < len(body) < self.params.q:
+                at = text.index(body)
+                for i in self.short.get(_as_text(fold([body])[0][:-1]), []):
+                    found[t, i].append((0, at, at + len(body)))
+        if self.strings:
+            for windows in self._windows(texts):
+                for k, i, start, end, edits in self._search(windows):
+                    t, offset, _ = windows[k]
+                    found[t, i].append((edits, start + offset, end + offset))
+        return sorted((t, i, start, end, edits) for (t, i), places in found.items() for edits, start, end in _apart(places))
+
+    def _windows(self, texts: list[str]) -> Iterator[list[tuple[int, int, str]]]:
+        """Groups of windows (text, offset, characters) of bounded size; each
+        place of a passage is whole in a window."""
+        held, size = [], 0
+        for t, text in enumerate(texts):
+            for a in range(0, max(1, len(text) - self.reach), WINDOW):
+                piece = text[a:a + WINDOW + self.reach]
+                if held and size + len(piece) > WINDOW:
+                    yield held
+                    held, size = [], 0
+                held.append((t, a, piece))
+                size += len(piece)
+        if held:
+            yield held
+
+    def _search(self, windows: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, int, int, int]]:
+        """(window, passage, start, end, edits) of the places in each band."""
+        points, starts = fold([w[2] for w in windows])
+        at, index = self._shared(points)
+        times = self.times[index]
+        if times.sum(dtype=np.int64) > MOST_HITS:
+            halves = self._halves(windows)
+            if halves is not None:
+                for first, shift, part in halves:
+                    for k, i, start, end, edits in self._search(part):
+                        yield first + k, i, start + shift, end + shift, edits
+                return
+        ends = np.cumsum(times, dtype=np.int64)
+        pick = np.repeat(self.first[index] - ends + times, times) + np.arange(ends[-1] if len(ends) else 0)
+        at, item, place = np.repeat(at, times), self.item[pick], self.place[pick]
         text = np.searchsorted(starts, at, side="right") - 1
         # Too few shared q-grams in the whole text: no band can have more.
-        pair = text * len(self.ids) + item
-        enough = np.bincount(pair, minlength=len(texts) * len(self.ids))[pair] >= self.bound[item]
+        pairs, pair, met = np.unique(text * len(self.ids) + item, return_inverse=True, return_counts=True)
+        enough = met[pair] >= self.bound[item]
         at, item, place, text, pair = at[enough], item[enough], place[enough], text[enough], pair[enough]
         width = self.budget[item] + 1
         band = (at - starts[text] - place) // width  # may be negative
@@ -138,26 +190,59 @@ class Passages:
         # A place of the passage counts once in a band, however often its
         # q-gram stands there.
         longest = max(map(len, self.points))
-        found, counts = np.unique(np.unique(key * longest + np.concatenate([place, place])) // longest, return_counts=True)
-        pair, band = found // span, found % span + low
-        good = counts >= self.bound[pair % len(self.ids)]
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        whole: dict[int, str] = {}
+        bands, counts = np.unique(np.unique(key * longest + np.concatenate([place, place])) // longest, return_counts=True)
+        pair, band = bands // span, bands % span + low
+        good = counts >= self.bound[pairs[pair] % len(self.ids)]
+        last, exact, whole = None, [], ""
         for p, b in zip(pair[good].tolist(), band[good].tolist()):
-            t, i = divmod(p, len(self.ids))
-            if (t, i) in best and best[t, i][2] == 0:
-                continue
-            text = points[starts[t]:starts[t + 1] - 1]
-            if t not in whole:
-                whole[t] = _as_text(text)
-            if (t, i) not in best and (at := whole[t].find(self.strings[i])) >= 0:
-                best[t, i] = (at, at + len(self.points[i]), 0)  # no alignment beats the first exact place
-                continue
+            k, i = divmod(int(pairs[p]), len(self.ids))
+            if p != last:
+                if last is None or k != int(pairs[last]) // len(self.ids):
+                    whole = _as_text(points[starts[k]:starts[k + 1] - 1])
+                last, exact = p, _exact_places(whole, self.strings[i])
+                for start in exact:
+                    yield k, i, start, start + len(self.points[i]), 0
             w = int(self.budget[i]) + 1
-            hit = align(self.points[i], text, b * w, b * w + 2 * w - 1, int(self.budget[i]))
-            if hit is not None and ((t, i) not in best or (hit[2], hit[0]) < (best[t, i][2], best[t, i][0])):
-                best[t, i] = hit
-        return [(t, i, *hit) for (t, i), hit in sorted(best.items())]
+            # No alignment beats an exact place of its band.
+            near = bisect_left(exact, b * w)
+            if near < len(exact) and exact[near] < b * w + 2 * w:
+                continue
+            hit = align(self.points[i], points[starts[k]:starts[k + 1] - 1], b * w, b * w + 2 * w - 1, int(self.budget[i]))
+            if hit is not None:
+                yield k, i, *hit
+
+    def _halves(self, windows):
+        """Windows in two parts, or one window cut in two that overlap, each
+        with the number of its first window and its shift; None if too short."""
+        if len(windows) > 1:
+            middle = len(windows) // 2
+            return [(0, 0, windows[:middle]), (middle, 0, windows[middle:])]
+        t, offset, text = windows[0]
+        middle = len(text) // 2
+        if middle <= 2 * self.reach:
+            return None
+        return [(0, 0, [(t, offset, text[:middle + self.reach])]), (0, middle, [(t, offset, text[middle:])])]
+
+
+def _exact_places(text: str, passage: str) -> list[int]:
+    """Where ``passage`` stands in ``text``, none over another."""
+    out, at = [], text.find(passage)
+    while at >= 0:
+        out.append(at)
+        at = text.find(passage, at + len(passage))
+    return out
+
+
+def _apart(places: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of (edits, start, end) the best one, the best that does not overlap
+    it, and so on."""
+    starts, kept = [], []
+    for edits, start, end in sorted(set(places)):
+        at = bisect_left(starts, start)
+        if (at == 0 or kept[at - 1][2] <= start) and (at == len(starts) or end <= kept[at][1]):
+            starts.insert(at, start)
+            kept.insert(at, (edits, start, end))
+    return kept
 
 
 def _as_text(points: np.ndarray) -> str:
@@ -216,15 +301,18 @@ def _share(block: DataFrame, params: LemmaParams) -> Broadcast:
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, params: LemmaParams = LemmaParams(), id_col: str = "doc_id",
                   text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(id, text_hash, item, start, end, edits): a row for each passage that
-    stands in a document, at its best place (code points of the text).
-
-    Letter case of A-Z and the kind of white space do not count as edits.
-    Null and empty texts hold nothing; null passages and those shorter than
-    q characters are never found; repeated rows are found as often as given;
+    """(id, text_hash, item, start, end, edits): a row for each place where a
+    passage stands in a document (code points of the text); places of one
+    passage do not overlap.
+
+    Letter case of A-Z and the kind of white space do not count as edits.  A
+    passage shorter than q characters is found where it is the whole text, up
+    to white space at the ends.  Null and empty texts hold nothing; null and
+    blank passages are never found; repeated rows are found as often as given;
     null ids come back null; an empty table gives an empty result; other
     columns are ignored.  No shuffle: each pass reads the documents once
-    against a bounded block of passages.
+    against a bounded block of passages.  A task holds one window of text and
+    its shared q-grams; a longer text takes its own size some five times.
     """
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
