@@ -103,6 +103,35 @@ def test_odd_rows(edge, empty):
     assert kept.columns == edge.columns and kept.count() == edge.count() - 5
 
 
-def test_too_many_languages_are_refused(edge):
-    with pytest.raises(ValueError, match="max_languages"):
-        lm.learn(edge, lm.MixtureParams(max_languages=0))
+def test_many_languages(spark):
+    rng = np.random.default_rng(7)
+    vocabulary = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 4)) for _ in range(12)] for _ in range(300)]
+    rows = [(i, " ".join(rng.choice(v, 60)), f"l{i:03d}") for i, v in enumerate(vocabulary)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, table = lm.learn(docs)
+    assert len(names) == 300 and table.shape == (300, 1 << SMALL.bits)
+    some = docs.where("doc_id % 60 = 7")
+    got = {r.id: r for r in lm.identify(some, names, table).collect()}
+    assert all(r.lang_pred == f"l{i:03d}" for i, r in got.items()) and len(got) == 5
+    text = rows[7][1]
+    assert np.allclose(lm.Mixture(table, SMALL).infer([text])[0], _plain(table, [text], SMALL)[0], atol=1e-6)
+
+
+@pytest.mark.parametrize("size", (1, 5, 64))
+def test_pieces_of_a_text_change_nothing(monkeypatch, size):
+    rng = np.random.default_rng(size)
+    texts = ["".join(rng.choice(list("abÇÉß İ日本1 ,.\n"), n)) for n in (0, 1, 2, 30, 200, 500)] + ["x" * 100, " " * 9]
+    whole = [x.tolist() for x in lm.cell_counts(texts, SMALL.bits)]
+    grams = sorted(zip(*(x.tolist() for x in lm.trigrams(texts, SMALL.bits))))
+    monkeypatch.setattr(lm, "CHARS_AT_ONCE", size)
+    assert [x.tolist() for x in lm.cell_counts(texts, SMALL.bits)] == whole
+    assert sorted(zip(*(x.tolist() for x in lm.trigrams(texts, SMALL.bits)))) == grams
+
+
+def test_kept_rows_without_a_language_get_one(spark):
+    rows = [(1, "alba canto dolce " * 9, "it"), (2, "xyk wurq zhpt " * 9, "xx"), (3, "canto alba " * 5, None), (4, "12", None), (5, "wurq xyk " * 5, "it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, table = lm.learn(docs)
+    kept = lm.keep_identified(docs, names, table, lang_col="lang")
+    assert sorted((r.doc_id, r.lang) for r in kept.collect()) == [(1, "it"), (2, "xx"), (3, "it"), (5, "it")]
+    assert {r.doc_id: r.lang for r in lm.keep_identified(docs, names, table).collect()}[3] is None
