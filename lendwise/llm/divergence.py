@@ -13,7 +13,7 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .shared import WORD_SPACES, materialise
 
@@ -26,10 +26,11 @@ FEW = 32  # repeated windows up to which a search beats a sort
 @dataclass(frozen=True)
 class Limits:
     """``common_words`` words per language make its word histogram (and one
-    cell for the rest).  ``tracked`` bounds the sketch that proposes them:
-    a word with more than 3.5/tracked of a language's words is certain to be
-    proposed; counts are then exact.  The distances are square roots of the
-    divergence in bits, 0 to 1."""
+    cell for the rest).  ``tracked`` bounds the sketch that proposes them: it
+    errs by no more than 3.5/tracked of a language's words.  Where that leaves
+    it open which words are the commonest, the language's words are counted
+    exactly.  The distances are square roots of the divergence in bits, 0 to
+    1."""
     min_words: int = 50
     max_repeat_pct: int = 50
     common_words: int = 16
@@ -110,18 +111,42 @@ def base_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "classes", "found")
 
 
+# The error of the sketch, as a share of the words times ``tracked``.
+SKETCH_ERROR = 3.5
+
+
 def common_words(docs: DataFrame, limits: Limits, text_col: str, lang_col: str) -> DataFrame:
-    """(lang, words): up to ``2 * common_words`` proposals per language.
+    """(lang, words): words among which the ``common_words`` commonest of the
+    language are certain to be.
 
     A mergeable frequent-items sketch of bounded size per task and language
-    proposes them, so no shuffle of all distinct words is needed and a hot
-    language is pre-aggregated.
+    proposes twice as many, so no shuffle of all distinct words is needed and
+    a hot language is pre-aggregated.  The proposals hold the commonest words
+    if the last of these, less the sketch's error, is above all that the
+    sketch did not propose; a language of which that is not sure, as its words
+    are used alike, is counted word by word.
     """
+    k = limits.common_words
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     words = docs.select(_language(lang_col).alias("lang"), F.explode(_words(text)).alias("w"))
-    top = F.expr(f"approx_top_k(w, {2 * limits.common_words}, {limits.tracked})")
-    return materialise(words.groupBy("lang").agg(top.alias("top")).select(
-        "lang", F.array_sort(F.transform("top", lambda t: t["item"])).alias("words")), "common_words")
+    top = F.expr(f"approx_top_k(w, {2 * k}, {limits.tracked})")
+    found = words.groupBy("lang").agg(top.alias("top"), F.count("*").alias("n"))
+    error = F.ceil(F.lit(SKETCH_ERROR / limits.tracked) * F.col("n"))
+    # The sketch names no word that may be below its error, so it can give
+    # fewer than asked for.
+    sure = (F.size("top") == 2 * k) & (F.get("top", F.lit(k - 1))["count"] - error
+                                       > F.greatest(F.get("top", F.lit(2 * k - 1))["count"], error))
+    found = materialise(found.select("lang", F.array_sort(F.transform("top", lambda t: t["item"])).alias("words"), 
+                                     F.coalesce(sure, F.lit(False)).alias("sure")), "common_words")
+    unsure = found.where("not sure").select("lang")
+    if unsure.isEmpty():
+        return found.select("lang", "words")
+    # Counted before the shuffle; of the counts each task keeps the first k of
+    # a language before they meet.
+    counts = words.join(unsure, "lang", "left_semi").groupBy("lang", "w").agg(F.count("*").alias("n"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))
+    exact = counts.withColumn("rank", first).where(F.col("rank") <= k).groupBy("lang").agg(F.array_sort(F.collect_list("w")).alias("words"))
+    return found.where("sure").select("lang", "words").unionByName(materialise(exact, "exact_common_words"))
 
 
 def _language(lang_col: str) -> Column:

@@ -68,6 +68,24 @@ def test_common_words_are_the_exact_top(spark, docs_of):
     assert sum(ref.ref_common) == pytest.approx(1) and sum(ref.ref_classes) == pytest.approx(1)
 
 
+def test_flat_languages_are_counted_exactly(spark, docs_of):
+    """Words used alike: the sketch cannot tell the commonest, the counts can."""
+    rng = random.Random(4)
+    pool = [f"w{i}" for i in range(2000)]
+    flat = [" ".join(rng.choice(pool) for _ in range(300)) for _ in range(40)]
+    steep = [" ".join(f"v{min(int(rng.expovariate(0.4)), 400)}" for _ in range(300)) for _ in range(40)]
+    docs = docs_of(flat).withColumn("lang", F.lit("flat")).unionByName(docs_of(steep, 100).withColumn("lang", F.lit("steep")))
+    limits = dv.Limits(common_words=8, tracked=256)
+    proposed = dv.common_words(docs, limits, "text", "lang")
+    counted = dv.document_counts(docs, proposed, limits, "doc_id", "text", "lang")
+    refs = {r.lang: r for r in dv.references(counted, proposed, limits).collect()}
+    words = {r.lang: r.words for r in proposed.collect()}
+    for lang, texts in (("flat", flat), ("steep", steep)):
+        every = Counter(w for t in texts for w in t.split())
+        assert [words[lang][i] for i in refs[lang].ref_words] == sorted(every, key=lambda w: (-every[w], w))[:8]
+    assert len(words["flat"]) == len(words["steep"]) == 8  # both counted
+
+
 def test_junk_goes_and_prose_stays(spark):
     from lendwise.llm import queries
     sf = "/root/testdata/sf0.01"
