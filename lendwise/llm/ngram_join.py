@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import connected_components
-from .shared import arrow_batches, broadcast_if_small, column, materialise, ship_package, text_slices
+from .shared import arrow_batches, broadcast_if_small, column, fresh_name, give_back, materialise, ship_package, text_bytes, text_slices
 
 
 @dataclass(frozen=True)
@@ -55,56 +55,102 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _weights(n: int, seed: int) -> np.ndarray:
-    """``n`` fixed odd 64-bit numbers."""
-    at = (np.arange(n, dtype=np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
+def _weight(at: np.ndarray, seed: int) -> np.ndarray:
+    """Fixed odd 64-bit numbers, one for each place."""
+    at = (at.astype(np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
     return _mix(at + np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
 
 
-def shingles(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, text index) of every window of ``width`` words, A-Z in lower
-    case; a text of fewer words has its whole sequence as its only one.
-    Words are hashed by position-weighted sums of their bytes and windows by
-    weighted sums of words, 64 bits each, so that equal hashes stand for
-    equal word sequences."""
-    raw = [t.encode("utf-8").lower() for t in texts]  # bytes: only A-Z change
-    sizes = np.fromiter(map(len, raw), np.int64, len(raw)) + 1
-    data = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
-    inside = (data != 32) & ((data < 9) | (data > 13))
-    starts = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
-    if not len(starts):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    owner = np.searchsorted(np.cumsum(sizes), starts, side="right")
-    kept = data[inside].astype(np.uint64)
-    first = (np.cumsum(inside) - 1)[starts]
-    lengths = np.diff([*first, len(kept)])
-    place = np.arange(len(kept)) - np.repeat(first, lengths)
-    word = np.add.reduceat((kept + np.uint64(1)) * _weights(int(lengths.max()), 1)[place], first)
-    word = _mix(word + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    weight = _weights(2 * width + 1, 0x51ED2701)
-    windows = np.flatnonzero(owner[:len(owner) - width + 1] == owner[width - 1:]) if len(owner) >= width else np.empty(0, np.int64)
-    full = sum(word[windows + j] * weight[j] for j in range(width)) if len(windows) else np.empty(0, np.uint64)
+_PLACES = _weight(np.arange(1024), 1)
+_LENGTH = np.uint64(0xD6E8FEB86659FD93)
+# Bytes of text hashed at a time; words may cross from one piece to the next.
+PIECE = 1 << 20
+
+
+def word_hashes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text index) of every word of texts in UTF-8 that begin at
+    ``cuts``, A-Z in lower case: 64-bit position-weighted sums of the bytes,
+    taken piece by piece, so that equal hashes stand for equal words."""
+    sums, lengths, owners = [], [], []
+    open_word, open_length = False, 0  # of the last word, if it may go on
+    for a in range(0, len(data), PIECE):
+        piece = data[a:a + PIECE]
+        inside = (piece != 32) & ((piece < 9) | (piece > 13))
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        first_cut, last_cut = np.searchsorted(cuts, [a, a + len(piece)])
+        at_cut = cuts[first_cut:last_cut] - a
+        begins[at_cut] = inside[at_cut]
+        goes_on = bool(open_word and inside[0] and not (len(at_cut) and at_cut[0] == 0))
+        begins[0] = inside[0] and not goes_on
+        starts = np.flatnonzero(begins)
+        if not len(starts) and not goes_on:
+            open_word = False
+            continue
+        kept = piece[inside]
+        kept = kept + ((kept >= 65) & (kept <= 90)).astype(np.uint8) * np.uint8(32)
+        heads = (np.cumsum(inside) - 1)[starts]
+        heads = np.concatenate([[0], heads]) if goes_on else heads
+        size = np.diff(heads, append=len(kept))
+        place = np.arange(len(kept)) - np.repeat(heads, size)
+        if goes_on:
+            place[:size[0]] += open_length
+        weight = _PLACES[place] if place.max(initial=0) < len(_PLACES) else _weight(place, 1)
+        part = np.add.reduceat((kept.astype(np.uint64) + np.uint64(1)) * weight, heads)
+        if goes_on:
+            sums[-1][-1:] += part[:1]
+            lengths[-1][-1:] += size[:1]
+            part, size = part[1:], size[1:]
+        if len(part):
+            sums.append(part)
+            lengths.append(size)
+            owners.append((np.searchsorted(cuts, starts + a, side="right") - 1).astype(np.int32))
+        open_word, open_length = bool(inside[-1]), int(lengths[-1][-1])
+    if not sums:
+        return np.empty(0, np.uint64), np.empty(0, np.int32)
+    word = np.concatenate(sums)
+    word += np.concatenate(lengths).astype(np.uint64) * _LENGTH
+    return _mix(word), np.concatenate(owners)
+
+
+def shingles(data: np.ndarray, cuts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text index) of every window of ``width`` words; a text of fewer
+    words has its whole sequence as its only one.  Windows are hashed by
+    weighted sums of their words' hashes, 64 bits."""
+    word, owner = word_hashes(data, cuts)
+    if not len(word):
+        return word, owner
+    weight = _weight(np.arange(2 * width + 1), 0x51ED2701)
+    n = max(0, len(word) - width + 1)
+    full = np.zeros(n, np.uint64)
+    for j in range(width if n else 0):
+        full += word[j:n + j] * weight[j]
+    same = owner[:n] == owner[width - 1:] if n else np.zeros(0, bool)
     # Texts of fewer words: weights of their own by the number of words.
     heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-    counts = np.diff([*heads, len(owner)])
+    counts = np.diff(heads, append=len(owner))
     short = np.flatnonzero(counts < width)
     parts = np.zeros(len(short), np.uint64)
     for j in range(width - 1):
         has = counts[short] > j
         parts[has] += word[heads[short[has]] + j] * weight[width + j]
     parts += counts[short].astype(np.uint64) * weight[-1]
-    return _mix(np.concatenate([full, parts])), np.concatenate([owner[windows], owner[heads[short]]])
+    del word
+    return _mix(np.concatenate([full[same], parts])), np.concatenate([owner[:n][same], owner[heads[short]]])
 
 
-def shingle_sets(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(data: np.ndarray, cuts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of all texts, sorted within each, and the texts'
     starts among them."""
-    hashes, owner = shingles(texts, width)
+    hashes, owner = shingles(data, cuts, width)
+    if len(cuts) == 1:  # a long text comes alone
+        hashes = np.unique(hashes)
+        return hashes, np.array([0, len(hashes)])
     order = np.lexsort((hashes, owner))
     hashes, owner = hashes[order], owner[order]
     new = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])])[:len(hashes)]
     hashes, owner = hashes[new], owner[new]
-    return hashes, np.searchsorted(owner, np.arange(len(texts) + 1))
+    return hashes, np.searchsorted(owner, np.arange(len(cuts) + 1))
 
 
 # ------------------------------------------------------------- prefixes
@@ -118,7 +164,7 @@ def frequency_sketch(rows: DataFrame, params: JoinParams) -> np.ndarray:
     def count(batches):
         total = np.zeros(cells, np.int64)
         for batch in text_slices(batches):
-            hashes, _ = shingles(column(batch, "text").to_pylist(), params.width)
+            hashes, _ = shingles(*text_bytes(column(batch, "text")), params.width)
             total += np.bincount((hashes >> shift).astype(np.int64), minlength=cells)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["cell", "n"])
@@ -164,13 +210,14 @@ def prefixes(rows: DataFrame, sketch: np.ndarray, params: JoinParams) -> DataFra
 
     def work(batches):
         for batch in text_slices(batches):
-            hashes, starts = shingle_sets(column(batch, "text").to_pylist(), params.width)
+            hashes, starts = shingle_sets(*text_bytes(column(batch, "text")), params.width)
             n = np.diff(starts)
             digests = [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest()
                        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
             estimate = shared.value[(hashes >> shift).astype(np.int64)]
-            order = np.lexsort((hashes, estimate, np.repeat(np.arange(len(n)), n)))
+            order = np.lexsort((hashes, estimate, np.repeat(np.arange(len(n), dtype=np.int32), n)))
             hashes, estimate = hashes[order], estimate[order]
+            del order
             matches, length = choose_prefixes(np.maximum(0.0, estimate - usual), starts, params)
             ends = np.concatenate([[0], np.cumsum(length)])
             pick = np.arange(ends[-1]) + np.repeat(starts[:-1] - ends[:-1], length)
@@ -271,15 +318,16 @@ def verify(pairs: DataFrame, rows: DataFrame, params: JoinParams) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            both = column(batch, "a_text").to_pylist() + column(batch, "b_text").to_pylist()
-            hashes, starts = shingle_sets(both, params.width)
-            k, similar = batch.num_rows, []
-            for i in range(k):
-                x, y = hashes[starts[i]:starts[i + 1]], hashes[starts[k + i]:starts[k + i + 1]]
+            a, a_at = shingle_sets(*text_bytes(column(batch, "a_text")), params.width)
+            b, b_at = shingle_sets(*text_bytes(column(batch, "b_text")), params.width)
+            similar = []
+            for i in range(batch.num_rows):
+                x, y = a[a_at[i]:a_at[i + 1]], b[b_at[i]:b_at[i + 1]]
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 similar.append(100 * common >= params.percent * (len(x) + len(y) - common))
             keep = pa.array(similar, pa.bool_())
             yield pa.RecordBatch.from_arrays([column(batch, "a").filter(keep), column(batch, "b").filter(keep)], names=["a", "b"])
+            give_back()
 
     kind = pairs.schema["a"].dataType.simpleString()
     checked = pairs.join(first, "a").join(second, "b").select("a", "b", "a_text", "b_text").mapInArrow(work, f"a {kind}, b {kind}")
@@ -293,9 +341,12 @@ def similar_documents(docs: DataFrame, params: JoinParams = JoinParams(), id_col
     links, the document's own included.
 
     Null and empty texts, and texts without words, have no shingles and no
-    links.  Rows that repeat an id are one document to the links; a row
-    without an id keeps component null and links nothing.  Other columns are
-    ignored; an empty table gives an empty result.
+    links.  Rows that repeat an id are one document to the links: what any of
+    its texts is similar to is in its component.  A row without an id keeps
+    component null and links nothing.  Other columns are ignored; an empty
+    table gives an empty result.  A task holds one slice of a megabyte and its
+    arrays; a longer text is hashed piece by piece, and its set of shingles
+    takes some ten times the text.
     """
     ship_package(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -314,26 +365,39 @@ def similar_documents(docs: DataFrame, params: JoinParams = JoinParams(), id_col
     links = verify(_first_pairs(entries, params), rows, params)
     near = materialise(connected_components(links), "first_components")
     more = verify(_cross_pairs(entries, near, params), rows, params)
-    nodes = connected_components(links.unionByName(more))
+    nodes = connected_components(links.unionByName(more).unionByName(_same_id(filled, classes)))
     member = classes.join(nodes, classes.rep == nodes.node, "left").select("digest", F.coalesce("component", "rep").alias("component"))
     linked = filled.select("id", "n", "digest").join(member, "digest").select("id", "n", "component")
-    # Rows of one id may be in several classes: all its links count.
     alone = sets.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component"))
     return linked.unionByName(alone).select("id", F.col("n").alias("n_shingles"), "component")
 
 
+def _same_id(filled: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes that the rows of one id are in; only
+    ids with several are joined."""
+    several = filled.groupBy("id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low != high")
+    several = materialise(several.select(F.col("id").alias("name"), "low"), "ids_of_several_classes")
+    own = filled.join(broadcast_if_small(several), F.col("id") == F.col("name"), "inner").select("name", "low", "digest").distinct()
+    first = classes.select(F.col("digest").alias("low"), F.col("rep").alias("a"))
+    other = classes.select("digest", F.col("rep").alias("b"))
+    return own.where("low != digest").join(first, "low").join(other, "digest").select("a", "b")
+
+
 def keep_one_of_each(docs: DataFrame, params: JoinParams = JoinParams(), id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component, all
-    columns kept; of rows that repeat an id one stays.  Rows without an id
-    stay.  Only ids are joined: those that go are broadcast while they are
-    few, and texts are shuffled only beyond that."""
+    columns kept; of rows that repeat an id and a text one stays, rows of one
+    id with different texts all do.  Rows without an id stay.  Only ids are
+    joined: those that go are broadcast while they are few, and texts are
+    shuffled only beyond that."""
     found = materialise(similar_documents(docs, params, id_col, text_col).select("id", "component"), "components")
-    gone = materialise(found.where("id != component").select(F.col("id").alias("gone")).distinct(), "duplicates")
-    kept = docs.join(broadcast_if_small(gone), docs[id_col] == F.col("gone"), "left_anti")
-    again = materialise(found.where("id is not null").groupBy("id").count().where("count > 1").select(F.col("id").alias("again")), "repeated_ids")
+    name = fresh_name(docs, "__id")
+    gone = materialise(found.where("id != component").select(F.col("id").alias(name)).distinct(), "duplicates")
+    kept = docs.join(broadcast_if_small(gone), F.col(id_col) == F.col(name), "left_anti")
+    again = found.where("id is not null").groupBy("id").count().where("count > 1").select(F.col("id").alias(name))
+    again = materialise(again, "repeated_ids")
     if again.isEmpty():
         return kept
     again = broadcast_if_small(again)
-    once = kept.join(again, kept[id_col] == F.col("again"), "left_semi").dropDuplicates([id_col])
-    return kept.join(again, kept[id_col] == F.col("again"), "left_anti").unionByName(once)
+    once = kept.join(again, F.col(id_col) == F.col(name), "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(again, F.col(id_col) == F.col(name), "left_anti").unionByName(once)

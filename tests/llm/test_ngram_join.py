@@ -4,11 +4,14 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from lendwise.llm import ngram_join as nj
 from lendwise.llm.components import connected_components
+from lendwise.llm.shared import text_bytes
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -90,11 +93,56 @@ def test_similar_sets_share_enough_of_their_prefixes(x, other, frequency, cost):
 
 
 def test_shingles_are_words_in_order():
-    hashes, owner = nj.shingles(["a b c d e", "b a c d", "A  b\tc\nd", "a b c", "a b", "", "é É x y"], 4)
+    hashes, owner = nj.shingles(*text_bytes(pa.array(["a b c d e", "b a c d", "A  b\tc\nd", "a b c", "a b", "", "é É x y"])), 4)
     sets = [set(hashes[owner == i].tolist()) for i in range(7)]
     assert [len(s) for s in sets] == [2, 1, 1, 1, 1, 0, 1] and sets[2] < sets[0] and not sets[1] & sets[0]
 
 
+@pytest.mark.parametrize("piece", (1, 2, 7, 64))
+def test_pieces_of_a_text_change_nothing(monkeypatch, piece):
+    rng = random.Random(piece)
+    texts = ["".join(rng.choice(["a", "Bc", "é", " ", "  ", "\n", "word" * 9]) for _ in range(rng.randrange(30))) for _ in range(60)] + ["x" * 3000, "", " "]
+    data = text_bytes(pa.array(texts))
+    whole = [x.tolist() for x in nj.shingle_sets(*data, 3)]
+    monkeypatch.setattr(nj, "PIECE", piece)
+    assert [x.tolist() for x in nj.shingle_sets(*data, 3)] == whole
+    hashes, starts = whole
+    assert [b - a for a, b in zip(starts, starts[1:])] == [len(_set(t, 3)) for t in texts]
+    for i in (0, 5, 60):
+        assert nj.shingle_sets(*text_bytes(pa.array([texts[i]])), 3)[0].tolist() == hashes[starts[i]:starts[i + 1]]
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    words = [f"w{i}" for i in range(200)]
+    a, b, c = (" ".join(words[k:k + 40]) for k in (0, 60, 120))
+    rows = [(1, a), (2, b), (3, a), (3, b), (4, c), (5, c), (5, c), (5, ""), (6, "alone here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"gone": F.lit("x"), "again": F.lit("y"), "__id": F.lit("z")})
+    got = {(r.id, r.n_shingles): r.component for r in nj.similar_documents(docs).collect()}
+    assert got == {(1, 37): 1, (2, 37): 1, (3, 37): 1, (4, 37): 4, (5, 37): 4, (5, 0): 5, (6, 1): 6}
+    kept = nj.keep_one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 4, 6]
+    several = spark.createDataFrame([(1, a), (1, a), (1, b), (2, a)], "doc_id long, text string")
+    assert sorted(map(tuple, nj.keep_one_of_each(several).collect())) == sorted([(1, a), (1, b)])
+
+
+def test_templates_share_but_are_not_alike(spark, docs_of):
+    """Documents filled into one template, under the threshold: pairs that
+    are listed grow with the documents, not with their square."""
+    listed = {}
+    for n in (150, 300):
+        rng = random.Random(4)
+        head = [f"h{i}" for i in range(60)]
+        texts = [" ".join(head + [f"d{rng.randrange(10**9)}" for _ in range(60)]) for _ in range(n)]
+        rows = docs_of(texts).selectExpr("doc_id as id", "text")
+        params = nj.JoinParams()
+        sets = nj.prefixes(rows, nj.frequency_sketch(rows, params), params)
+        entries = sets.selectExpr("id", "n", "matches", "posexplode(tokens) as (pos, token)")
+        near = connected_components(nj.verify(nj._first_pairs(entries, params), rows, params))
+        listed[n] = nj._cross_pairs(entries, near, params).count()
+    assert listed[300] <= 2.5 * max(listed[150], 1)
+    assert {r.component for r in nj.similar_documents(docs_of(texts)).collect()} == set(range(300))
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_components(spark, seed):
     rng = random.Random(seed)
