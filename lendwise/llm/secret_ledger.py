@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .shared import broadcast_if_small, materialise
+from .shared import broadcast_if_small, fresh_name, materialise
 
 # The three base patterns and their least lengths.  ``group``
 # is the part of the match whose length is tested.
@@ -118,7 +118,9 @@ class Ledger:
 
     Findings are appended before the pairs that account for them, and both
     are read as sets, so a job that dies in between scans those blobs again
-    and changes nothing else.
+    and changes nothing else.  One job at a time may append: two at once can
+    scan the same blob twice, which changes no finding, but a job reads the
+    pairs as they were when it began.
     """
 
     PAIRS = "digest string, rule_key string"
@@ -223,11 +225,12 @@ def redact(docs: DataFrame, ledger: Ledger, id_col: str = "doc_id", text_col: st
     """``docs`` with every secret in ``text_col`` replaced by ``mask``, all
     rows and columns kept.  Findings meet the texts by content, so repeated
     ids do no harm; the few blobs with findings are broadcast while they are
-    few, and texts are shuffled only beyond that."""
+    few, and texts are shuffled only beyond that.  A null text stays null."""
     found = scan(docs, ledger, id_col, None, text_col, rules).where(F.size("findings") > 0)
     found = materialise(found.select("digest", "findings").dropDuplicates(["digest"]), "secret_findings")
-    marks = broadcast_if_small(found.select(F.col("digest").alias("__digest"), F.col("findings").alias("__findings")))
+    digest, spans = fresh_name(docs, "__digest"), fresh_name(docs, "__findings")
+    marks = broadcast_if_small(found.select(F.col("digest").alias(digest), F.col("findings").alias(spans)))
     columns = docs.columns
-    joined_ = docs.join(marks, F.sha2(docs[text_col].cast("string"), 256) == F.col("__digest"), "left")
-    text = F.when(F.col("__findings").isNotNull(), masked(docs[text_col], F.col("__findings"), mask)).otherwise(docs[text_col])
+    joined_ = docs.join(marks, F.sha2(docs[text_col].cast("string"), 256) == F.col(digest), "left")
+    text = F.when(F.col(spans).isNotNull(), masked(docs[text_col], F.col(spans), mask)).otherwise(docs[text_col])
     return joined_.select(*[text.alias(c) if c == text_col else docs[c] for c in columns])

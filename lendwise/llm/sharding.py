@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import materialise
+from .shared import fresh_name, materialise
 
 # Fixed value: leading bits of the MD5 that are used, 15 hex digits.
 HASH_BITS = 60
@@ -137,7 +137,11 @@ def _pages(copies: DataFrame, limit: int) -> DataFrame:
 
 def write_shards(df: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> None:
     """Write ``df`` with one folder per shard; ``placed`` is the result of
-    ``assign_shards`` over unique ids."""
-    at = placed.select(F.col("id").alias(id_col), F.concat_ws("-", "shard", "page").alias("shard_page"))
-    joined = df.join(at, id_col)
+    ``assign_shards``.  Rows find their shard by their id, so an id that
+    repeats (no id is one, too), which would multiply its rows, raises."""
+    if not placed.groupBy("id").count().where("count > 1").isEmpty():
+        raise ValueError("ids repeat; write_shards needs unique ones")
+    name = fresh_name(df, "__id")
+    at = placed.select(F.col("id").alias(name), F.concat_ws("-", "shard", "page").alias("shard_page"))
+    joined = df.join(at, F.col(id_col).eqNullSafe(F.col(name))).drop(name)
     joined.repartition("shard_page").write.partitionBy("shard_page").parquet(path)

@@ -111,19 +111,23 @@ def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
 
 def _inflate(source) -> Iterator[bytes]:
     """The inflated bytes of a gzip stream of one or more members, in pieces
-    of bounded size."""
-    engine = zlib.decompressobj(31)
+    of bounded size; a stream that ends inside a member raises."""
+    engine, begun = zlib.decompressobj(31), False
     while data := source.read(CHUNK):
         while data:
+            begun = True
             out = engine.decompress(data, CHUNK)
             if out:
                 yield out
             data = engine.unconsumed_tail
             if engine.eof:
-                data, engine = engine.unused_data, zlib.decompressobj(31)
-    tail = engine.flush()
-    if tail:
-        yield tail
+                data, engine, begun = engine.unused_data, zlib.decompressobj(31), False
+    if begun:
+        tail = engine.flush()
+        if tail:
+            yield tail
+        if not engine.eof:
+            raise ValueError("archive ends inside a gzip member")
 
 
 class _Stream:

@@ -9,7 +9,7 @@ EDGE_ROWS = [
     (None, PROSE), (None, None), (8, "\x00 nul ▁ mark"), (9, "123 456 !!! ###"), (10, "é ü ß 日本語 😀 é"), (11, "one"),
 ]
 # Extra columns under names that the operators use themselves.
-CLASHING = ("id", "n", "digest", "token", "words", "found", "component", "score", "h", "path", "version", "ids", "start")
+CLASHING = ("id", "n", "digest", "token", "words", "found", "component", "score", "h", "path", "version", "ids", "start", "gone", "again", "__id", "__digest", "__findings")
 
 
 @pytest.fixture(scope="module")

@@ -6,6 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 SECRET = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]{8,})|AKIA[A-Z0-9]{12,}|[0-9a-f]{32,}""", re.I | re.A)
@@ -97,3 +98,54 @@ def test_encoding_keeps_the_spans(spark):
 def test_empty_table(spark, docs):
     for name, stage in STAGES.items():
         assert stage(spark, docs.limit(0), SF).count() == 0, name
+
+
+@pytest.fixture(scope="module")
+def odd(edge):
+    """The odd rows as documents, with columns under names the stages use."""
+    secret = "password = abcdefgh123 and more"
+    rows = edge.selectExpr("*", "cast('s' as string) as source", "cast(length(text) as long) as n_chars")
+    more = rows.where("doc_id = 11").withColumn("text", F.lit(secret)).withColumn("doc_id", F.lit(12).cast("long"))
+    return rows.withColumn("lang", F.when(F.col("doc_id") != 7, F.col("lang"))).unionByName(more).unionByName(more)
+
+
+def _ids(df):
+    return sorted((-1 if r.doc_id is None else r.doc_id) for r in df.collect())
+
+
+def test_odd_rows_in_every_stage(spark, odd):
+    every = _ids(odd)
+    out = {name: stage(spark, odd, SF) for name, stage in STAGES.items()}
+    for name, df in list(out.items())[:-1]:
+        assert df.columns == odd.columns, name
+    # No letters: 4 (empty), 5 (null), 6 (blank), 9 (digits and signs), and a null text without an id.
+    assert _ids(out["language_id"]) == sorted([i for i in every if i not in (4, 5, 6, 9, -1)] + [-1])
+    assert {r.lang for r in out["language_id"].collect()} == {"en"}
+    # 2 and 3 are 1 again, 12 comes twice; null ids and texts without words stay.
+    assert _ids(out["near_duplicates"]) == sorted([i for i in set(every) if i not in (2, 3, -1)] + [-1, -1])
+    assert _ids(out["benchmark_decontamination"]) == every
+    masked = out["secret_scans"].collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id) for r in masked) == every
+    assert all("abcdefgh123" not in (r.text or "") and r.n_chars == (None if r.text is None else len(r.text)) for r in masked)
+    assert sum("[SECRET]" in (r.text or "") for r in masked) == 2 and sum(r.text is None for r in masked) == 2
+    encoded = out["sentencepiece"].collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id) for r in encoded) == every
+    assert all(r.n_tokens == len(r.ids) == len(r.begins) for r in encoded)
+
+
+def test_edited_leaks_go_too(spark, docs):
+    """Decontamination against plain alignment: passages with a few edits."""
+    import random
+    rng = random.Random(1)
+    items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()][:6]
+
+    def edited(text, n):
+        chars = list(text)
+        for i in rng.sample(range(len(chars)), n):
+            chars[i] = "#"
+        return "".join(chars)
+    rows = [(i, "before " + edited(t, len(t) // 20) + " after", "en", "s", 1) for i, t in enumerate(items)]
+    rows += [(100 + i, "before " + edited(t, len(t) // 3) + " after", "en", "s", 1) for i, t in enumerate(items)]
+    planted = spark.createDataFrame(rows, docs.schema)
+    kept = {r.doc_id for r in STAGES["benchmark_decontamination"](spark, planted, SF).collect()}
+    assert kept == {100 + i for i in range(len(items))}

@@ -3,6 +3,7 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from lendwise.llm import sharding as sh
@@ -66,3 +67,13 @@ def test_written_shards(spark, docs_of, tmp_dir):
     sh.write_shards(docs, sh.assign_shards(docs, 400), f"{tmp_dir}/shards")
     back = spark.read.parquet(f"{tmp_dir}/shards")
     assert back.count() == 40 and back.groupBy("shard_page").agg(F.sum(F.length("text")).alias("b")).where("b > 400").isEmpty()
+
+
+def test_written_shards_multiply_no_row(spark, tmp_dir):
+    rows = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c")], "doc_id long, text string").withColumn("__id", F.lit("x"))
+    sh.write_shards(rows, sh.assign_shards(rows, 1), f"{tmp_dir}/odd")
+    back = spark.read.parquet(f"{tmp_dir}/odd")
+    assert sorted((r.text, r.doc_id) for r in back.collect()) == [("a", 1), ("b", None), ("c", 2)]
+    twice = rows.unionByName(rows)
+    with pytest.raises(ValueError, match="ids repeat"):
+        sh.write_shards(twice, sh.assign_shards(twice, 1), f"{tmp_dir}/twice")

@@ -74,3 +74,17 @@ def test_stream_with_many_members_and_bad_ends():
 
 def test_empty_table(spark, pages):
     assert warc.archive_pages(pages.limit(0), scratch_path(spark, "warc")).count() == 0
+
+
+def test_an_archive_cut_short_is_refused():
+    import gzip
+    import io
+    import zlib
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    whole = gzip.compress(record * 3) + gzip.compress(record)
+    assert len(list(warc.normalise_stream(io.BytesIO(whole), io.BytesIO()))) == 4
+    engine = zlib.compressobj(6, zlib.DEFLATED, 31)
+    at_a_record = engine.compress(record * 2) + engine.flush(zlib.Z_FULL_FLUSH)  # no end of the member
+    for cut in (at_a_record, whole[:-4], whole[:-30]):
+        with pytest.raises(ValueError, match="archive ends inside"):
+            list(warc.normalise_stream(io.BytesIO(cut), io.BytesIO()))
