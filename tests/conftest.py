@@ -17,6 +17,9 @@ def spark():
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", "8")
+    # One JVM serves all tests; Spark's 1 GB fills with what each leaves behind.
+    b = b.config("spark.driver.memory", "4g").config("spark.sql.ui.retainedExecutions", "20")
+    b = b.config("spark.ui.retainedJobs", "50").config("spark.ui.retainedStages", "100").config("spark.ui.retainedTasks", "1000")
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     # Tests set their own shared folder only where the session has none.
