@@ -9,6 +9,7 @@ to spans of the original bytes.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .bpe import PairTable, merge_words
-from .shared import column, id_and_text, ship_package, text_slices
+from .shared import SLICE_BYTES, column, id_and_text, ship_package, text_slices
 
 # Fixed values of the model format.
 SPACE = "▁"
@@ -26,8 +27,12 @@ BAD_BYTE = "�".encode()
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BPE_MODEL = 2
 UNSEEN = -1
+# A place where a long text may be cut.
+CUT = re.compile(f"(?<=[^ {SPACE}])[ {SPACE}]")
 # Distinct chunks a worker remembers before it starts afresh.
 REMEMBERED = 250_000
+# Characters of a long text encoded, and ids decoded, at a time.
+PIECE = SLICE_BYTES
 
 
 class CharacterMap:
@@ -130,11 +135,15 @@ class PieceModel:
         """Pieces never hold a space mark after another character, nor a line
         break that is in no longer piece: merges cannot cross there."""
         inner = {c for p in self.pieces if len(p) > 1 for c in p}
-        if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
+        if self.space_inside:
             return re.compile(r"(?s).+")
         alone = "".join(c for c in "\n\r\t" if c not in inner)
         return re.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+|(?s:.)")
 
+    @cached_property
+    def space_inside(self) -> bool:
+        return any(SPACE in p.lstrip(SPACE) for p in self.pieces)
+
 
 def normalise(model: PieceModel, text: bytes) -> tuple[bytes, np.ndarray]:
     """The normalised text and the source byte of each of its bytes, with one
@@ -212,6 +221,7 @@ class Codec:
                       model.proto.trainer_spec.unk_surface.encode() if p.type == UNKNOWN else b""
                       for p in model.proto.pieces]
         self.is_byte = np.array([p.type == BYTE for p in model.proto.pieces])
+        self.unknown = {i for i, p in enumerate(model.proto.pieces) if p.type == UNKNOWN}
         self.control = {i for i, p in enumerate(model.proto.pieces) if p.type == CONTROL}
 
     def _forget(self) -> None:
@@ -240,11 +250,12 @@ class Codec:
         self.starts = np.concatenate([self.starts, starts[1:] + len(self.ids)])
         self.ids = np.concatenate([self.ids, ids])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str], head: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts, the texts' starts among them, and the begin and
-        end byte of every id's span in its original text."""
+        end byte of every id's span in its original text.  Without ``head``
+        the texts are later pieces of a text, which get no prefix."""
         if self.plain:
-            normal, source = _normalise_plain(texts, self.model.proto.normalizer_spec.add_dummy_prefix)
+            normal, source = _normalise_plain(texts, head and self.model.proto.normalizer_spec.add_dummy_prefix)
         else:
             both = [normalise(self.model, t.encode("utf-8")) for t in texts]
             normal = [b.decode("utf-8") for b, _ in both]
@@ -272,17 +283,58 @@ class Codec:
         shift = np.repeat(np.arange(len(texts)), np.diff(starts))
         return ids, starts, source[piece_ends - self.sizes[ids] + shift], source[piece_ends + shift]
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of a list of ids, as the library's decode gives it."""
+    def pieces_of(self, text: str) -> Iterator[str]:
+        """``text`` cut where no chunk crosses, before a space mark that
+        follows another character, into pieces of ``PIECE`` characters or as
+        many more as it takes to such a place.  A text that is normalised
+        through a character map stays whole: what the map matches, and what
+        is trimmed, may lie on both sides of a cut."""
+        at = 0
+        while self.plain and not self.model.space_inside and len(text) - at > PIECE:
+            cut = CUT.search(text, at + PIECE)
+            if cut is None:
+                break
+            yield text[at:cut.start()]
+            at = cut.start()
+        yield text[at:]
+
+    def encode_long(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``encode`` of one text, a piece of it at a time."""
+        parts, at = [], 0
+        for piece in self.pieces_of(text):
+            ids, _, begins, ends = self.encode([piece], head=at == 0)
+            parts.append((ids, (begins + at).astype(np.int32), (ends + at).astype(np.int32)))
+            at += len(piece.encode("utf-8"))
+        ids, begins, ends = (np.concatenate(x) for x in zip(*parts))
+        return ids, np.array([0, len(ids)]), begins, ends
+
+    def decode_long(self, ids: np.ndarray) -> str:
+        """``decode`` of the ids of one text, ``PIECE`` at a time; a run of
+        byte pieces is not cut."""
+        if len(ids) <= PIECE or np.isin(ids, list(self.control)).any():
+            return self.decode(ids.tolist())
+        parts, at = [], 0
+        while len(ids) - at > PIECE:
+            whole = np.flatnonzero(~self.is_byte[ids[at + PIECE:]])
+            if not len(whole):
+                break
+            end = at + PIECE + int(whole[0])
+            parts.append(self.decode(ids[at:end].tolist(), head=at == 0))
+            at = end
+        return "".join([*parts, self.decode(ids[at:].tolist(), head=at == 0)])
+
+    def decode(self, ids: list[int], head: bool = True) -> str:
+        """The text of a list of ids, as the library's decode gives it; without
+        ``head`` the ids follow others and keep their leading space."""
         spec = self.model.proto.normalizer_spec
         parts = [self.shown[i] for i in ids]
         broken = not self.control.isdisjoint(ids)  # a control id ends a run of byte pieces
         first = next((k for k, i in enumerate(ids) if i not in self.control), len(ids))
-        if spec.add_dummy_prefix or spec.remove_extra_whitespaces:
+        if head and (spec.add_dummy_prefix or spec.remove_extra_whitespaces):
             # The leading space is the prefix; where white space is trimmed
-            # all leading space goes.
+            # all leading space goes.  The mark of an unknown piece keeps its own.
             while first < len(ids) and not self.is_byte[ids[first]]:
-                lead = parts[first].startswith(b" ")
+                lead = parts[first].startswith(b" ") and ids[first] not in self.unknown
                 parts[first] = parts[first][1:] if lead else parts[first]
                 if parts[first] or not spec.remove_extra_whitespaces:
                     break
@@ -333,7 +385,9 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     the first byte piece begins it and each covers its own byte.  Null texts
     count as empty, an empty text has no ids.  Null ids, ties and repeated
     rows come back as given; other columns are ignored; an empty table gives
-    an empty result.  No shuffle; a task holds one slice of a few megabytes.
+    an empty result.  No shuffle; a task holds one slice of a megabyte, and of
+    a longer text its lists and one piece of a megabyte in work (more where a
+    stretch without spaces is longer).
     """
     ship_package(docs.sparkSession)
 
@@ -341,12 +395,13 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
         codec = worker_codec(model_file)
         for batch in text_slices(batches):
             texts = column(batch, "text").to_pylist()
-            ids, starts, begins, ends = codec.encode(texts)
+            long = len(texts) == 1 and len(texts[0]) > PIECE
+            ids, starts, begins, ends = codec.encode_long(texts[0]) if long else codec.encode(texts)
             columns = {"id": column(batch, "id"), "n_bytes": pa.array([len(t.encode("utf-8")) for t in texts], pa.int64()),
                        "ids": _lists(ids, starts), "begins": _lists(begins, starts), "ends": _lists(ends, starts)}
             if decoded:
                 bounds = zip(starts[:-1].tolist(), starts[1:].tolist())
-                columns["decoded"] = pa.array([codec.decode(ids[a:b].tolist()) for a, b in bounds], pa.string())
+                columns["decoded"] = pa.array([codec.decode_long(ids[a:b]) for a, b in bounds], pa.string())
             yield pa.RecordBatch.from_pydict(columns)
 
     rows = id_and_text(docs, id_col, text_col)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +20,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from .bpe import PairTable, merge_words, pack
-from .shared import column, id_and_text, ship_package, text_slices
+from .shared import SLICE_BYTES, column, id_and_text, ship_package, text_slices
 
 # Fixed value: the byte-level pre-token pattern of the tokenizer.
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Distinct merged pre-tokens a worker remembers before it starts afresh.
 REMEMBERED = 500_000
+# Pre-tokens of a text longer than a slice that are counted at a time.
+RUN = 1 << 18
 
 
 def byte_letters() -> list[str]:
@@ -114,6 +117,8 @@ class Counter:
         return [w for part in parts for w in self.pattern.findall(part)], len(parts) - 1
 
     def count(self, texts: list[str]) -> np.ndarray:
+        if len(texts) == 1 and len(texts[0]) > SLICE_BYTES:
+            return np.array([self.count_long(texts[0])])
         words: list[str] = []
         sizes, extra = [], []
         for text in texts:
@@ -121,6 +126,24 @@ class Counter:
             words += found
             sizes.append(len(found))
             extra.append(special)
+        each = self._each(words)
+        ends = np.cumsum(sizes)
+        total = np.concatenate([[0], np.cumsum(each)])
+        return total[ends] - total[ends - sizes] + np.asarray(extra)
+
+    def count_long(self, text: str) -> int:
+        """The tokens of one text, ``RUN`` pre-tokens at a time: beside the
+        text only these are held."""
+        parts = self.special.split(text) if self.special is not None else [text]
+        total = len(parts) - 1
+        for part in parts:
+            found = (m.group() for m in self.pattern.finditer(part))
+            while run := list(islice(found, RUN)):
+                total += int(self._each(run).sum())
+        return total
+
+    def _each(self, words: list[str]) -> np.ndarray:
+        """Tokens of every pre-token."""
         distinct = set(words)
         if len(self.counts) + len(distinct) > REMEMBERED + len(self.proven):
             self.counts = dict.fromkeys(self.proven, 1)
@@ -128,10 +151,7 @@ class Counter:
         if rest:
             _, starts = self.model.merge([w.encode("utf-8") for w in rest])
             self.counts.update(zip(rest, np.diff(starts).tolist()))
-        each = np.fromiter(map(self.counts.__getitem__, words), np.int64, len(words))
-        ends = np.cumsum(sizes)
-        total = np.concatenate([[0], np.cumsum(each)])
-        return total[ends] - total[ends - sizes] + np.asarray(extra)
+        return np.fromiter(map(self.counts.__getitem__, words), np.int64, len(words))
 
 
 @lru_cache(maxsize=1)
@@ -150,7 +170,8 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int, id_col: str = "doc
     Null and empty texts have 0 bytes and 0 tokens.  Null ids, ties and
     repeated rows come back as given; other columns are ignored; an empty
     table gives an empty result.  No shuffle: each task reads its rows once,
-    a few megabytes at a time.
+    a megabyte at a time; of a longer text it holds the text and some of its
+    pre-tokens.
     """
     spark = docs.sparkSession
     ship_package(spark)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -59,6 +60,29 @@ def test_very_long_chunk(codec, library):
     assert codec.encode([text])[0].tolist() == library.encode(text)
 
 
+@pytest.mark.parametrize("size", [1, 7, 60])
+def test_long_texts_go_in_pieces(codec, library, monkeypatch, size):
+    monkeypatch.setattr(pc, "PIECE", size)
+    for text in [*_texts(200, 8), " lead", "▁ mark ", "no-space" * 40, "   ", "", "a  b\n c 😀 😀"]:
+        pieces = list(codec.pieces_of(text))
+        assert "".join(pieces) == text
+        whole = codec.encode([text])
+        ids, starts, begins, ends = codec.encode_long(text)
+        assert ids.tolist() == library.encode(text) and starts.tolist() == [0, len(ids)]
+        assert begins.tolist() == whole[2].tolist() and ends.tolist() == whole[3].tolist()
+        assert codec.decode_long(ids) == library.decode(ids.tolist())
+    assert len(list(codec.pieces_of("word " * 100))) > 5
+
+
+def test_decoding_any_ids_in_pieces(codec, library, monkeypatch):
+    monkeypatch.setattr(pc, "PIECE", 3)
+    rng = random.Random(5)
+    for _ in range(800):
+        ids = [rng.choice([rng.randrange(3, 32000), rng.randrange(3, 259), rng.randrange(3, 259), 29871, rng.choice([0, 1, 2, 300])])
+               for _ in range(rng.randint(0, 20))]
+        assert codec.decode_long(np.array(ids, np.int32)) == library.decode(ids), ids
+
+
 class _Mapped(pc.PieceModel):
     """The model with another normalisation: a compiled character map."""
 

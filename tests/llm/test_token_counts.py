@@ -25,6 +25,18 @@ def test_random_texts():
     assert tc.Counter(model, model.proven_whole()).count(texts).tolist() == _library(texts)
 
 
+def test_long_texts_go_in_runs(monkeypatch):
+    monkeypatch.setattr(tc, "RUN", 3)
+    monkeypatch.setattr(tc, "SLICE_BYTES", 20)
+    rng = random.Random(7)
+    texts = ["".join(rng.choices(PARTS, k=rng.randint(0, 60))) for _ in range(300)] + ["<|endoftext|>" * 5, " " * 90]
+    model = tc.ByteBpe(PATH)
+    counter = tc.Counter(model, model.proven_whole())
+    expected = _library(texts)
+    assert [counter.count_long(t) for t in texts] == expected
+    assert [int(counter.count([t])[0]) for t in texts] == expected
+
+
 def test_proven_strings_are_one_token():
     model, tokenizer = tc.ByteBpe(PATH), Tokenizer.from_file(PATH)
     proven = model.proven_whole()
