@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from lendwise import schemas
-from lendwise.functions.keys import with_member_key
+from lendwise.functions.keys import pack, unpack, with_member_key
 from lendwise.operators import audit, clean, quarantine, score, split, views
 from lendwise.params import DEFAULT_PARAMS, DEFAULT_VARIANT, ScoreParams, Variant
 from lendwise.session import SCALE_CONF, scratch_path
@@ -119,15 +119,15 @@ def stage_clean(spark: SparkSession, zones: Zones, variant: Variant = DEFAULT_VA
 
 def stage_quarantine(spark: SparkSession, zones: Zones, variant: Variant = DEFAULT_VARIANT) -> None:
     """Duplicate-member list and the quarantined gold tables."""
-    customers = zones.read(spark, "cleaned/customers")
-    delinq = zones.read(spark, "cleaned/delinq")
-    records = zones.read(spark, "cleaned/records")
-    bad = zones.write(spark, "gold/bad_customer_data",
-                      quarantine.bad_members(customers, delinq, records, variant))
+    customers = pack(zones.read(spark, "cleaned/customers"))
+    delinq = pack(zones.read(spark, "cleaned/delinq"))
+    records = pack(zones.read(spark, "cleaned/records"))
+    bad = pack(zones.write(spark, "gold/bad_customer_data",
+                           unpack(quarantine.bad_members(customers, delinq, records, variant))))
     c_new, d_new, r_new = quarantine.quarantine(customers, delinq, records, bad, variant)
-    zones.write(spark, "gold/customers_new", c_new, audit.row_check("customers_new"))
-    zones.write(spark, "gold/delinq_new", d_new)
-    zones.write(spark, "gold/records_new", r_new)
+    zones.write(spark, "gold/customers_new", unpack(c_new), audit.row_check("customers_new"))
+    zones.write(spark, "gold/delinq_new", unpack(d_new))
+    zones.write(spark, "gold/records_new", unpack(r_new))
     zones.write_audit(spark, "quarantine")
 
 
@@ -140,17 +140,19 @@ def stage_score(spark: SparkSession, zones: Zones, variant: Variant = DEFAULT_VA
         loans, repayments = (spark.table(f"{database}.{t}") for t in BUCKETED.values())
     else:
         loans, repayments = zones.read(spark, "cleaned/loans"), zones.read(spark, "cleaned/repayments")
-    bad = zones.read(spark, "gold/bad_customer_data")
-    customers_new = zones.read(spark, "gold/customers_new")
-    delinq_new = zones.read(spark, "gold/delinq_new")
-    records_new = zones.read(spark, "gold/records_new")
+    loans = pack(loans)
+    bad = pack(zones.read(spark, "gold/bad_customer_data"))
+    customers_new = pack(zones.read(spark, "gold/customers_new"))
+    delinq_new = pack(zones.read(spark, "gold/delinq_new"))
+    records_new = pack(zones.read(spark, "gold/records_new"))
     records_bad = None if variant.quarantine_lists == "shared" else bad
-    points = zones.write(spark, "gold/payment_points", score.payment_points(loans, repayments, params, carry=score.CARRIED))
+    points = pack(zones.write(spark, "gold/payment_points", unpack(
+        score.payment_points(loans, repayments, params, carry=score.CARRIED))))
     ph = score.history_of_points(points, customers_new, bad, variant)
-    zones.write(spark, "gold/loan_score", score.loan_score_final(
-        ph, delinq_new, records_new, loans, customers_new, records_bad, variant, params))
-    zones.write(spark, "gold/loan_score_by_loan", score.score_loans(
-        points, customers_new, delinq_new, records_new, bad, variant, params, records_bad))
+    zones.write(spark, "gold/loan_score", unpack(score.loan_score_final(
+        ph, delinq_new, records_new, loans, customers_new, records_bad, variant, params)))
+    zones.write(spark, "gold/loan_score_by_loan", unpack(score.score_loans(
+        points, customers_new, delinq_new, records_new, bad, variant, params, records_bad)))
 
 
 BUCKETED = {"loans": "loans_by_id", "repayments": "repayments_by_id"}
