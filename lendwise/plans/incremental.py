@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendwise.params import DEFAULT_PARAMS, DEFAULT_VARIANT, ScoreParams, Variant
+from lendwise.functions.keys import pack, unpack
 from lendwise.plans.stages import Stages
 from lendwise.session import scratch_path
+from lendwise.sources import io
 
 KEY = "member_id"
 
@@ -23,7 +25,7 @@ def touched_members(keyed: DataFrame, batch: DataFrame) -> DataFrame:
     keyed raw rows (``keyed`` holds the batch already)."""
     ids = batch.where(F.col("id").isNotNull()).select("id").distinct()
     sharing = keyed.join(ids, "id", "left_semi").select(KEY)
-    return batch.select(KEY).unionByName(sharing).distinct()
+    return unpack(pack(batch.select(KEY)).unionByName(pack(sharing)).distinct())
 
 
 def rows_for(keyed: DataFrame, touched: DataFrame) -> DataFrame:
@@ -36,7 +38,7 @@ def rows_for(keyed: DataFrame, touched: DataFrame) -> DataFrame:
 
 def _kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, "rescore", name)
-    df.write.parquet(path)
+    io.write_parquet(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -52,6 +54,7 @@ def rescore(keyed: DataFrame, batch: DataFrame, stored: DataFrame, variant: Vari
     spark = keyed.sparkSession
     touched = _kept(spark, touched_members(keyed, batch), "touched")
     rows = _kept(spark, rows_for(keyed, touched), "touched_rows")
-    again = Stages(rows, variant=variant, params=params, raw_is_keyed=True).loan_score
+    again = Stages(pack(rows), variant=variant, params=params, raw_is_keyed=True).loan_score
+    touched = pack(touched)
     fresh = again.join(touched, KEY, "left_semi")
-    return stored.join(touched, KEY, "left_anti").unionByName(fresh)
+    return unpack(pack(stored).join(touched, KEY, "left_anti").unionByName(fresh))
