@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lendwise.params import DEFAULT_PARAMS, DEFAULT_VARIANT, ScoreParams, Variant
 from lendwise.functions.keys import pack, unpack
+from lendwise.operators.marks import drop_marked, keep_marked
 from lendwise.plans.stages import Stages
 from lendwise.session import scratch_path
 from lendwise.sources import io
@@ -24,16 +25,17 @@ def touched_members(keyed: DataFrame, batch: DataFrame) -> DataFrame:
     """Ids of the members whose score may change when ``batch`` joins the
     keyed raw rows (``keyed`` holds the batch already)."""
     ids = batch.where(F.col("id").isNotNull()).select("id").distinct()
-    sharing = keyed.join(ids, "id", "left_semi").select(KEY)
+    sharing = keep_marked(keyed.select("id", KEY), ids, "id").select(KEY)
     return unpack(pack(batch.select(KEY)).unionByName(pack(sharing)).distinct())
 
 
 def rows_for(keyed: DataFrame, touched: DataFrame) -> DataFrame:
     """The raw rows that the scores of ``touched`` depend on: their own, and
     every row under the id of one of their loans."""
-    own = keyed.join(touched, KEY, "left_semi")
+    own = keep_marked(keyed.select("id", KEY), touched, KEY)
     ids = own.where(F.col("id").isNotNull()).select("id").distinct()
-    return keyed.join(ids, "id", "left_semi").unionByName(own.where(F.col("id").isNull()))
+    nameless = keep_marked(keyed.where(F.col("id").isNull()), touched, KEY)
+    return keep_marked(keyed, ids, "id").unionByName(nameless)
 
 
 def _kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -47,14 +49,14 @@ def rescore(keyed: DataFrame, batch: DataFrame, stored: DataFrame, variant: Vari
     """The whole score after ``batch``: ``stored`` (the score before it)
     without the touched members, and the touched ones scored anew.
 
-    Only ids are joined for the rows that stay; the score itself runs over
-    the touched members' rows, written out once as its many branches read
-    them.  Write the result as a new version, it reads the old one.
+    Rows that the batch cannot touch, stored or raw, are told by marks and not
+    shuffled; the score itself runs over the touched members' rows, written
+    out once as its many branches read them.  Write the result as a new
+    version, it reads the old one.
     """
     spark = keyed.sparkSession
     touched = _kept(spark, touched_members(keyed, batch), "touched")
     rows = _kept(spark, rows_for(keyed, touched), "touched_rows")
     again = Stages(pack(rows), variant=variant, params=params, raw_is_keyed=True).loan_score
-    touched = pack(touched)
-    fresh = again.join(touched, KEY, "left_semi")
-    return unpack(pack(stored).join(touched, KEY, "left_anti").unionByName(fresh))
+    fresh = again.join(pack(touched), KEY, "left_semi")
+    return drop_marked(unpack(stored), touched, KEY).unionByName(unpack(fresh))
