@@ -20,6 +20,7 @@ from lendwise import schemas
 from lendwise.functions.keys import with_member_key
 from lendwise.operators import split
 from lendwise.session import scratch_path
+from lendwise.sources import io
 
 SPLITS = {
     "customers": split.split_customers,
@@ -51,10 +52,10 @@ def start_split_stream(spark: SparkSession, source_dir: str, out_root: str,
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         staged = f"{out_root}/keyed/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(staged)
+        io.write_parquet(batch, staged)
         stored = batch.sparkSession.read.parquet(staged)
         for name, fn in SPLITS.items():
-            fn(stored).write.mode("overwrite").parquet(f"{out_root}/{name}/batch_id={batch_id}")
+            io.write_parquet(fn(stored), f"{out_root}/{name}/batch_id={batch_id}")
         if also is not None:
             also(stored, batch_id)
 
